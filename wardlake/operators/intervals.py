@@ -108,7 +108,8 @@ def returns_within(
     def at(kind: str, value: str) -> Column:
         return F.max(F.when(F.col("kind") == kind, F.col(value)))
 
-    per_visit = timeline.groupBy("patient", "visit").agg(
+    per_visit = timeline.groupBy("visit").agg(
+        F.max("patient").alias("patient"),
         F.max("start_at").alias("start_at"),
         at(END, "end_at").alias("end_at"),
         F.max("is_return").alias("is_return"),

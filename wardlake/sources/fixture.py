@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlake.operators.skew import hot_keys, sequence_within
-from wardlake.sources.tables import TableSet
+from wardlake.sources.tables import CLINICAL_SCHEMAS, TableSet
 
 # Reference dates in place of the current date: the last order day and the day after the last event.
 CLINICAL_AS_OF = dt.date(2001, 8, 1)
@@ -93,9 +93,69 @@ SELECT l_orderkey AS encounter_id, CAST(l_extendedprice AS DECIMAL(12,2)) AS cla
 FROM {lineitem} WHERE l_returnflag <> 'A'""",
 }
 
+# Run-log, export and audit tables over the event feed. The number in props is the step, row or patient it is about.
+EVENT_NUMBER = "CAST(regexp_extract(props, '([0-9]+)', 1) AS INT)"
+DERIVED_SQL |= {
+    "etl_execution_log": f"""
+SELECT event_id AS log_id, 'run-' || lpad(CAST(user_id AS STRING), 8, '0') AS execution_id,
+       CASE WHEN user_id % 2 = 0 THEN 'run_warehouse_load' ELSE 'validate_warehouse' END AS procedure_name,
+       event_type AS step_name, {EVENT_NUMBER} + 1 AS step_order, ts AS start_time,
+       CASE WHEN event_type = 'click' THEN NULL ELSE ts + CAST(floor(value) AS INT) * INTERVAL '1' SECOND END AS end_time,
+       CASE event_type WHEN 'click' THEN 'RUNNING' WHEN 'error' THEN 'FAILED' ELSE 'COMPLETED' END AS status,
+       CAST({EVENT_NUMBER} * 10 AS BIGINT) AS rows_processed,
+       CAST(CASE WHEN event_type = 'signup' THEN {EVENT_NUMBER} * 10 END AS BIGINT) AS rows_inserted,
+       CAST(CASE WHEN event_type = 'purchase' THEN {EVENT_NUMBER} * 10 END AS BIGINT) AS rows_updated,
+       CAST(NULL AS BIGINT) AS rows_deleted,
+       CASE WHEN event_type = 'click' THEN NULL ELSE value END AS duration_seconds,
+       CASE WHEN event_type = 'error' THEN 'step "' || props || '" failed' END AS error_message
+FROM {{events}}""",
+    "data_quality_log": f"""
+SELECT event_id AS quality_id, 'run-' || lpad(CAST(user_id AS STRING), 8, '0') AS execution_id,
+       CASE event_type WHEN 'view' THEN 'dim_patient' WHEN 'click' THEN 'dim_diagnosis' WHEN 'purchase' THEN 'fact_encounters'
+            ELSE 'dim_provider' END AS table_name,
+       CASE WHEN event_type = 'signup' THEN NULL ELSE event_type || '_column' END AS column_name,
+       CASE event_type WHEN 'error' THEN 'ORPHANED_REFERENCE' WHEN 'purchase' THEN 'NULL_VIOLATION'
+            WHEN 'view' THEN 'INVALID_FORMAT' ELSE 'INVALID_VALUES' END AS issue_type,
+       CASE event_type WHEN 'error' THEN 'CRITICAL' WHEN 'purchase' THEN 'HIGH' WHEN 'view' THEN 'MEDIUM' ELSE 'LOW' END
+           AS severity_level,
+       CAST({EVENT_NUMBER} AS BIGINT) AS affected_rows, 'Found "' || event_type || '" rows' AS issue_description,
+       CASE WHEN {EVENT_NUMBER} % 2 = 0 THEN props END AS sample_values, ts AS created_at
+FROM {{events}}""",
+    "performance_metrics": f"""
+SELECT event_id AS metric_id, 'run-' || lpad(CAST(user_id AS STRING), 8, '0') AS execution_id,
+       'fact_encounters' AS table_name, event_type AS operation_type, CAST(floor(value * 20) AS BIGINT) AS duration_ms,
+       CAST({EVENT_NUMBER} AS BIGINT) AS rows_affected, ts AS start_time,
+       ts + CAST(floor(value) AS INT) * INTERVAL '1' SECOND AS end_time
+FROM {{events}}""",
+    "export_history": f"""
+SELECT event_id AS export_id, 'run-' || lpad(CAST(user_id AS STRING), 8, '0') AS execution_id,
+       CASE WHEN {EVENT_NUMBER} % 2 = 0 THEN 'LOGS' ELSE 'SUMMARY' END AS export_type,
+       CASE WHEN {EVENT_NUMBER} % 3 = 0 THEN 'CSV' ELSE 'JSON' END AS output_format,
+       CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS export_status,
+       CAST({EVENT_NUMBER} * 100 AS BIGINT) AS file_size_bytes, CAST({EVENT_NUMBER} AS BIGINT) AS record_count,
+       CAST(floor(value) AS BIGINT) AS export_duration_ms, ts AS export_timestamp
+FROM {{events}}""",
+    "audit_log": f"""
+SELECT 'audit-' || lpad(CAST(event_id AS STRING), 12, '0') AS audit_id, ts AS event_timestamp,
+       CASE event_type WHEN 'view' THEN 'PATIENT_ACCESS' WHEN 'purchase' THEN 'BILLING_UPDATE'
+            WHEN 'click' THEN 'DIAGNOSIS_ACCESS' WHEN 'signup' THEN 'USER_LOGIN' ELSE 'FAILED_LOGIN' END AS event_type_code,
+       'user-' || CAST(user_id AS STRING) AS user_id,
+       CASE user_id % 7 WHEN 0 THEN 'PHYSICIAN' WHEN 1 THEN 'NURSE' WHEN 2 THEN 'BILLING_CLERK' WHEN 3 THEN 'IT_ADMIN'
+            WHEN 4 THEN 'ANALYST' WHEN 5 THEN 'AUDITOR' ELSE 'ETL_SERVICE' END AS user_role,
+       CASE event_type WHEN 'view' THEN 'patients' WHEN 'purchase' THEN 'billing' WHEN 'click' THEN 'encounter_diagnoses' END
+           AS table_name,
+       CASE event_type WHEN 'view' THEN 'SELECT' WHEN 'purchase' THEN 'UPDATE' WHEN 'click' THEN 'SELECT' ELSE 'LOGIN' END
+           AS operation_type,
+       CAST(CASE WHEN event_type IN ('view', 'purchase', 'click') THEN {EVENT_NUMBER} END AS BIGINT) AS patient_id,
+       event_type <> 'error' AS success, CAST(floor(value) AS INT) AS response_time_ms
+FROM {{events}}""",
+}
+
 # Order of the lines of an encounter, which numbers its diagnoses.
 LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"]
 
+EVENT_TABLES = ["etl_execution_log", "data_quality_log", "performance_metrics", "export_history", "audit_log"]
+
 INPUTS = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
 
 
@@ -106,14 +166,24 @@ def inputs(spark: SparkSession, sf_dir: str) -> TableSet:
     )
 
 
+def _derived(base: TableSet, name: str) -> DataFrame:
+    text = DERIVED_SQL[name]
+    used = {n: base[n] for n in INPUTS if "{" + n + "}" in text}
+    return base.spark.sql(text, **used)
+
+
+def event_tables(spark: SparkSession, sf_dir: str) -> TableSet:
+    """Run-log, export and audit tables over the supplied events."""
+    base = inputs(spark, sf_dir)
+    return TableSet(spark, {name: (lambda n=name: _derived(base, n)) for name in EVENT_TABLES})
+
+
 def clinical_tables(spark: SparkSession, sf_dir: str) -> TableSet:
     """The ten clinical source tables over the supplied data."""
     base = inputs(spark, sf_dir)
 
     def derived(name: str) -> DataFrame:
-        text = DERIVED_SQL[name]
-        used = {n: base[n] for n in INPUTS if "{" + n + "}" in text}
-        return spark.sql(text, **used)
+        return _derived(base, name)
 
     def encounter_diagnoses() -> DataFrame:
         return sequence_within(
@@ -125,6 +195,6 @@ def clinical_tables(spark: SparkSession, sf_dir: str) -> TableSet:
             hot_keys(base["lineitem"], "l_orderkey"),
         ).select("encounter_id", "diagnosis_id", "diagnosis_sequence")
 
-    makers = {name: (lambda n=name: derived(n)) for name in DERIVED_SQL if name != "diagnosis_lines"}
+    makers = {name: (lambda n=name: derived(n)) for name in CLINICAL_SCHEMAS if name in DERIVED_SQL}
     makers["encounter_diagnoses"] = encounter_diagnoses
     return TableSet(spark, makers)
