@@ -708,6 +708,15 @@ AUDIT = {
         lambda spark, sf_dir: audit.audit_gaps(trail(spark, sf_dir), AUDIT_AS_OF - dt.timedelta(days=7)),
         "SELECT * FROM gap_rows",
     ),
+    "n05_login_gaps": (
+        lambda spark, sf_dir: audit.audit_gaps(
+            trail(spark, sf_dir).where("event_type_code = 'USER_LOGIN'"), AUDIT_AS_OF - dt.timedelta(days=7)
+        ),
+        """SELECT prev_timestamp, event_timestamp, epoch_us(event_timestamp) - epoch_us(prev_timestamp) AS gap_micros
+           FROM (SELECT event_timestamp, lag(event_timestamp) OVER (ORDER BY event_timestamp) AS prev_timestamp
+                 FROM audit_log WHERE event_timestamp >= DATE '2024-01-24' AND event_type_code = 'USER_LOGIN') t
+           WHERE event_timestamp - prev_timestamp > INTERVAL 1 HOUR""",
+    ),
     "n06_orphaned_phi": (
         lambda spark, sf_dir: audit.orphaned_phi(phi(spark, sf_dir), _kept(spark, sf_dir)).select("phi_access_id", "audit_id"),
         "SELECT phi_access_id, audit_id FROM phi_access ANTI JOIN kept_audit USING (audit_id)",

@@ -7,14 +7,25 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardlake.functions import columns as C
+
 # Fixed value: events may arrive this late.
 LATENESS = "1 hour"
 BILLING_LATENESS = "7 days"
 
 
+def _instant(moment: Column) -> Column:
+    """Event time as a watermark needs it: the zoneless time read as UTC, whatever the session zone."""
+    return F.timestamp_micros(C.epoch_micros(moment))
+
+
+def _zoneless(instant: Column) -> Column:
+    return C.micros_to_timestamp(F.unix_micros(instant))
+
+
 def event_stream(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet", files_per_trigger: int = 100) -> DataFrame:
     """Parquet files of a folder as a stream."""
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
@@ -23,19 +34,21 @@ def event_stream(spark: SparkSession, folder: str, schema, pattern: str = "*.par
 
 def deduplicated(events: DataFrame, lateness: str = LATENESS) -> DataFrame:
     """Events without repeats of an id inside the watermark, which bounds the state."""
-    return events.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(["event_id"])
+    timed = events.withColumn("at", _instant(F.col("ts"))).withWatermark("at", lateness)
+    return timed.dropDuplicatesWithinWatermark(["event_id"]).drop("at")
 
 
 def alert_counts(events: DataFrame, window: str = "1 hour", slide: str | None = None, lateness: str = LATENESS) -> DataFrame:
     """Events and failures per user in tumbling or sliding windows."""
-    span = F.window("ts", window, slide) if slide else F.window("ts", window)
+    span = F.window("at", window, slide) if slide else F.window("at", window)
     return (
-        events.withWatermark("ts", lateness)
+        events.withColumn("at", _instant(F.col("ts")))
+        .withWatermark("at", lateness)
         .groupBy(span.alias("w"), "user_id")
         .agg(F.count("*").alias("events"), F.count_if(F.col("event_type") == "error").alias("failures"))
         .select(
-            F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-            F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+            _zoneless(F.col("w.start")).alias("window_start"),
+            _zoneless(F.col("w.end")).alias("window_end"),
             "user_id",
             "events",
             "failures",
@@ -46,15 +59,11 @@ def alert_counts(events: DataFrame, window: str = "1 hour", slide: str | None =
 def access_sessions(events: DataFrame, gap: str = "1 hour", lateness: str = LATENESS) -> DataFrame:
     """Sessions of a user: events no further apart than the gap."""
     return (
-        events.withWatermark("ts", lateness)
-        .groupBy(F.session_window("ts", gap).alias("w"), "user_id")
+        events.withColumn("at", _instant(F.col("ts")))
+        .withWatermark("at", lateness)
+        .groupBy(F.session_window("at", gap).alias("w"), "user_id")
         .agg(F.count("*").alias("events"), F.min("ts").alias("first_at"), F.max("ts").alias("last_at"))
-        .select(
-            "user_id",
-            "events",
-            F.col("first_at").cast("timestamp_ntz").alias("first_at"),
-            F.col("last_at").cast("timestamp_ntz").alias("last_at"),
-        )
+        .select("user_id", "events", "first_at", "last_at")
     )
 
 
@@ -63,11 +72,10 @@ def late_bills(encounters: DataFrame, billing: DataFrame, lateness: str = BILLIN
 
     ``encounters`` has encounter_id and encounter_at, ``billing`` has encounter_id, billed_at and amounts.
     """
-    e = encounters.withWatermark("encounter_at", lateness).alias("e")
-    b = billing.withWatermark("billed_at", lateness).alias("b")
+    e = encounters.withColumn("e_at", _instant(F.col("encounter_at"))).withWatermark("e_at", lateness).alias("e")
+    b = billing.withColumn("b_at", _instant(F.col("billed_at"))).withWatermark("b_at", lateness).alias("b")
     in_time = F.expr(
-        f"e.encounter_id = b.encounter_id AND b.billed_at >= e.encounter_at - INTERVAL {lateness}"
-        f" AND b.billed_at <= e.encounter_at + INTERVAL {lateness}"
+        f"e.encounter_id = b.encounter_id AND b_at >= e_at - INTERVAL {lateness} AND b_at <= e_at + INTERVAL {lateness}"
     )
     return b.join(e, in_time).select(
         F.col("b.encounter_id").alias("encounter_id"), "claim_amount", "allowed_amount", "billed_at", "encounter_at"
