@@ -32,12 +32,14 @@ def _running(points: DataFrame, hot: list, slice_micros: int) -> DataFrame:
     starts, ends = F.col("is_start").cast("long"), F.col("is_end").cast("long")
     start_at, end_at = F.when(F.col("is_start"), F.col("at")), F.when(F.col("is_end"), F.col("at"))
     none = F.lit(0).cast("long")
-    out = (
-        points.withColumn("starts_upto", F.sum(starts).over(upto))
-        .withColumn("starts_at", F.col("starts_upto") - F.coalesce(F.sum(starts).over(before), none))
-        .withColumn("ends_at", F.sum(ends).over(upto) - F.coalesce(F.sum(ends).over(before), none))
-        .withColumn("last_end", F.max(end_at).over(before))
-        .withColumn("next_start", F.min(start_at).over(after))
+    out = points.withColumns(
+        {
+            "starts_upto": F.sum(starts).over(upto),
+            "starts_at": F.sum(starts).over(upto) - F.coalesce(F.sum(starts).over(before), none),
+            "ends_at": F.sum(ends).over(upto) - F.coalesce(F.sum(ends).over(before), none),
+            "last_end": F.max(end_at).over(before),
+            "next_start": F.min(start_at).over(after),
+        }
     )
     if not hot:
         return out.drop("_slice")

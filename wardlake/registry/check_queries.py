@@ -353,7 +353,7 @@ def extract_sql(table, columns):
 INSTANT = "strftime({c}, '%Y-%m-%d %H:%M:%S.%f')"
 
 
-def _page_sql(section):
+def page_sql(section, page_entries=exports.PAGE_ENTRIES):
     table, order, _, fields, instants = exports.SECTIONS[section]
     moments = iter(instants)
     members = []
@@ -361,7 +361,7 @@ def _page_sql(section):
         c = f if isinstance(f, str) else next(moments)
         members.append(f"'{c}': {c if isinstance(f, str) else INSTANT.format(c=c)}")
     return f"""
-SELECT execution_id, '{section}' AS section, CAST((p - 1) // {exports.PAGE_ENTRIES} AS INT) AS page,
+SELECT execution_id, '{section}' AS section, CAST((p - 1) // {page_entries} AS INT) AS page,
        CAST(to_json(list({{{', '.join(members)}}} ORDER BY p)) AS VARCHAR) AS entries
 FROM (SELECT *, row_number() OVER (PARTITION BY execution_id ORDER BY {', '.join(order)}) AS p FROM {table}) t
 GROUP BY 1, 2, 3"""
@@ -379,7 +379,7 @@ DOCUMENT_SQL = " UNION ALL ".join(
            'successful_steps': successful_steps, 'failed_steps': failed_steps, 'total_rows_processed': total_rows_processed,
            'total_duration_seconds': total_duration_seconds}) AS VARCHAR) AS entries FROM run_summary"""
     ]
-    + [_page_sql(s) for s in exports.SECTIONS]
+    + [page_sql(s) for s in exports.SECTIONS]
 )
 HISTORY_SQL = " UNION ALL ".join(
     f"SELECT execution_id, '{kind}' AS export_type, '{form}' AS output_format, 'SUCCESS' AS export_status, {n} AS record_count FROM {table} GROUP BY 1"

@@ -14,8 +14,10 @@ from wardlake.functions import columns as C
 from wardlake.operators.intervals import returns_within
 from wardlake.operators.skew import hot_keys, sequence_within, tally, union_all
 from wardlake.plans import dims, fact
+from wardlake.plans.exports import document_pages
 from wardlake.plans.queries_source import RETURN_TYPES, provider_specialties
-from wardlake.registry.check_queries import logs, snapshots
+from wardlake.plans.validate import CPT_PATTERN
+from wardlake.registry.check_queries import logs, page_sql, snapshots
 from wardlake.registry.oracle_base import div, key_of, pct, rnd
 from wardlake.registry.warehouse_queries import AS_OF, source, star
 
@@ -82,16 +84,26 @@ PREDICATES = {
         "SELECT encounter_id, encounter_type FROM encounters WHERE discharge_date IS NULL AND encounter_type IS NOT NULL",
     ),
     "b06_like_prefix": (
-        on_source(lambda s: s["patients"].where(F.col("last_name").like("Customer#00000001%")).select("patient_id", "last_name")),
-        "SELECT patient_id, last_name FROM patients WHERE last_name LIKE 'Customer#00000001%'",
+        on_source(
+            lambda s: s["encounter_diagnoses"]
+            .join(s["diagnoses"].where(F.col("icd10_code").like("I%")), "diagnosis_id")
+            .select("encounter_id", "diagnosis_sequence", "icd10_code")
+        ),
+        """SELECT encounter_id, diagnosis_sequence, icd10_code FROM encounter_diagnoses JOIN diagnoses USING (diagnosis_id)
+           WHERE icd10_code LIKE 'I%'""",
     ),
     "b07_ilike_contains": (
         on_source(lambda s: s["departments"].where(F.col("department_name").ilike("%er%")).select("department_id", "department_name")),
         "SELECT department_id, department_name FROM departments WHERE department_name ILIKE '%er%'",
     ),
     "b08_regex_mismatch": (
-        on_source(lambda s: s["patients"].where(~F.col("mrn").rlike("^MRN[0-9]*[02468]$")).select("patient_id", "mrn")),
-        "SELECT patient_id, mrn FROM patients WHERE NOT regexp_matches(mrn, '^MRN[0-9]*[02468]$')",
+        on_source(
+            lambda s: s["encounter_procedures"]
+            .join(s["procedures"].where(~F.col("cpt_code").rlike(CPT_PATTERN)), "procedure_id")
+            .select("encounter_id", "cpt_code", "procedure_date")
+        ),
+        """SELECT encounter_id, cpt_code, procedure_date FROM encounter_procedures JOIN procedures USING (procedure_id)
+           WHERE NOT regexp_full_match(cpt_code, '[0-9]{5}')""",
     ),
     "b09_date_range": (
         on_source(
@@ -364,14 +376,8 @@ AGGREGATES = {
            FROM (SELECT user_id, unnest([table_name, operation_type]) AS element FROM audit_log) t GROUP BY 1""",
     ),
     "d14_ordered_struct_list": (
-        on_source(
-            lambda s: s["providers"].groupBy("specialty_id", "department_id").agg(
-                F.to_json(F.array_sort(F.collect_list(F.struct("provider_id", "credential")))).alias("staff")
-            )
-        ),
-        """SELECT specialty_id, department_id,
-                  CAST(to_json(list({'provider_id': provider_id, 'credential': credential} ORDER BY provider_id)) AS VARCHAR) AS staff
-           FROM providers GROUP BY 1, 2""",
+        on_logs(lambda t: document_pages(t, "data_quality_issues", page_entries=25)),
+        page_sql("data_quality_issues", 25),
     ),
     "d15_duplicates": (
         on_source(

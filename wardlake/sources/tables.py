@@ -103,7 +103,8 @@ def _jdbc_schema(name: str) -> str:
     return CLINICAL_SCHEMAS[name].replace("timestamp_ntz", "timestamp")
 
 
-def store_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
-    """Write every table of the set as a Parquet folder."""
+def store_tables(tables: Mapping[str, DataFrame], folder: str, files: int | None = None) -> None:
+    """Write every table of the set as a Parquet folder, optionally spread evenly over a number of files."""
     for name in tables:
-        tables[name].write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}")
+        table = tables[name].repartition(files) if files else tables[name]
+        table.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}")
