@@ -90,12 +90,13 @@ def test_contiguous_keys(spark):
     assert [(r.id, r.k) for r in keyed.orderBy("id").collect()] == [(i, i + 1) for i in range(101)]
 
 
-def test_pair_counts_equal_the_plain_join(spark):
+@pytest.mark.parametrize("hot", [[], [3]])
+def test_pair_counts_equal_the_plain_join(spark, hot):
     rng = random.Random(9)
     left = spark.createDataFrame([(rng.randrange(10), rng.randrange(4)) for _ in range(80)], "e bigint, d int")
     right = spark.createDataFrame([(rng.randrange(12), rng.randrange(5)) for _ in range(90)], "e bigint, p int")
     plain = Counter((r.d, r.p) for r in left.join(right, "e").collect())
     counted = Counter()
-    for r in paired_counts(left, right, "e", "d", "p").collect():
+    for r in paired_counts(left, right, "e", "d", "p", hot).collect():
         counted[(r.d, r.p)] += r.pairs
     assert counted == plain

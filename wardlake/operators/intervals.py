@@ -22,13 +22,14 @@ def _running(points: DataFrame, hot: list, slice_micros: int) -> DataFrame:
     starts_upto: starts at or before the point; starts_at, ends_at: starts and ends at the very instant;
     next_start: first start after it; last_end: last end before it.
     """
-    points = points.withColumn(
-        "_slice", slice_of(F.col("patient"), hot, F.floor(F.col("at") / slice_micros).cast("bigint"))
-    )
-    line = Window.partitionBy("patient", "_slice").orderBy("at")
+    line_keys = ["patient"]
+    if hot:
+        within = F.floor(F.col("at") / slice_micros).cast("bigint")
+        points, line_keys = points.withColumn("_slice", slice_of(F.col("patient"), hot, within)), ["patient", "_slice"]
+    line = Window.partitionBy(*line_keys).orderBy("at")
     upto = line.rangeBetween(Window.unboundedPreceding, 0)
     before = line.rangeBetween(Window.unboundedPreceding, -1)
-    after = Window.partitionBy("patient", "_slice").orderBy(F.desc("at")).rangeBetween(Window.unboundedPreceding, -1)
+    after = Window.partitionBy(*line_keys).orderBy(F.desc("at")).rangeBetween(Window.unboundedPreceding, -1)
     starts, ends = F.col("is_start").cast("long"), F.col("is_end").cast("long")
     start_at, end_at = F.when(F.col("is_start"), F.col("at")), F.when(F.col("is_end"), F.col("at"))
     none = F.lit(0).cast("long")
@@ -42,7 +43,7 @@ def _running(points: DataFrame, hot: list, slice_micros: int) -> DataFrame:
         }
     )
     if not hot:
-        return out.drop("_slice")
+        return out
 
     per_slice = (
         points.where(F.col("_slice").isNotNull())
@@ -70,21 +71,8 @@ def _running(points: DataFrame, hot: list, slice_micros: int) -> DataFrame:
     )
 
 
-def returns_within(
-    visits: DataFrame,
-    horizon_micros: int,
-    hot: list,
-    exclude_self: bool = True,
-    carry: tuple[str, ...] = (),
-    slice_micros: int = MICROS_PER_DAY,
-) -> DataFrame:
-    """Per ended index visit: returns in (end, end + horizon], the first of them, and whether it is itself a return.
-
-    ``visits`` has patient, visit, start_at, end_at (microseconds, end may be NULL), is_index, is_return. Starts count
-    when ``is_return``; ends count when ``is_index``. With ``exclude_self`` a visit whose end lies before its own start
-    is not its own return. ``hot`` lists the patients to cut into slices,
-    ``carry`` the visit columns to keep. Output: visit, patient, end_at, returns, first_return (microseconds), is_return_visit.
-    """
+def _timeline(visits: DataFrame, horizon_micros: int, hot: list, carry: tuple[str, ...], slice_micros: int) -> DataFrame:
+    """The points of all visits with their running measures."""
     ended = F.col("end_at").isNotNull() & F.col("is_index")
     marks = [
         (START, F.col("start_at"), F.col("start_at").isNotNull(), F.col("is_return"), F.lit(False)),
@@ -102,10 +90,41 @@ def returns_within(
             for kind, at, used, is_start, is_end in marks
         ]
     )
-    points = visits.select(
-        "patient", "visit", "start_at", "end_at", "is_return", *carry, F.explode(F.array_compact(structs)).alias("m")
-    ).select("patient", "visit", "start_at", "end_at", "is_return", *carry, "m.*")
-    timeline = _running(points, hot, slice_micros)
+    kept = ["patient", "visit", "start_at", "end_at", "is_return", *carry]
+    points = visits.select(*kept, F.inline(F.array_compact(structs)))
+    return _running(points, hot, slice_micros)
+
+
+def total_returns(
+    visits: DataFrame, horizon_micros: int, hot: list, by: str, slice_micros: int = MICROS_PER_DAY
+) -> DataFrame:
+    """Ended index visits and their returns per value of ``by``, a visit itself among its returns if it qualifies.
+
+    Sums of differences are differences of sums, so the points are added up directly, without a row per visit.
+    """
+    timeline = _timeline(visits, horizon_micros, hot, (by,), slice_micros)
+    sign = F.when(F.col("kind") == LIMIT, F.col("starts_upto")).when(F.col("kind") == END, -F.col("starts_upto"))
+    return timeline.groupBy(by).agg(
+        F.count_if(F.col("kind") == END).alias("visits"), F.coalesce(F.sum(sign), F.lit(0)).alias("returns")
+    ).where(F.col("visits") > 0)
+
+
+def returns_within(
+    visits: DataFrame,
+    horizon_micros: int,
+    hot: list,
+    exclude_self: bool = True,
+    carry: tuple[str, ...] = (),
+    slice_micros: int = MICROS_PER_DAY,
+) -> DataFrame:
+    """Per ended index visit: returns in (end, end + horizon], the first of them, and whether it is itself a return.
+
+    ``visits`` has patient, visit, start_at, end_at (microseconds, end may be NULL), is_index, is_return. Starts count
+    when ``is_return``; ends count when ``is_index``. With ``exclude_self`` a visit whose end lies before its own start
+    is not its own return. ``hot`` lists the patients to cut into slices, ``carry`` the visit columns to keep.
+    Output: patient, visit, end_at, carried columns, returns, first_return (microseconds), is_return_visit.
+    """
+    timeline = _timeline(visits, horizon_micros, hot, carry, slice_micros)
 
     def at(kind: str, value: str) -> Column:
         return F.max(F.when(F.col("kind") == kind, F.col(value)))

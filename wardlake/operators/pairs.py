@@ -6,14 +6,21 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def paired_counts(left: DataFrame, right: DataFrame, parent: str, left_code: str, right_code: str) -> DataFrame:
-    """Row pairs and parents per (left code, right code).
+def paired_counts(
+    left: DataFrame, right: DataFrame, parent: str, left_code: str, right_code: str, hot: list
+) -> DataFrame:
+    """Row pairs and parents per (left code, right code): parent, left code, right code, pairs.
 
-    Both sides are counted per parent and code first, with map-side combining, so a parent with many rows shrinks to
-    one row per code before the join. Output: parent, left code, right code, pairs.
+    Both sides are counted per parent and code before the join, so a parent with many rows shrinks to one row per code.
+    Partitioning the rows by parent first lets count and join share one shuffle. With a parent listed in ``hot`` the
+    rows are counted where they lie before anything is shuffled, at the price of a second shuffle.
     """
-    left_counts = left.groupBy(parent, left_code).agg(F.count("*").alias("_left"))
-    right_counts = right.groupBy(parent, right_code).agg(F.count("*").alias("_right"))
-    return left_counts.join(right_counts, parent).select(
-        parent, left_code, right_code, (F.col("_left") * F.col("_right")).alias("pairs")
-    )
+
+    def counted(rows: DataFrame, code: str, name: str) -> DataFrame:
+        placed = rows.select(parent, code)
+        if not hot:
+            placed = placed.repartition(parent)
+        return placed.groupBy(parent, code).agg(F.count("*").alias(name))
+
+    joined = counted(left, left_code, "_left").join(counted(right, right_code, "_right"), parent)
+    return joined.select(parent, left_code, right_code, (F.col("_left") * F.col("_right")).alias("pairs"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlake.operators.change import split_by_age
-from wardlake.operators.skew import hot_keys, sequence_within, union_all
+from wardlake.operators.skew import sequence_within, union_all
 from wardlake.plans.runlog import run_summary
 
 # Columns of the three extracts and the value that stands in for NULL.
@@ -122,7 +122,7 @@ def document_pages(logs, section: str, page_entries: int = PAGE_ENTRIES) -> Data
     moments = iter(instants)
     shown = [f if isinstance(f, str) else f(next(moments)) for f in fields]
     coarse = F.col(step).cast("bigint") if step else F.unix_date(F.to_date(order[0])).cast("bigint")
-    numbered = sequence_within(rows, "execution_id", order, "_position", coarse, hot_keys(rows, "execution_id"))
+    numbered = sequence_within(rows, "execution_id", order, "_position", coarse, logs.hot_keys(table, "execution_id"))
     page = F.floor((F.col("_position") - 1) / page_entries).cast("int")
     entries = F.transform(F.array_sort(F.collect_list(F.struct("_position", "entry"))), lambda e: e["entry"])
     return (

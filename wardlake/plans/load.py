@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlake.operators.change import overwrite_partitions
-from wardlake.operators.skew import hot_keys
 from wardlake.plans import dims, fact
 from wardlake.plans.queries_star import refresh_pair_summary
 from wardlake.plans.runlog import RunLog, read_run_log
@@ -75,12 +74,12 @@ def run_warehouse_load(
     with log.step("Populate bridge tables") as rows:
         dx = fact.bridge_diagnoses(src["encounter_diagnoses"], loaded, stored["dim_diagnosis"])
         rows.watch(dx).write.mode("overwrite").parquet(f"{root}/bridge_encounter_diagnoses")
-        hot = hot_keys(src["encounter_procedures"], "encounter_id")
+        hot = src.hot_keys("encounter_procedures", "encounter_id")
         px = fact.bridge_procedures(src["encounter_procedures"], loaded, stored["dim_procedure"], hot)
         rows.watch(px).write.mode("overwrite").parquet(f"{root}/bridge_encounter_procedures")
 
     with log.step("Calculate readmission metrics") as rows:
-        measures = fact.readmission_measures(loaded, hot_keys(loaded, "patient_key"))
+        measures = fact.readmission_measures(loaded, src.hot_keys("encounters", "patient_id"))
         rows.watch(measures).write.parquet(stages["readmission"])
 
     with log.step("Update primary diagnosis keys") as rows:

@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlake.functions import columns as C
-from wardlake.operators.intervals import returns_within
+from wardlake.operators.intervals import returns_within, total_returns
 from wardlake.operators.pairs import paired_counts
-from wardlake.operators.skew import hot_keys, union_all
+from wardlake.operators.skew import union_all
 from wardlake.plans.fact import READMISSION_DAYS
 
 # Stays that start the 30-day clock and visits that count as a return.
@@ -63,8 +63,9 @@ def diagnosis_procedure_pairs(src, described: bool = False, limit: int = 10) ->
     diagnosed = src["encounter_diagnoses"]
     if described:
         diagnosed = diagnosed.join(src["encounters"].select("encounter_id"), "encounter_id", "left_semi")
+    hot = src.hot_keys("encounter_diagnoses", "encounter_id") + src.hot_keys("encounter_procedures", "encounter_id")
     pairs = (
-        paired_counts(diagnosed, src["encounter_procedures"], "encounter_id", "diagnosis_id", "procedure_id")
+        paired_counts(diagnosed, src["encounter_procedures"], "encounter_id", "diagnosis_id", "procedure_id", hot)
         .groupBy("diagnosis_id", "procedure_id")
         .agg(F.sum("pairs").alias("pairs"))
     )
@@ -79,9 +80,9 @@ def diagnosis_procedure_pairs(src, described: bool = False, limit: int = 10) ->
     )
 
 
-def _measured_stays(src, is_return: Column) -> DataFrame:
-    """Inpatient stays with their returns, by specialty."""
-    visits = (
+def _stays(src, is_return: Column) -> DataFrame:
+    """Inpatient stays and the visits that count as a return."""
+    return (
         src["encounters"]
         .select(
             F.col("patient_id").alias("patient"),
@@ -94,14 +95,9 @@ def _measured_stays(src, is_return: Column) -> DataFrame:
         )
         .where("is_index OR is_return")
     )
-    measured = returns_within(
-        visits,
-        READMISSION_DAYS * C.MICROS_PER_DAY,
-        hot_keys(src["encounters"], "patient_id"),
-        exclude_self=False,
-        carry=("provider_id",),
-    )
-    return measured.join(provider_specialties(src), "provider_id")
+
+
+HORIZON = READMISSION_DAYS * C.MICROS_PER_DAY
 
 
 def highest_return_rate(src, with_all_stays: bool = False) -> DataFrame:
@@ -112,8 +108,10 @@ def highest_return_rate(src, with_all_stays: bool = False) -> DataFrame:
     """
     returned = F.col("returns") > 0
     stays = F.count("*") if with_all_stays else F.count_if(returned)
+    hot = src.hot_keys("encounters", "patient_id")
+    measured = returns_within(_stays(src, F.lit(True)), HORIZON, hot, exclude_self=False, carry=("provider_id",))
     return (
-        _measured_stays(src, F.lit(True))
+        measured.join(provider_specialties(src), "provider_id")
         .groupBy("specialty_name")
         .agg(F.sum("returns").alias("readmission_count"), stays.alias("total_discharges"))
         .where(F.col("readmission_count") > 0 if not with_all_stays else F.lit(True))
@@ -128,10 +126,12 @@ def highest_return_rate(src, with_all_stays: bool = False) -> DataFrame:
 
 def inpatient_return_rates(src) -> DataFrame:
     """Returns to Inpatient or ER per discharged inpatient stay, for each specialty."""
+    stays = _stays(src, F.col("encounter_type").isin(*RETURN_TYPES))
+    per_provider = total_returns(stays, HORIZON, src.hot_keys("encounters", "patient_id"), "provider_id")
     return (
-        _measured_stays(src, F.col("encounter_type").isin(*RETURN_TYPES))
+        per_provider.join(provider_specialties(src), "provider_id")
         .groupBy("specialty_id", "specialty_name")
-        .agg(F.count("*").alias("total_discharges"), F.sum("returns").alias("total_readmissions"))
+        .agg(F.sum("visits").alias("total_discharges"), F.sum("returns").alias("total_readmissions"))
         .select(
             "specialty_name",
             "total_discharges",

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from wardlake.functions import columns as C
 from wardlake.operators.intervals import days_over_returns, returns_within
 from wardlake.operators.pairs import paired_counts
-from wardlake.operators.skew import hot_keys
 from wardlake.plans.dims import EMERGENCY_TYPES
 from wardlake.plans.fact import READMISSION_DAYS, encounter_analytics
 from wardlake.plans.queries_source import INPATIENT, RETURN_TYPES
@@ -132,7 +131,10 @@ def _pairs(wh, dx_labels: list[str], px_labels: list[str], primary_only: bool) -
         diagnosed = diagnosed.where(F.col("diagnosis_sequence") == 1)
     diagnosed = _one_key_per_label(diagnosed, wh["dim_diagnosis"], "diagnosis_key", dx_labels)
     treated = _one_key_per_label(wh["bridge_encounter_procedures"], wh["dim_procedure"], "procedure_key", px_labels)
-    return paired_counts(diagnosed, treated, "encounter_key", "diagnosis_key", "procedure_key")
+    hot = wh.hot_keys("bridge_encounter_diagnoses", "encounter_key") + wh.hot_keys(
+        "bridge_encounter_procedures", "encounter_key"
+    )
+    return paired_counts(diagnosed, treated, "encounter_key", "diagnosis_key", "procedure_key", hot)
 
 
 def _pair_totals(wh, dx_labels: list[str], px_labels: list[str]) -> DataFrame:
@@ -260,7 +262,7 @@ def _visits(fact: DataFrame) -> DataFrame:
 
 
 def readmission_risk(
-    wh, as_of: dt.date, min_discharges: int = 50, with_all_discharges: bool = False, hot: list | None = None
+    wh, as_of: dt.date, min_discharges: int = 50, with_all_discharges: bool = False
 ) -> DataFrame:
     """Q3 of the last year with a risk band, from the visits themselves.
 
@@ -269,7 +271,7 @@ def readmission_risk(
     """
     since = as_of.replace(year=as_of.year - 1) if (as_of.month, as_of.day) != (2, 29) else dt.date(as_of.year - 1, 2, 28)
     since_key = since.year * 10000 + since.month * 100 + since.day
-    hot = hot_keys(wh["fact_encounters"], "patient_key") if hot is None else hot
+    hot = wh.hot_keys("fact_encounters", "patient_key")
     visits = _visits(wh["fact_encounters"]).withColumn("is_index", F.col("encounter_date_key") >= since_key)
     horizon = READMISSION_DAYS * C.MICROS_PER_DAY
     measured = returns_within(visits, horizon, hot, exclude_self=False, carry=("specialty_key",))
@@ -348,12 +350,12 @@ def inpatient_readmission_from_flags(wh) -> DataFrame:
     )
 
 
-def calendar_day_returns(wh, with_all_stays: bool = False, hot: list | None = None) -> DataFrame:
+def calendar_day_returns(wh, with_all_stays: bool = False) -> DataFrame:
     """Q3 on calendar days: inpatient stays and returns to Inpatient or ER in the 30 days after the discharge day.
 
     The plain question keeps only stays with a return; ``with_all_stays`` counts every inpatient stay.
     """
-    hot = hot_keys(wh["fact_encounters"], "patient_key") if hot is None else hot
+    hot = wh.hot_keys("fact_encounters", "patient_key")
     days = wh["dim_date"].select("date_key", F.unix_date("calendar_date").cast("bigint").alias("day"))
     began = days.select(F.col("date_key").alias("encounter_date_key"), F.col("day").alias("start_at"))
     left = days.select(F.col("date_key").alias("discharge_date_key"), F.col("day").alias("end_at"))

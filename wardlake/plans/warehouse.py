@@ -6,7 +6,6 @@ import datetime as dt
 
 from pyspark.sql import SparkSession
 
-from wardlake.operators.skew import hot_keys
 from wardlake.plans import dims, fact
 from wardlake.sources.tables import TableSet
 
@@ -37,7 +36,7 @@ def derive_warehouse(src: TableSet, as_of: dt.date, calendar: tuple[dt.date, dt.
     wh: TableSet
 
     def readmission():
-        return fact.readmission_measures(wh["fact_resolved"], hot_keys(src["encounters"], "patient_id"))
+        return fact.readmission_measures(wh["fact_resolved"], src.hot_keys("encounters", "patient_id"))
 
     def calendar_table():
         return dims.dim_date(spark, *(calendar or dims.calendar_bounds(src)))
@@ -72,9 +71,14 @@ def derive_warehouse(src: TableSet, as_of: dt.date, calendar: tuple[dt.date, dt.
                 src["encounter_procedures"],
                 wh["fact_resolved"],
                 wh["dim_procedure"],
-                hot_keys(src["encounter_procedures"], "encounter_id"),
+                src.hot_keys("encounter_procedures", "encounter_id"),
             ),
         },
+        hot_from={
+            ("fact_encounters", "patient_key"): (src, "encounters", "patient_id"),
+            ("bridge_encounter_diagnoses", "encounter_key"): (src, "encounter_diagnoses", "encounter_id"),
+            ("bridge_encounter_procedures", "encounter_key"): (src, "encounter_procedures", "encounter_id"),
+        },
     )
     return wh
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from wardlake.functions import columns as C
 from wardlake.operators import change
 from wardlake.operators.keys import with_contiguous_key
-from wardlake.operators.skew import hot_keys, union_all
+from wardlake.operators.skew import union_all
 from wardlake.plans import dims, fact, incremental, load
 from wardlake.plans.warehouse import derive_warehouse, open_warehouse
 from wardlake.registry.check_queries import LATER_SQL, logs, snapshots
@@ -162,14 +162,14 @@ def _before_cutoff(spark, sf_dir):
 def _fact_merged(spark, sf_dir):
     src, early, current, ids = _before_cutoff(spark, sf_dir)
     stored = _saved(spark, early["fact_encounters"], "fact")
-    return plain(incremental.merge_fact(stored, src, current, ids, hot_keys(src["encounters"], "patient_id")))
+    return plain(incremental.merge_fact(stored, src, current, ids, src.hot_keys("encounters", "patient_id")))
 
 
 def _bridge_merged(name):
     def run(spark, sf_dir):
         src, early, current, ids = _before_cutoff(spark, sf_dir)
         stored = {n: _saved(spark, early[n], n) for n in ("bridge_encounter_diagnoses", "bridge_encounter_procedures")}
-        hot = hot_keys(src["encounter_procedures"], "encounter_id")
+        hot = src.hot_keys("encounter_procedures", "encounter_id")
         return incremental.merge_bridges(stored, src, current, ids, hot)[name]
 
     return run

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from wardlake.functions import columns as C
 from wardlake.operators.intervals import returns_within
-from wardlake.operators.skew import hot_keys, sequence_within, tally, union_all
+from wardlake.operators.skew import sequence_within, tally, union_all
 from wardlake.plans import dims, fact
 from wardlake.plans.exports import document_pages
 from wardlake.plans.queries_source import RETURN_TYPES, provider_specialties
@@ -156,7 +156,7 @@ def _visits(s, is_index, is_return):
 
 def _returns(s, keep_all):
     """Returns per discharge; the inner form keeps only discharges with a return."""
-    found = returns_within(_visits(s, F.lit(True), F.lit(True)), HORIZON, hot_keys(s["encounters"], "patient_id"))
+    found = returns_within(_visits(s, F.lit(True), F.lit(True)), HORIZON, s.hot_keys("encounters", "patient_id"))
     found = found if keep_all else found.where(F.col("returns") > 0)
     return found.select(
         F.col("visit").alias("encounter_id"),
@@ -412,7 +412,7 @@ ORDERED = {
         on_source(
             lambda s: sequence_within(
                 s["encounter_procedures"], "encounter_id", ["procedure_date", "procedure_id", "tie_id"], "position",
-                F.unix_date("procedure_date").cast("bigint"), hot_keys(s["encounter_procedures"], "encounter_id"),
+                F.unix_date("procedure_date").cast("bigint"), s.hot_keys("encounter_procedures", "encounter_id"),
             )
         ),
         """SELECT *, row_number() OVER (PARTITION BY encounter_id ORDER BY procedure_date, procedure_id, tie_id) AS position

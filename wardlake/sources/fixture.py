@@ -10,7 +10,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlake.operators.skew import hot_keys, sequence_within
+from wardlake.operators.skew import sequence_within
 from wardlake.sources.tables import CLINICAL_SCHEMAS, TableSet
 
 # Reference dates in place of the current date: the last order day and the day after the last event.
@@ -192,9 +192,12 @@ def clinical_tables(spark: SparkSession, sf_dir: str) -> TableSet:
             LINE_ORDER,
             "diagnosis_sequence",
             F.col("l_linenumber").cast("bigint"),
-            hot_keys(base["lineitem"], "l_orderkey"),
+            base.hot_keys("lineitem", "l_orderkey"),
         ).select("encounter_id", "diagnosis_id", "diagnosis_sequence")
 
     makers = {name: (lambda n=name: derived(n)) for name in CLINICAL_SCHEMAS if name in DERIVED_SQL}
     makers["encounter_diagnoses"] = encounter_diagnoses
-    return TableSet(spark, makers)
+    # Both child tables hold at most the lines of an order.
+    lines = (base, "lineitem", "l_orderkey")
+    children = ("encounter_diagnoses", "encounter_procedures")
+    return TableSet(spark, makers, {(child, "encounter_id"): lines for child in children})

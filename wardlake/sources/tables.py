@@ -6,6 +6,8 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wardlake.operators import skew
+
 # Column names and types of the ten source tables.
 CLINICAL_SCHEMAS = {
     "patients": "patient_id bigint, first_name string, last_name string, date_of_birth date, gender string, mrn string",
@@ -25,12 +27,18 @@ CLINICAL_SCHEMAS = {
 
 
 class TableSet(Mapping):
-    """Named tables, each built on first use so that unused ones cost nothing."""
+    """Named tables, each built on first use so that unused ones cost nothing.
+
+    The keys with very many rows are looked up once per table and kept; they only steer how work is split. ``hot_from``
+    names the stored column that a derived column copies: (table, column) -> (table set, table, column).
+    """
 
-    def __init__(self, spark: SparkSession, makers: Mapping[str, Callable[[], DataFrame]]):
+    def __init__(self, spark: SparkSession, makers: Mapping[str, Callable[[], DataFrame]], hot_from: Mapping | None = None):
         self.spark = spark
         self._makers = dict(makers)
         self._made: dict[str, DataFrame] = {}
+        self._hot_from = dict(hot_from or {})
+        self._hot: dict[tuple[str, str], list] = {}
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._made:
@@ -43,6 +51,17 @@ class TableSet(Mapping):
     def __len__(self):
         return len(self._makers)
 
+    def hot_keys(self, name: str, column: str) -> list:
+        """Values of the column held by so many rows that their group must be split."""
+        place = (name, column)
+        if place not in self._hot:
+            if place in self._hot_from:
+                tables, table, stored_column = self._hot_from[place]
+                self._hot[place] = tables.hot_keys(table, stored_column)
+            else:
+                self._hot[place] = skew.hot_keys(self[name], column)
+        return self._hot[place]
+
     def register_views(self) -> None:
         """Publish every table as a temporary view."""
         for name in self:
