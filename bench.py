@@ -44,6 +44,7 @@ def main() -> None:
             "spark.ui.enabled": "false",
             "spark.driver.memory": "12g",
             "spark.python.sql.dataFrameDebugging.enabled": "false",
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
         },
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -153,10 +153,10 @@ def export_run_logs(logs, folder: str, types: tuple[str, ...] = ("LOGS", "QUALIT
     spark = logs.spark
     plans = {
         ("LOGS", "CSV"): lambda p: write_csv(extract(logs["etl_execution_log"], LOG_EXTRACT), p, ["execution_id", "step_order", "log_id"], ["execution_id"]),
-        ("LOGS", "JSON"): lambda p: run_documents(logs).write.mode("overwrite").partitionBy("execution_id").json(p),
+        ("LOGS", "JSON"): lambda p: run_documents(logs).hint("rebalance", "execution_id").write.mode("overwrite").partitionBy("execution_id").json(p),
         ("QUALITY_REPORT", "CSV"): lambda p: write_csv(extract(logs["data_quality_log"], ISSUE_EXTRACT), p, ["execution_id", "created_at", "quality_id"], ["execution_id"]),
         ("PERFORMANCE", "CSV"): lambda p: write_csv(extract(logs["performance_metrics"], METRIC_EXTRACT), p, ["execution_id", "start_time", "metric_id"], ["execution_id"]),
-        ("SUMMARY", "JSON"): lambda p: run_summary(logs["etl_execution_log"]).write.mode("overwrite").partitionBy("execution_id").json(p),
+        ("SUMMARY", "JSON"): lambda p: run_summary(logs["etl_execution_log"]).hint("rebalance", "execution_id").write.mode("overwrite").partitionBy("execution_id").json(p),
     }
     tables = {"LOGS": "etl_execution_log", "SUMMARY": "etl_execution_log", "QUALITY_REPORT": "data_quality_log", "PERFORMANCE": "performance_metrics"}
     history = []
