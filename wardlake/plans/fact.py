@@ -128,13 +128,16 @@ def bridge_diagnoses(links: DataFrame, fact: DataFrame, dim: DataFrame) -> DataF
 
 
 def bridge_procedures(links: DataFrame, fact: DataFrame, dim: DataFrame, hot: list) -> DataFrame:
-    """Procedures of loaded encounters, numbered by date, procedure and line."""
+    """Procedures of loaded encounters, numbered by date, procedure and line.
+
+    Numbered by encounter id, by which the join has placed the rows already.
+    """
     resolved = links.join(fact.select("encounter_id", "encounter_key"), "encounter_id").join(
         dim.select("procedure_id", "procedure_key"), "procedure_id"
     )
     numbered = sequence_within(
         resolved,
-        "encounter_key",
+        "encounter_id",
         ["procedure_date", "procedure_id", "tie_id"],
         "procedure_sequence",
         F.unix_date("procedure_date").cast("bigint"),

@@ -54,6 +54,11 @@ def _double(name: str, out: str):
 
 
 
+def _rows_per(df: DataFrame, key: str) -> DataFrame:
+    """Rows per key as ``n``: what a join with the dimension of that key then handles is one row per key."""
+    return df.groupBy(key).agg(F.count("*").alias("n"))
+
+
 def monthly_volume(wh, as_of: dt.date) -> DataFrame:
     """Q1 with the split by kind of encounter, this and the two previous years."""
     kind = F.col("encounter_type")
@@ -147,7 +152,7 @@ def _pair_totals(wh, dx_labels: list[str], px_labels: list[str]) -> DataFrame:
         .agg(
             F.sum("pairs").alias("n"),
             F.count("*").alias("encounters_with_pair"),
-            F.sum(F.col("total_allowed_amount") * F.col("pairs").cast("decimal(10,0)")).alias(
+            F.sum(F.col("total_allowed_amount") * F.col("pairs").cast("decimal(20,0)")).alias(
                 "sum_total_allowed_amount"
             ),
             F.sum(F.col("length_of_stay_hours") * F.col("pairs")).alias("sum_length_of_stay_hours"),
@@ -550,13 +555,15 @@ def top_revenue_diagnoses(wh, min_encounters: int = 20, limit: int = 15) -> Data
 def demographics(wh, as_of: dt.date) -> DataFrame:
     """Encounters, patients and revenue by age band and gender, this and the previous year."""
     people = wh["dim_patient"].select("patient_key", "age_group", "gender")
+    per_patient = _dated(wh, as_of.year - 1).groupBy("patient_key").agg(
+        F.count("*").alias("encounters"), F.sum("total_allowed_amount").alias("total_allowed_amount")
+    )
     return (
-        _dated(wh, as_of.year - 1)
-        .join(people, "patient_key")
+        per_patient.join(people, "patient_key")
         .groupBy("age_group", "gender")
         .agg(
-            F.count("*").alias("n"),
-            F.countDistinct("patient_key").alias("unique_patients"),
+            F.sum("encounters").alias("n"),
+            F.count("*").alias("unique_patients"),
             _total("total_allowed_amount"),
         )
         .select(
@@ -619,18 +626,15 @@ def monthly_trend(wh) -> DataFrame:
 
 def patient_complexity(wh) -> DataFrame:
     """Mean diagnoses, procedures, cost and stay by age band and encounter type."""
+    measures = ["diagnosis_count", "procedure_count", "total_allowed_amount", "length_of_stay_hours"]
+    per_patient = wh["fact_encounters"].groupBy("patient_key", "encounter_type_key").agg(
+        F.count("*").alias("encounters"), *[F.sum(m).alias(m) for m in measures]
+    )
     return (
-        wh["fact_encounters"]
-        .join(wh["dim_patient"].select("patient_key", "age_group"), "patient_key")
+        per_patient.join(wh["dim_patient"].select("patient_key", "age_group"), "patient_key")
         .join(_types(wh), "encounter_type_key")
         .groupBy("age_group", "encounter_type")
-        .agg(
-            F.count("*").alias("n"),
-            _total("diagnosis_count"),
-            _total("procedure_count"),
-            _total("total_allowed_amount"),
-            _total("length_of_stay_hours"),
-        )
+        .agg(F.sum("encounters").alias("n"), *[_total(m) for m in measures])
         .select(
             "age_group",
             "encounter_type",
@@ -661,11 +665,11 @@ def encounters_per_department(wh) -> DataFrame:
     departments = wh["dim_department"].select("department_key", "department_name")
     providers = wh["dim_provider"].select("provider_key", F.col("department_key").alias("provider_department"))
     return (
-        wh["fact_encounters"]
+        _rows_per(wh["fact_encounters"], "provider_key")
         .join(providers, "provider_key")
         .join(departments.withColumnRenamed("department_key", "provider_department"), "provider_department")
         .groupBy("department_name")
-        .agg(F.count("*").alias("encounter_count"))
+        .agg(F.sum("n").alias("encounter_count"))
         .orderBy(F.desc("encounter_count"), "department_name")
     )
 
@@ -673,10 +677,10 @@ def encounters_per_department(wh) -> DataFrame:
 def top_diagnoses(wh, limit: int = 10) -> DataFrame:
     shown = ["icd10_code", "icd10_description"]
     return (
-        wh["bridge_encounter_diagnoses"]
+        _rows_per(wh["bridge_encounter_diagnoses"], "diagnosis_key")
         .join(wh["dim_diagnosis"].select("diagnosis_key", *shown), "diagnosis_key")
         .groupBy(*shown)
-        .agg(F.count("*").alias("diagnosis_count"))
+        .agg(F.sum("n").alias("diagnosis_count"))
         .orderBy(F.desc("diagnosis_count"), *shown)
         .limit(limit)
     )
@@ -685,11 +689,11 @@ def top_diagnoses(wh, limit: int = 10) -> DataFrame:
 def provider_productivity(wh) -> DataFrame:
     providers = wh["dim_provider"].select("provider_key", "first_name", "last_name", F.col("specialty_key").alias("own"))
     return (
-        wh["fact_encounters"]
+        _rows_per(wh["fact_encounters"], "provider_key")
         .join(providers, "provider_key")
         .join(_specialty(wh).withColumnRenamed("specialty_key", "own"), "own")
         .groupBy("first_name", "last_name", "specialty_name")
-        .agg(F.count("*").alias("total_encounters"))
+        .agg(F.sum("n").alias("total_encounters"))
         .orderBy(F.desc("total_encounters"), "last_name", "first_name", "specialty_name")
     )
 
@@ -707,10 +711,10 @@ def claim_per_type(wh) -> DataFrame:
 
 def encounters_per_age_band(wh) -> DataFrame:
     return (
-        wh["fact_encounters"]
+        _rows_per(wh["fact_encounters"], "patient_key")
         .join(wh["dim_patient"].select("patient_key", "age_group"), "patient_key")
         .groupBy("age_group")
-        .agg(F.count("*").alias("encounter_count"))
+        .agg(F.sum("n").alias("encounter_count"))
         .orderBy(F.desc("encounter_count"), "age_group")
     )
 
@@ -734,10 +738,10 @@ def stay_days(wh) -> DataFrame:
 def top_procedures(wh, limit: int = 10) -> DataFrame:
     shown = ["cpt_code", "cpt_description"]
     return (
-        wh["bridge_encounter_procedures"]
+        _rows_per(wh["bridge_encounter_procedures"], "procedure_key")
         .join(wh["dim_procedure"].select("procedure_key", *shown), "procedure_key")
         .groupBy(*shown)
-        .agg(F.count("*").alias("total_times_performed"))
+        .agg(F.sum("n").alias("total_times_performed"))
         .orderBy(F.desc("total_times_performed"), *shown)
         .limit(limit)
     )

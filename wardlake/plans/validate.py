@@ -284,15 +284,22 @@ def orphans(child: DataFrame, parent: DataFrame, key: str) -> DataFrame:
     return child.join(parent.select(key), key, "left_anti")
 
 
+def orphan_issue(child: DataFrame, parent: DataFrame, table: str, key: str, severity, weight, description) -> DataFrame:
+    """Orphans counted per key first, so that only distinct keys are joined."""
+    keys = child.groupBy(key).agg(F.count("*").alias("_rows"))
+    found = orphans(keys, parent, key).agg(F.coalesce(F.sum("_rows"), F.lit(0)).alias("n"))
+    return found.select(*_issue(table, key, "ORPHANED_REFERENCE", severity, weight, description, F.col("n")))
+
+
 def integrity_issues(wh) -> DataFrame:
     """Encounters before birth and unresolved keys."""
     fact, providers = wh["fact_encounters"], wh["dim_provider"]
     return union_all(
         [
             count_issue(encounters_before_birth(wh), "fact_encounters", "encounter_datetime", "INVALID_DATE_LOGIC", "CRITICAL", CRITICAL, "Found encounters before patient birth date"),
-            count_issue(orphans(fact, wh["dim_patient"], "patient_key"), "fact_encounters", "patient_key", "ORPHANED_REFERENCE", "CRITICAL", CRITICAL, "Found encounters with invalid patient references"),
-            count_issue(orphans(fact, providers, "provider_key"), "fact_encounters", "provider_key", "ORPHANED_REFERENCE", "CRITICAL", CRITICAL, "Found encounters with invalid provider references"),
-            count_issue(orphans(providers, wh["dim_specialty"], "specialty_key"), "dim_provider", "specialty_key", "ORPHANED_REFERENCE", "HIGH", ERROR, "Found providers with invalid specialty references"),
+            orphan_issue(fact, wh["dim_patient"], "fact_encounters", "patient_key", "CRITICAL", CRITICAL, "Found encounters with invalid patient references"),
+            orphan_issue(fact, providers, "fact_encounters", "provider_key", "CRITICAL", CRITICAL, "Found encounters with invalid provider references"),
+            orphan_issue(providers, wh["dim_specialty"], "dim_provider", "specialty_key", "HIGH", ERROR, "Found providers with invalid specialty references"),
         ]
     )
 
