@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from wardlake.plans import incremental, load, validate
+from wardlake.plans import incremental, load, queries_source, queries_star, validate
 from wardlake.plans.fact import encounter_analytics
 from wardlake.plans.warehouse import derive_warehouse, open_warehouse
 from wardlake.session import fresh_path
@@ -184,3 +184,32 @@ def test_late_bills_are_merged_twice_with_one_result(spark, src, wh):
     twice = incremental.apply_late_billing(once, src["billing"], dt.date(2000, 1, 8))
     totals = lambda df: {r.encounter_id: float(r.total_claim_amount) for r in df.collect()}
     assert totals(once) == totals(twice) == {100: 150.5, 101: 0.0, 102: 0.0, 103: 0.0}
+
+
+def test_slices_do_not_change_any_table(spark, small):
+    """Every patient and encounter treated as if it held too many rows for one task."""
+    plain, cut = clinical_tables(spark, small), clinical_tables(spark, small)
+    patients = [r[0] for r in plain["patients"].select("patient_id").collect()]
+    encounters = [r[0] for r in plain["encounters"].select("encounter_id").collect()]
+    cut._hot = {
+        ("encounters", "patient_id"): patients,
+        ("encounter_procedures", "encounter_id"): encounters,
+        ("encounter_diagnoses", "encounter_id"): encounters,
+    }
+    a, b = (derive_warehouse(s, CLINICAL_AS_OF, CALENDAR) for s in (plain, cut))
+    for table in ("fact_readmission", "bridge_encounter_procedures"):
+        assert a[table].exceptAll(b[table]).count() == 0 and b[table].exceptAll(a[table]).count() == 0
+    for query in (
+        lambda w: queries_star.all_pairs(w),
+        lambda w: queries_star.readmission_risk(w, CLINICAL_AS_OF, min_discharges=1),
+        lambda w: queries_star.calendar_day_returns(w, with_all_stays=True),
+    ):
+        assert query(a).collect() == query(b).collect()
+
+
+def test_stored_flags_agree_with_the_source_question(spark, small):
+    """Inpatient stays with a later visit, from the source tables and from the fact."""
+    src = clinical_tables(spark, small)
+    flags = queries_star.inpatient_readmission_from_flags(derive_warehouse(src, CLINICAL_AS_OF, CALENDAR)).collect()
+    rates = {r.specialty_name: r.total_discharges for r in queries_source.inpatient_return_rates(src).collect()}
+    assert {r.specialty_name: r.total_inpatient_discharges for r in flags} == rates

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 from functools import reduce
 
@@ -88,6 +89,11 @@ def micros_to_timestamp(micros: Column) -> Column:
     )
 
 
+def moment(value: dt.datetime) -> Column:
+    """Literal timestamp without zone, the same in every session zone."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def stay_hours(admitted: Column, discharged: Column) -> Column:
     """Hours between two timestamps as an integer, rounded half away from zero."""
     hours = interval_micros(discharged - admitted) / F.lit(float(MICROS_PER_HOUR))

@@ -87,7 +87,7 @@ def change_events(changes: DataFrame, table: str, at: dt.datetime, user: str, ru
         code = code.when(F.col("operation_type") == operation, F.lit(f"{group}_{suffix}"))
     return changes.select(
         F.concat_ws("-", F.lit(run_id), F.lit(table), "operation_type", "record_id").alias("audit_id"),
-        F.lit(at).cast("timestamp_ntz").alias("event_timestamp"),
+        C.moment(at).alias("event_timestamp"),
         code.otherwise(F.lit(None)).alias("event_type_code"),
         F.lit(user).alias("user_id"),
         F.lit(table).alias("table_name"),
@@ -324,7 +324,7 @@ def incident_bundle(audit: DataFrame, run_log: DataFrame, exports: DataFrame, st
     """Audit slice, run log and export manifest of a time span, optionally of one user."""
 
     def during(df: DataFrame, moment: str) -> DataFrame:
-        return df.where((F.col(moment) >= F.lit(start).cast("timestamp_ntz")) & (F.col(moment) < F.lit(end).cast("timestamp_ntz")))
+        return df.where((F.col(moment) >= C.moment(start)) & (F.col(moment) < C.moment(end)))
 
     slice_ = during(audit, "event_timestamp")
     if user is not None:

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wardlake.functions import columns as C
 from wardlake.operators.change import split_by_age
 from wardlake.operators.skew import sequence_within, union_all
 from wardlake.plans.runlog import run_summary
@@ -181,7 +182,7 @@ def export_run_logs(logs, folder: str, types: tuple[str, ...] = ("LOGS", "QUALIT
                 F.lit("FAILED" if error else "SUCCESS").alias("export_status"),
                 (F.lit(None).cast("bigint") if error else F.col("record_count")).alias("record_count"),
                 F.lit(error).cast("string").alias("error_message"),
-                F.lit(now).cast("timestamp_ntz").alias("export_timestamp"),
+                C.moment(now).alias("export_timestamp"),
             )
         )
     if not history:

@@ -108,7 +108,7 @@ PREDICATES = {
     "b09_date_range": (
         on_source(
             lambda s: s["encounters"]
-            .where(F.col("encounter_date").between(F.lit(dt.datetime(AS_OF.year - 1, 8, 1)), F.lit(dt.datetime(2001, 8, 1))))
+            .where(F.col("encounter_date").between(C.moment(dt.datetime(2000, 8, 1)), C.moment(dt.datetime(2001, 8, 1))))
             .select("encounter_id", "encounter_date")
         ),
         """SELECT encounter_id, encounter_date FROM encounters
