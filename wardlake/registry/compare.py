@@ -8,8 +8,6 @@ from collections import Counter
 from decimal import Decimal
 from pathlib import Path
 
-from wardlake.sources.fixture import INPUTS
-
 
 def normal(value):
     """Values that both engines return alike."""
@@ -36,8 +34,9 @@ def sql_rows(sql: str, sf_dir: str):
     import duckdb
 
     con = duckdb.connect()
-    for name in INPUTS:
-        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{Path(sf_dir)}/{name}.parquet'")
+    for path in sorted(Path(sf_dir).glob("*.parquet")):
+        files = f"{path}/*.parquet" if path.is_dir() else path
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{files}')")
     cursor = con.execute(sql)
     columns = [c[0] for c in cursor.description]
     return columns, cursor.fetchall()
