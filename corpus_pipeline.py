@@ -8,13 +8,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlake.llm import language, line_cleaning, packing
+from wardlake.llm import language, line_cleaning, ngram_join, packing
 from wardlake.llm.common import staged, table
 from wardlake.llm.queries import BYTE_VOCABULARY
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # A document whose language is less sure than this goes.
-LEAST_SCORE = 0.3
+LEAST_SCORE = 0.1
 
 
 def by_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,6 +37,15 @@ def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group of near duplicates; one row where an id repeats."""
+    groups = ngram_join.near_duplicates(docs.select("doc_id", "text")).where(
+        F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
+    )
+    staying = groups.select("doc_id").distinct().withColumnRenamed("doc_id", "_id")
+    return docs.select(*COLUMNS).join(staying, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+
+
 def into_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 1024 tokens, with their ids."""
     return packing.packed_pieces(docs, BYTE_VOCABULARY)
@@ -45,6 +54,7 @@ def into_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [
     ("language", by_language),
     ("quality", by_quality),
+    ("near duplicates", without_near_copies),
     ("packing", into_sequences),
 ]
 
@@ -56,5 +66,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``, each written and read again before the next."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        docs = staged(stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -8,13 +8,35 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlake.llm import bit_packing, language, line_cleaning, packing, pair_merges, transducer
+from wardlake.llm import (
+    bit_packing,
+    language,
+    line_cleaning,
+    link_trust,
+    ngram_join,
+    packing,
+    pair_merges,
+    projection_passes,
+    transducer,
+)
 from wardlake.llm.common import table
 from wardlake.session import fresh_path
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
+RULES = [
+    ("allow", "org/"),
+    ("block", "example.org/es/"),
+    ("block", "example.org/en/1"),
+    ("allow", "com/fr/"),
+    ("block", "com/de/"),
+]
+
+
+def op1_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_trust.judged_pages(table(spark, sf_dir, "pages"), RULES)
+
 
 def op3_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "packed-ids")
@@ -31,6 +53,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_projection_passes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return projection_passes.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_pieces(table(spark, sf_dir, "documents"), BYTE_VOCABULARY).drop("ids")
 
@@ -46,16 +72,23 @@ def op8_pair_merges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pair_merges.round_trip_digests(table(spark, sf_dir, "documents"), BYTE_VOCABULARY)
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.token_counts(table(spark, sf_dir, "documents"), PIECE_MODEL, 4096)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_link_trust": op1_link_trust,
     "op3_bit_packing": op3_bit_packing,
     "op4_language": op4_language,
+    "op5_projection_passes": op5_projection_passes,
     "op6_packing": op6_packing,
     "op7_line_cleaning": op7_line_cleaning,
     "op8_pair_merges": op8_pair_merges,
+    "op9_ngram_join": op9_ngram_join,
     "op10_token_counts": op10_token_counts,
 }
 
