@@ -17,6 +17,7 @@ from wardlake.llm import (
     packing,
     pair_merges,
     projection_passes,
+    revisits,
     transducer,
 )
 from wardlake.llm.common import table
@@ -38,6 +39,11 @@ def op1_link_trust(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_trust.judged_pages(table(spark, sf_dir, "pages"), RULES)
 
 
+def op2_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = revisits.captures_of(table(spark, sf_dir, "pages"))
+    return revisits.resolve_revisits(captures).withColumn("headers", revisits.headers_text(F.col("headers")))
+
+
 def op3_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "packed-ids")
     bit_packing.write_packed(table(spark, sf_dir, "documents"), BYTE_VOCABULARY, path)
@@ -82,6 +88,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_link_trust": op1_link_trust,
+    "op2_revisits": op2_revisits,
     "op3_bit_packing": op3_bit_packing,
     "op4_language": op4_language,
     "op5_projection_passes": op5_projection_passes,
@@ -94,4 +101,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_line_cleaning": line_cleaning.cleaning_sql()}
+    return {"op2_revisits": revisits.SQL, "op7_line_cleaning": line_cleaning.cleaning_sql()}
