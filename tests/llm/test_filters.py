@@ -138,7 +138,7 @@ def test_base_counts(spark):
 
 
 def test_lines_go_before_documents(spark):
-    good = "\n".join(f"Sentence number {k} has some plain words that differ, as {k * 7} shows." for k in range(12))
+    good = "\n".join(" ".join(f"w{k}x{j}" for j in range(9)) + "." for k in range(12))
     noise = "Home | News | About | Contact\nAll rights reserved.\nword### word$$$ word%%%.\nWOW!! NOW!! BUY!!\nno mark at all"
     first = good.split("\n")[0]
     menu = "\n".join(f"One{k} | Two{k} | Three{k} | Four{k} | Five{k} | Six{k} |" for k in range(40))

@@ -39,6 +39,21 @@ BOILERPLATE = (
 )
 
 
+# Columns that are added.
+ADDED = (
+    "n_words",
+    "word_chars",
+    "n_symbols",
+    "n_dup_lines",
+    "n_repeat_words",
+    "base_failed",
+    "lines_failed",
+    "clean_text",
+    "lost_share",
+    "kept",
+)
+
+
 @dataclass(frozen=True)
 class LineRules:
     """Limits of the line rules and of the verdict on the document."""
@@ -137,7 +152,7 @@ def with_line_cleaning(docs: DataFrame, rules: LineRules = LineRules(), text: st
             ),
         )
     )
-    return (
+    out = (
         out.withColumn("base_failed", (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")))
         .withColumn("lost_share", F.try_divide(F.col("_lost_chars").cast("double"), F.col("_all_chars")))
         .withColumn(
@@ -146,8 +161,12 @@ def with_line_cleaning(docs: DataFrame, rules: LineRules = LineRules(), text: st
             & (F.size("_passed") > 0)
             & (F.col("_lost_chars") <= rules.lost_share * F.col("_all_chars")),
         )
-        .drop("_words", "_lines", "_windows", "_first", "_judged", "_passed", "_all_chars", "_lost_chars")
     )
+    # A filter on a result must not move below the steps that make it: it would repeat each step in the next. A row
+    # number beside the results keeps it above.
+    before = [c for c in docs.columns if c not in ADDED]
+    held = out.select(*before, F.struct(*ADDED, F.monotonically_increasing_id().alias("row")).alias("_held"))
+    return held.select(*before, *[F.col(f"_held.{c}").alias(c) for c in ADDED])
 
 
 #: Bare SQL of the same rules, for the query over ``documents``.
