@@ -3,6 +3,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from wardlake.operators import change
+from wardlake.plans import dims
 from wardlake.session import fresh_path
 
 
@@ -67,3 +68,36 @@ def test_moving_partitions_repeats_without_copies(spark):
     change.move_partitions(spark, path, archive, "event_date", dt.date(2005, 1, 1), ["audit_id"])
     assert rows(spark.read.parquet(archive), "audit_id") == [("a1",), ("a2",), ("a4",)]
     assert change.move_partitions(spark, path, archive, "event_date", dt.date(2005, 1, 1), ["audit_id"]) == 0
+
+
+def test_rows_without_a_key_all_stay(spark):
+    table = spark.createDataFrame([(1, "a")], "k int, v string")
+    rows = spark.createDataFrame([(None, "b"), (None, "b"), (2, "c"), (2, "d"), (1, "e")], "k int, v string")
+    got = change.insert_if_absent(table, rows, ["k"]).collect()
+    assert sorted((r.k or 0) for r in got) == [0, 0, 1, 2]
+    got = change.upsert(table, rows, ["k"]).collect()
+    assert sorted(((r.k or 0), r.v) for r in got) == [(0, "b"), (0, "b"), (1, "e"), (2, "d")]
+
+
+def test_the_newest_of_several_changes_counts(spark):
+    table = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    changes = spark.createDataFrame([(1, "x", 5), (1, "y", 9), (1, "z", 7)], "k int, v string, at int")
+    got = change.update_from(table, changes, ["k"], ["v"], by=["at"]).collect()
+    assert sorted((r.k, r.v) for r in got) == [(1, "y"), (2, "b")]
+
+
+def test_archiving_twice_keeps_every_row(spark):
+    path, archive = fresh_path(spark, "log"), fresh_path(spark, "archive")
+    day = dt.date(2000, 1, 1)
+    rows = spark.createDataFrame([(None, "p", day), (None, "p", day), ("1", "q", day), ("2", "r", dt.date(2020, 1, 1))], "id string, v string, d date")
+    for _ in range(2):  # the second time, part of the rows is in the archive already
+        change.append_partitioned(rows, path, ["d"])
+        change.move_partitions(spark, path, archive, "d", dt.date(2010, 1, 1), ["id"])
+    stored = sorted(((r.id or ""), r.v) for r in spark.read.parquet(archive).collect())
+    assert stored == [("", "p"), ("", "p"), ("1", "q")]
+    assert {r.v for r in spark.read.parquet(path).collect()} == {"r"}
+
+
+def test_a_calendar_may_be_long_or_empty(spark):
+    assert dims.dim_date(spark, dt.date(2000, 1, 1), dt.date(9999, 12, 31)).count() == 2_921_940
+    assert dims.dim_date(spark, None, None).count() == 0

@@ -80,7 +80,7 @@ def test_sequence_in_sliced_groups(spark, hot):
 def test_hot_keys_lists_large_groups_only(spark):
     rows = [(1,)] * 600 + [(i,) for i in range(2, 402)] + [(None,)] * 50
     df = spark.createDataFrame(rows, "k bigint")
-    assert hot_keys(df, "k", group_rows=100, share=0.01) == [1]
+    assert hot_keys(df, "k", group_rows=100) == [1]
     assert hot_keys(df, "k", group_rows=5000) == []
 
 

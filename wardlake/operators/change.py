@@ -14,27 +14,46 @@ from pyspark.sql import functions as F
 from wardlake.session import fresh_path
 
 
+def _keyed(key: list[str]) -> Column:
+    """True for rows whose key is whole; a key with a NULL part equals no other."""
+    whole = F.lit(True)
+    for k in key:
+        whole = whole & F.col(k).isNotNull()
+    return whole
+
+
 def insert_if_absent(table: DataFrame, rows: DataFrame, key: list[str]) -> DataFrame:
-    """Table plus the rows whose key it lacks; of new rows with one key, one stays."""
-    fresh = rows.dropDuplicates(key).join(table.select(*key), key, "left_anti")
-    return table.unionByName(fresh, allowMissingColumns=True)
+    """Table plus the rows whose key it lacks; of new rows with one key, one stays. Rows with a NULL key all stay."""
+    fresh = rows.where(_keyed(key)).dropDuplicates(key).join(table.select(*key), key, "left_anti").select(*rows.columns)
+    return table.unionByName(fresh.unionByName(rows.where(~_keyed(key))), allowMissingColumns=True)
+
+
+def newest(rows: DataFrame, key: list[str], by: list[str] | None = None) -> DataFrame:
+    """One row per whole key: the last by ``by``, or by all columns; combines before the shuffle. NULL keys all stay."""
+    others = [c for c in rows.columns if c not in key]
+    order = F.struct(*[F.col(c) for c in [*(by or []), *others]]) if others else F.lit(1)
+    last = rows.where(_keyed(key)).groupBy(*key).agg(F.max_by(F.struct(*[F.col(c) for c in rows.columns]), order).alias("_last"))
+    return last.select("_last.*").unionByName(rows.where(~_keyed(key)))
 
 
-def update_from(table: DataFrame, changes: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
-    """Table with ``columns`` taken from the change row of the same key, where there is one."""
-    marked = changes.select(*key, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_changed"))
+def update_from(
+    table: DataFrame, changes: DataFrame, key: list[str], columns: list[str], by: list[str] | None = None
+) -> DataFrame:
+    """Table with ``columns`` taken from the change row of the same key, where there is one; of several, the newest."""
+    marked = newest(changes.select(*dict.fromkeys([*key, *columns, *(by or [])])), key, by).select(*key, *[F.col(c).alias(f"_new_{c}") for c in columns], F.lit(True).alias("_changed"))
     joined = table.join(marked, key, "left")
     updated = {c: F.when(F.col("_changed"), F.col(f"_new_{c}")).otherwise(F.col(c)) for c in columns}
     return joined.withColumns(updated).select(*table.columns)
 
 
-def upsert(table: DataFrame, rows: DataFrame, key: list[str]) -> DataFrame:
-    """Type-1 upsert: a new row replaces the old row of its key.
+def upsert(table: DataFrame, rows: DataFrame, key: list[str], by: list[str] | None = None) -> DataFrame:
+    """Type-1 upsert: a new row replaces the old row of its key; of several new rows with one key, the newest.
 
     The keys of the new rows are the build side of an anti join, so a small change set is broadcast by its size and the
     table is not shuffled.
     """
-    return table.join(rows.select(*key), key, "left_anti").select(*table.columns).unionByName(rows.select(*table.columns))
+    rows = newest(rows, key, by).select(*table.columns)
+    return table.join(rows.select(*key), key, "left_anti").select(*table.columns).unionByName(rows)
 
 
 def replace_children(children: DataFrame, changed_parents: DataFrame, rows: DataFrame, parent: str) -> DataFrame:
@@ -75,7 +94,8 @@ def move_partitions(
     """Move the partitions before ``cutoff`` to the archive and return the rows moved.
 
     The archive is written first and the old partitions are removed last, so a failure in between leaves rows in both
-    places, never in none. A second try adds only rows whose key the archive lacks.
+    places, never in none. A second try adds only rows the archive lacks: by key, and as many equal rows as are missing
+    where the key is NULL. Nothing is removed unless the archive holds at least the rows of each partition.
     """
     old = spark.read.parquet(path).where(F.col(partition) < F.lit(cutoff))
     values = [r[0] for r in old.select(partition).distinct().collect()]
@@ -87,8 +107,15 @@ def move_partitions(
     moved = spark.read.schema(old.schema).parquet(staged)
     if path_exists(spark, archive):
         archived = spark.read.parquet(archive).where(F.col(partition).isin(*values)).select(*old.columns)
-        moved = insert_if_absent(archived, moved, key)
+        keyed = moved.where(_keyed(key)).join(archived.select(*key), key, "left_anti").select(*old.columns)
+        nameless = moved.where(~_keyed(key)).exceptAll(archived.where(~_keyed(key)))
+        moved = archived.unionByName(keyed).unionByName(nameless)
     overwrite_partitions(moved, archive, [partition])
+    kept = spark.read.parquet(archive).where(F.col(partition).isin(*values)).groupBy(partition).agg(F.count("*").alias("_kept"))
+    staged_rows = spark.read.schema(old.schema).parquet(staged).groupBy(partition).agg(F.count("*").alias("_rows"))
+    lost = staged_rows.join(kept, partition, "left").where(F.coalesce("_kept", F.lit(0)) < F.col("_rows"))
+    if not lost.isEmpty():
+        raise RuntimeError(f"the archive {archive} lacks rows; nothing was removed from {path}")
     drop_partitions(spark, path, partition, values)
     return seen.get["rows"]
 

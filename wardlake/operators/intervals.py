@@ -129,8 +129,8 @@ def returns_within(
     def at(kind: str, value: str) -> Column:
         return F.max(F.when(F.col("kind") == kind, F.col(value)))
 
-    per_visit = timeline.groupBy("visit").agg(
-        F.max("patient").alias("patient"),
+    # The windows have put a patient's rows together; grouping by patient as well needs no second shuffle.
+    per_visit = timeline.groupBy("patient", "visit").agg(
         F.max("start_at").alias("start_at"),
         at(END, "end_at").alias("end_at"),
         F.max("is_return").alias("is_return"),
@@ -193,5 +193,5 @@ def days_over_returns(visits: DataFrame, measured: DataFrame, horizon_days: int,
     timeline = _running(points.withColumn("is_end", F.lit(False)), hot, MICROS_PER_DAY)
     # The horizon point counts once per day mark, each day mark takes away the returns before it.
     sign = F.when(F.col("k") == 0, F.col("starts_upto") * horizon_days).otherwise(-F.col("starts_upto"))
-    summed = timeline.where(F.col("visit").isNotNull()).groupBy("visit").agg(F.sum(sign).alias("day_sum"))
-    return single.unionByName(summed)
+    summed = timeline.where(F.col("visit").isNotNull()).groupBy("patient", "visit").agg(F.sum(sign).alias("day_sum"))
+    return single.unionByName(summed.select("visit", "day_sum"))

@@ -14,25 +14,16 @@ from pyspark.sql import functions as F
 
 # A group below this many rows is left to one task.
 GROUP_ROWS = 2_000_000
-# Share of all rows above which a group is examined at all; at most 1 / share values come back.
-GROUP_SHARE = 0.001
 
 
-def hot_keys(df: DataFrame, key: str, group_rows: int = GROUP_ROWS, share: float = GROUP_SHARE) -> list:
-    """Key values held by more than ``group_rows`` rows.
+def hot_keys(df: DataFrame, key: str, group_rows: int = GROUP_ROWS) -> list:
+    """Every key value held by more than ``group_rows`` rows.
 
-    The frequent-items sketch misses no value above ``share`` and returns at most ``1 / share`` candidates, so what
-    reaches the driver is bounded; one more pass counts only the candidates. Which keys are listed never changes a
-    result, only how its work is split.
+    Counted exactly in one distributed aggregate over the key column alone; at most one value in ``group_rows`` rows
+    comes back. Which keys are listed never changes a result, only how its work is split.
     """
-    keys = df.select(key).where(F.col(key).isNotNull())
-    if keys.count() <= group_rows:
-        return []
-    candidates = keys.stat.freqItems([key], share).first()[0]
-    if not candidates:
-        return []
-    counted = keys.where(F.col(key).isin(*candidates)).groupBy(key).count()
-    return sorted(row[0] for row in counted.where(F.col("count") > group_rows).collect())
+    counted = df.where(F.col(key).isNotNull()).groupBy(key).count().where(F.col("count") > group_rows)
+    return sorted(row[0] for row in counted.select(key).collect())
 
 
 def slice_of(key: Column, hot: list, within: Column) -> Column:

@@ -52,7 +52,7 @@ def capture_changes(old: DataFrame, new: DataFrame, key: list[str], patient: str
     """
     columns = [c for c in new.columns if c not in key]
     o, n = old.select(F.lit(True).alias("_here"), "*").alias("o"), new.select(F.lit(True).alias("_here"), "*").alias("n")
-    same_key = [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in key]
+    same_key = [F.col(f"o.{k}") == F.col(f"n.{k}") for k in key]
     condition = same_key[0]
     for part in same_key[1:]:
         condition = condition & part
@@ -114,6 +114,18 @@ def phi_access(audit: DataFrame, patients: DataFrame) -> DataFrame:
     )
 
 
+def on_days(audit: DataFrame, first: dt.date | None = None, last: dt.date | None = None) -> DataFrame:
+    """Only the day partitions from ``first`` to ``last``, where the trail is stored by ``event_date``.
+
+    The day of an event is its partition, so this never changes a result; other days are not read.
+    """
+    if "event_date" not in audit.columns:
+        return audit
+    if first is not None:
+        audit = audit.where(F.col("event_date") >= F.lit(first))
+    return audit if last is None else audit.where(F.col("event_date") <= F.lit(last))
+
+
 def severity_rank(severity: Column) -> Column:
     return F.array_position(F.array(*[F.lit(s) for s in SEVERITIES]), severity)
 
@@ -126,7 +138,7 @@ def hipaa_access_report(
     Only distinct element lists and event types are collected, which tables and catalogue bound, never the accesses.
     """
     day = F.to_date("event_timestamp")
-    events = audit.where((day >= F.lit(start)) & (day <= F.lit(end))).select(
+    events = on_days(audit, start, end).where((day >= F.lit(start)) & (day <= F.lit(end))).select(
         "audit_id", "user_id", "event_timestamp", "event_type_code"
     )
     if patient_id is not None:
@@ -169,7 +181,8 @@ def audit_gaps(audit: DataFrame, since: dt.date, gap_micros: int = GAP_MICROS) -
     """
     at = C.epoch_micros(F.col("event_timestamp"))
     buckets = (
-        audit.where(F.col("event_timestamp") >= F.lit(since))
+        on_days(audit, since)
+        .where(F.col("event_timestamp") >= F.lit(since))
         .groupBy(F.floor(at / gap_micros).alias("bucket"))
         .agg(F.min("event_timestamp").alias("first_at"), F.max("event_timestamp").alias("last_at"))
     )
@@ -190,7 +203,9 @@ def past_retention(audit: DataFrame, as_of: dt.date) -> DataFrame:
     """Audit rows older than the retention of their event type."""
     types = F.broadcast(audit_event_types(audit.sparkSession).select("event_type_code", "retention_days"))
     limit = F.date_sub(F.lit(as_of), F.col("retention_days")).cast("timestamp_ntz")
-    return audit.join(types, "event_type_code").where(F.col("event_timestamp") < limit)
+    oldest = min(row["retention_days"] for row in audit_event_types(audit.sparkSession).select("retention_days").collect())
+    old = on_days(audit, last=as_of - dt.timedelta(days=oldest))
+    return old.join(types, "event_type_code").where(F.col("event_timestamp") < limit)
 
 
 def verify_integrity(audit: DataFrame, phi: DataFrame, as_of: dt.date) -> DataFrame:
@@ -271,7 +286,7 @@ def unauthorized_phi_reads(audit: DataFrame) -> DataFrame:
 
 
 # Hexadecimal digits per lane of a digest; four lanes are added up per day.
-LANE_DIGITS, LANES = 15, 4
+LANE_DIGITS, LANES = 16, 4
 
 
 def row_hashes(audit: DataFrame, columns: list[str]) -> DataFrame:
@@ -326,7 +341,7 @@ def incident_bundle(audit: DataFrame, run_log: DataFrame, exports: DataFrame, st
     def during(df: DataFrame, moment: str) -> DataFrame:
         return df.where((F.col(moment) >= C.moment(start)) & (F.col(moment) < C.moment(end)))
 
-    slice_ = during(audit, "event_timestamp")
+    slice_ = during(on_days(audit, start.date(), end.date()), "event_timestamp")
     if user is not None:
         slice_ = slice_.where(F.col("user_id") == user)
     return {"audit": slice_, "run_log": during(run_log, "start_time"), "exports": during(exports, "export_timestamp")}

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wardlake.functions import columns as C
@@ -48,9 +48,6 @@ TYPE_DESCRIPTION_DEFAULT = "General healthcare encounter"
 TYPE_HOURS = [(48, ["Inpatient"]), (4, EMERGENCY_TYPES)]
 TYPE_HOURS_DEFAULT = 2
 
-# A calendar holds one row per day, so 100,000 rows span 273 years.
-MAX_CALENDAR_DAYS = 100_000
-
 
 def calendar_columns(day: Column) -> list[Column]:
     return [
@@ -68,16 +65,20 @@ def calendar_columns(day: Column) -> list[Column]:
     ]
 
 
-def dim_date(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
-    """One row per day of a given range."""
-    if not 0 <= (end - start).days < MAX_CALENDAR_DAYS:
-        raise ValueError(f"calendar {start}..{end} is empty or too long")
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("day"))
-    return days.select(*calendar_columns(F.col("day")))
+def dim_date(spark: SparkSession, start: dt.date | None, end: dt.date | None) -> DataFrame:
+    """One row per day of a given range, however long; none without a range.
+
+    The days are made in parallel. A stay that ends in 9999 gives three million rows.
+    """
+    if start is not None and end is not None and start > end:
+        raise ValueError(f"calendar {start}..{end} ends before it begins")
+    days = 0 if start is None or end is None else (end - start).days + 1
+    made = spark.range(days).select(F.date_add(F.lit(start).cast("date"), F.col("id").cast("int")).alias("day"))
+    return made.select(*calendar_columns(F.col("day")))
 
 
-def calendar_bounds(src) -> tuple[dt.date, dt.date]:
-    """First and last day used by encounters and procedures: one row of four dates."""
+def calendar_bounds(src) -> tuple[dt.date | None, dt.date | None]:
+    """First and last day used by encounters and procedures (one row of four dates); None if there is no day."""
     stays = src["encounters"].agg(
         F.min(F.to_date("encounter_date")).alias("first"),
         F.max(F.to_date(F.greatest("encounter_date", "discharge_date"))).alias("last"),
@@ -112,14 +113,17 @@ def dim_department(src) -> DataFrame:
 
 
 def dim_encounter_type(src) -> DataFrame:
+    """One row per type. Two types with one hash key would merge in every join, so they stop the load."""
     kind = F.col("encounter_type")
+    key = F.col("encounter_type_key")
+    types = src["encounters"].where(kind.isNotNull()).select(kind).distinct().withColumn("encounter_type_key", C.hash_key(kind))
+    alike = F.count("*").over(Window.partitionBy("encounter_type_key"))
     return (
-        src["encounters"]
-        .where(kind.isNotNull())
-        .select(kind)
-        .distinct()
+        types.withColumn("_alike", alike)
         .select(
-            C.hash_key(kind).alias("encounter_type_key"),
+            F.when(F.col("_alike") == 1, key)
+            .otherwise(F.raise_error(F.concat(F.lit("two encounter types share the key of "), kind)))
+            .alias("encounter_type_key"),
             kind,
             C.label_by_value(kind, TYPE_DESCRIPTIONS, TYPE_DESCRIPTION_DEFAULT).alias("type_description"),
             C.label_by_value(kind, TYPE_HOURS, TYPE_HOURS_DEFAULT).alias("typical_duration_hours"),

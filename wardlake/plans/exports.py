@@ -68,7 +68,7 @@ def extract(df: DataFrame, columns: list[str]) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str, order: list[str], partition_by: list[str] | None = None) -> None:
     """CSV with header, quotes doubled inside quoted fields, rows in order."""
-    writer = df.orderBy(*order).write.mode("overwrite").option("header", True).option("escape", '"').option("quoteAll", True)
+    writer = df.orderBy(*order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("header", True).option("escape", '"').option("quoteAll", True)
     writer = writer.option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
     (writer.partitionBy(*partition_by) if partition_by else writer).csv(path)
 
@@ -154,10 +154,10 @@ def export_run_logs(logs, folder: str, types: tuple[str, ...] = ("LOGS", "QUALIT
     spark = logs.spark
     plans = {
         ("LOGS", "CSV"): lambda p: write_csv(extract(logs["etl_execution_log"], LOG_EXTRACT), p, ["execution_id", "step_order", "log_id"], ["execution_id"]),
-        ("LOGS", "JSON"): lambda p: run_documents(logs).hint("rebalance", "execution_id").write.mode("overwrite").partitionBy("execution_id").json(p),
+        ("LOGS", "JSON"): lambda p: run_documents(logs).hint("rebalance", "execution_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("execution_id").json(p),
         ("QUALITY_REPORT", "CSV"): lambda p: write_csv(extract(logs["data_quality_log"], ISSUE_EXTRACT), p, ["execution_id", "created_at", "quality_id"], ["execution_id"]),
         ("PERFORMANCE", "CSV"): lambda p: write_csv(extract(logs["performance_metrics"], METRIC_EXTRACT), p, ["execution_id", "start_time", "metric_id"], ["execution_id"]),
-        ("SUMMARY", "JSON"): lambda p: run_summary(logs["etl_execution_log"]).hint("rebalance", "execution_id").write.mode("overwrite").partitionBy("execution_id").json(p),
+        ("SUMMARY", "JSON"): lambda p: run_summary(logs["etl_execution_log"]).hint("rebalance", "execution_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("execution_id").json(p),
     }
     tables = {"LOGS": "etl_execution_log", "SUMMARY": "etl_execution_log", "QUALITY_REPORT": "data_quality_log", "PERFORMANCE": "performance_metrics"}
     history = []
@@ -191,11 +191,9 @@ def export_run_logs(logs, folder: str, types: tuple[str, ...] = ("LOGS", "QUALIT
 
 
 def export_sizes(spark: SparkSession, path: str) -> DataFrame:
-    """Files and bytes written for each run, from the file metadata Spark exposes."""
-    files = spark.read.text(path).select("execution_id", "_metadata.file_path", "_metadata.file_size").distinct()
-    return files.groupBy("execution_id").agg(
-        F.count("*").alias("files"), F.sum("file_size").alias("file_size_bytes")
-    )
+    """Files and bytes written for each run, from the listing alone: no file is opened."""
+    files = spark.read.format("binaryFile").load(path).select("execution_id", "path", "length")
+    return files.groupBy("execution_id").agg(F.count("*").alias("files"), F.sum("length").alias("file_size_bytes"))
 
 
 def export_summary(history: DataFrame, log: DataFrame) -> DataFrame:

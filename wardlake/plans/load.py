@@ -35,6 +35,14 @@ def write_fact(fact_rows: DataFrame, path: str) -> None:
     ordered.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("encounter_year").parquet(path)
 
 
+def covering_calendar(src: TableSet, calendar: tuple[dt.date, dt.date] | None) -> tuple[dt.date | None, dt.date | None]:
+    """The wanted calendar, widened to every day in use: queries join it, and a day outside it would lose its rows."""
+    used = dims.calendar_bounds(src)
+    if calendar is None or None in used:
+        return calendar or used
+    return min(calendar[0], used[0]), max(calendar[1], used[1])
+
+
 def run_warehouse_load(
     spark: SparkSession,
     src: TableSet,
@@ -53,7 +61,7 @@ def run_warehouse_load(
     log_path = log_path or f"{root}/etl_logs"
     log = RunLog(spark, log_path, run_id, "run_warehouse_load")
     stored = open_warehouse(spark, root)
-    planned = derive_warehouse(src, as_of, calendar or dims.calendar_bounds(src))
+    planned = derive_warehouse(src, as_of, covering_calendar(src, calendar))
 
     for title, name in DIMENSION_STEPS:
         with log.step(title) as rows:
@@ -90,6 +98,12 @@ def run_warehouse_load(
     return read_run_log(spark, log_path).where(F.col("execution_id") == run_id)
 
 
+def replace_run(rows: DataFrame, path: str) -> None:
+    """Store the rows of a run in its own partition; a rerun of the same id replaces them."""
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("execution_id").parquet(path)
+
+
 def run_load_and_checks(spark: SparkSession, src: TableSet, folder: str, as_of: dt.date, run_id: str, calendar=None) -> DataFrame:
     """Load, refresh the stored pair aggregate, validate the written tables, store the issues, return the verdict."""
     root = folder.rstrip("/")
@@ -99,9 +113,9 @@ def run_load_and_checks(spark: SparkSession, src: TableSet, folder: str, as_of:
     log = RunLog(spark, f"{root}/etl_logs", run_id, "validate_warehouse")
     with log.step("Validate warehouse") as rows:
         issues = validate(src, wh, as_of).withColumn("execution_id", F.lit(run_id))
-        rows.watch(issues).write.mode("append").parquet(f"{root}/data_quality_log")
+        replace_run(rows.watch(issues), f"{root}/data_quality_log")
         comparison = schema_comparison(src, wh).withColumn("execution_id", F.lit(run_id))
-        comparison.write.mode("append").parquet(f"{root}/schema_validation_log")
+        replace_run(comparison, f"{root}/schema_validation_log")
     return verdict(spark.read.parquet(f"{root}/data_quality_log").where(F.col("execution_id") == run_id))
 
 

@@ -8,11 +8,11 @@ from pyspark.sql import functions as F
 
 from wardlake.functions import columns as C
 from wardlake.plans import audit, exports, runlog, validate
-from wardlake.registry.oracle_base import CTES, div, rnd, rows_sql
+from wardlake.registry.oracle_base import CTES, div, quoted, rnd, rows_sql
 from wardlake.registry.warehouse_queries import AS_OF, plain, source, star
 from wardlake.session import fresh_path
 from wardlake.sources import fixture
-from wardlake.sources.catalogs import EXPORT_RETENTION_DAYS
+from wardlake.sources.catalogs import EXPORT_RETENTION_DAYS, SEVERITIES
 from wardlake.sources.tables import store_tables
 
 AUDIT_AS_OF = fixture.AUDIT_AS_OF
@@ -60,10 +60,10 @@ GENDER_SQL = issue_sql("dim_patient", "gender", "INVALID_VALUES", "MEDIUM", "WAR
 STAY_SQL = issue_sql("fact_encounters", "discharge_datetime", "INVALID_DATE_LOGIC", "HIGH", "ERROR",
                      "Found discharge dates before encounter dates", bad_rows("resolved", "discharge_datetime < encounter_datetime"))
 ICD_SQL = issue_sql("dim_diagnosis", "icd10_code", "INVALID_FORMAT", "MEDIUM", "WARNING", "Found invalid ICD-10 code format",
-                    bad_rows("dim_diagnosis", r"NOT regexp_full_match(icd10_code, '[A-Z][0-9]{2}(\.[0-9A-Z]*)?')"))
+                    bad_rows("dim_diagnosis", f"NOT regexp_matches(icd10_code, '{validate.ICD10_PATTERN}')"))
 CPT_SQL = issue_sql("dim_procedure", "cpt_code", "INVALID_FORMAT", "MEDIUM", "WARNING",
                     "Found invalid CPT code format (should be 5 digits)",
-                    bad_rows("dim_procedure", "NOT regexp_full_match(cpt_code, '[0-9]{5}')"))
+                    bad_rows("dim_procedure", f"NOT regexp_matches(cpt_code, '{validate.CPT_PATTERN}')"))
 PREBIRTH_SQL = issue_sql("fact_encounters", "encounter_datetime", "INVALID_DATE_LOGIC", "CRITICAL", "CRITICAL",
                          "Found encounters before patient birth date",
                          "SELECT count(*) FROM resolved JOIN dim_patient USING (patient_key) WHERE CAST(encounter_datetime AS DATE) < date_of_birth")
@@ -178,8 +178,7 @@ def _present_tables(spark, sf_dir):
 
 STAR_SIZES = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, (SELECT count(*) FROM {'resolved' if t == 'fact_encounters' else t}) AS row_count, FALSE AS is_missing"
-    for t in ["dim_date", "dim_patient", "dim_specialty", "dim_department", "dim_provider", "dim_encounter_type",
-              "dim_diagnosis", "dim_procedure", "fact_encounters", "bridge_encounter_diagnoses", "bridge_encounter_procedures"]
+    for t in validate.STAR_TABLES
 )
 
 
@@ -448,9 +447,9 @@ RUN_LOGS = {
     "m05_run_documents": (_json_round_trip, DOCUMENT_SQL),
     "m06_severity_rollup": (
         over_logs(runlog.severity_rollup, "data_quality_log"),
-        """SELECT *, CASE WHEN critical_issues > 0 THEN 'CRITICAL ISSUES DETECTED' WHEN warnings > 0 THEN 'WARNINGS DETECTED'
+        f"""SELECT *, CASE WHEN critical_issues > 0 THEN 'CRITICAL ISSUES DETECTED' WHEN warnings > 0 THEN 'WARNINGS DETECTED'
                           ELSE 'ETL COMPLETED SUCCESSFULLY' END AS status_banner
-           FROM (SELECT execution_id, count(*) FILTER (severity_level IN ('HIGH', 'CRITICAL')) AS critical_issues,
+           FROM (SELECT execution_id, count(*) FILTER (severity_level IN ({quoted(SEVERITIES[2:])})) AS critical_issues,
                         count(*) FILTER (severity_level = 'MEDIUM') AS warnings FROM data_quality_log GROUP BY 1) t""",
     ),
     "m07_export_run_logs": (_export_all, HISTORY_SQL),
@@ -621,13 +620,13 @@ def _archived(spark, sf_dir):
     return side(path, "log").unionByName(side(archive, "archive"))
 
 
-HASHED = ["audit_id", "event_type_code", "user_id", "user_role", "table_name", "operation_type", "patient_id", "success"]
+HASHED = ["audit_id", "event_timestamp", "event_type_code", "user_id", "user_role", "table_name", "operation_type", "patient_id", "success", "response_time_ms"]
 CTES["row_hashes"] = f"""
 SELECT audit_id, CAST(event_timestamp AS DATE) AS event_date,
        sha256(CAST(to_json({{{', '.join(f"'{c}': CAST({c} AS VARCHAR)" for c in HASHED)}}}) AS VARCHAR)) AS row_hash
 FROM audit_log"""
 LANE_SQL = " || '-' || ".join(
-    f"CAST(sum(CAST('0x' || substr(row_hash, {1 + i * 15}, 15) AS HUGEINT)) AS VARCHAR)" for i in range(4)
+    f"CAST(sum(CAST('0x' || substr(row_hash, {1 + i * 16}, 16) AS HUGEINT)) AS VARCHAR)" for i in range(4)
 )
 
 

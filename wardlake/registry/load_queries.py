@@ -14,7 +14,7 @@ from wardlake.plans import dims, fact, incremental, load
 from wardlake.plans.warehouse import derive_warehouse, open_warehouse
 from wardlake.registry.check_queries import LATER_SQL, logs, snapshots
 from wardlake.registry.oracle_base import AS_OF as AS_OF_SQL
-from wardlake.registry.oracle_base import CTES
+from wardlake.registry.oracle_base import CTES, age_case
 from wardlake.registry.warehouse_queries import AS_OF, money_as_double, plain, source, star
 from wardlake.session import fresh_path
 from wardlake.sources import catalogs, fixture
@@ -251,7 +251,7 @@ LOAD_SQL = " UNION ALL ".join(
 CTES["later_patients"] = LATER_SQL["patients"].format(patients="patients")
 CTES["later_patient_rows"] = f"""
 SELECT patient_id, patient_id AS patient_key, first_name, last_name, first_name || ' ' || last_name AS full_name, gender, date_of_birth,
-       age AS current_age, CASE WHEN age <= 18 THEN '0-18' WHEN age <= 35 THEN '19-35' WHEN age <= 60 THEN '36-60' ELSE '60+' END AS age_group, mrn
+       age AS current_age, {age_case('age')} AS age_group, mrn
 FROM (SELECT *, CAST(date_sub('year', date_of_birth, {AS_OF_SQL}) AS INT) AS age FROM later_patients) t"""
 CTES["fresh_patient_rows"] = "SELECT * FROM later_patient_rows WHERE DATE '2001-01-01' + CAST(patient_id % 365 AS INT) >= DATE '2001-07-01'"
 

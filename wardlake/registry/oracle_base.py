@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from wardlake.functions import columns as C
 from wardlake.plans import dims
 from wardlake.sources import fixture
 from wardlake.sources.catalogs import (
@@ -19,6 +20,16 @@ AS_OF = f"DATE '{fixture.CLINICAL_AS_OF}'"
 AUDIT_AS_OF = f"DATE '{fixture.AUDIT_AS_OF}'"
 
 
+def quoted(values: list[str]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+def age_case(age: str) -> str:
+    """The age band of an age, from the marked bands."""
+    bands = " ".join(f"WHEN {age} <= {limit} THEN '{label}'" for limit, label in C.AGE_BANDS)
+    return f"CASE {bands} ELSE '{C.OLDEST_BAND}' END"
+
+
 def rnd(value: str, places: int) -> str:
     return f"CAST(round(CAST({value} AS DECIMAL(38,10)), {places}) AS DOUBLE)"
 
@@ -114,11 +125,10 @@ SELECT procedure_id AS procedure_key, procedure_id, cpt_code, cpt_description,
 FROM procedures"""
 CTES["aged_patients"] = f"""
 SELECT *, CAST(date_sub('year', date_of_birth, {AS_OF}) AS INT) AS current_age FROM patients"""
-CTES["dim_patient"] = """
+CTES["dim_patient"] = f"""
 SELECT patient_id AS patient_key, patient_id, first_name, last_name, first_name || ' ' || last_name AS full_name, gender,
        date_of_birth, current_age,
-       CASE WHEN current_age BETWEEN 36 AND 60 THEN '36-60' WHEN current_age BETWEEN 19 AND 35 THEN '19-35'
-            WHEN current_age < 19 THEN '0-18' ELSE '60+' END AS age_group, mrn
+       {age_case('current_age')} AS age_group, mrn
 FROM aged_patients"""
 CTES["dim_provider"] = """
 SELECT provider_id AS provider_key, provider_id, first_name, last_name, first_name || ' ' || last_name AS full_name,

@@ -102,8 +102,8 @@ PREDICATES = {
             .join(s["procedures"].where(~F.col("cpt_code").rlike(CPT_PATTERN)), "procedure_id")
             .select("encounter_id", "cpt_code", "procedure_date")
         ),
-        """SELECT encounter_id, cpt_code, procedure_date FROM encounter_procedures JOIN procedures USING (procedure_id)
-           WHERE NOT regexp_full_match(cpt_code, '[0-9]{5}')""",
+        f"""SELECT encounter_id, cpt_code, procedure_date FROM encounter_procedures JOIN procedures USING (procedure_id)
+           WHERE NOT regexp_matches(cpt_code, '{CPT_PATTERN}')""",
     ),
     "b09_date_range": (
         on_source(

@@ -8,8 +8,9 @@ from wardlake.functions import columns as C
 from wardlake.plans import dims, fact
 from wardlake.plans import queries_source as QS
 from wardlake.plans import queries_star as Q
+from wardlake.plans.dims import EMERGENCY_TYPES
 from wardlake.plans.warehouse import derive_warehouse
-from wardlake.registry.oracle_base import div, month_name, pct, rnd
+from wardlake.registry.oracle_base import div, month_name, pct, quoted, rnd
 from wardlake.sources import fixture
 
 AS_OF = fixture.CLINICAL_AS_OF
@@ -225,7 +226,7 @@ QUERIES = {
             FROM (SELECT s.specialty_id, s.specialty_name, count(DISTINCT a.encounter_id) AS stays, count(b.encounter_id) AS n
                   FROM encounters a JOIN providers pv ON pv.provider_id = a.provider_id
                        JOIN specialties s ON s.specialty_id = pv.specialty_id
-                       LEFT JOIN encounters b ON b.patient_id = a.patient_id AND b.encounter_type IN ('ER', 'Inpatient')
+                       LEFT JOIN encounters b ON b.patient_id = a.patient_id AND b.encounter_type IN ({quoted(QS.RETURN_TYPES)})
                             AND b.encounter_date > a.discharge_date
                             AND b.encounter_date <= a.discharge_date + INTERVAL 30 DAY
                   WHERE a.encounter_type = 'Inpatient' AND a.discharge_date IS NOT NULL GROUP BY 1, 2) t""",
@@ -254,7 +255,7 @@ QUERIES = {
                    count(*) AS total_encounters,
                    count(*) FILTER (encounter_type = 'Inpatient') AS inpatient_encounters,
                    count(*) FILTER (encounter_type = 'Outpatient') AS outpatient_encounters,
-                   count(*) FILTER (encounter_type IN ('Emergency', 'ER')) AS emergency_encounters,
+                   count(*) FILTER (encounter_type IN ({quoted(EMERGENCY_TYPES)})) AS emergency_encounters,
                    {rnd(div('sum(total_allowed_amount)', 'count(*)'), 2)} AS avg_revenue_per_encounter
             FROM dated WHERE year >= 1999 GROUP BY year, month, specialty_name, specialty_category""",
     ),
