@@ -213,3 +213,24 @@ def test_stored_flags_agree_with_the_source_question(spark, small):
     flags = queries_star.inpatient_readmission_from_flags(derive_warehouse(src, CLINICAL_AS_OF, CALENDAR)).collect()
     rates = {r.specialty_name: r.total_discharges for r in queries_source.inpatient_return_rates(src).collect()}
     assert {r.specialty_name: r.total_inpatient_discharges for r in flags} == rates
+
+
+def test_backfilled_months_measure_readmissions_over_their_borders(spark):
+    path = fresh_path(spark, "backfill")
+    moment = lambda text: dt.datetime.fromisoformat(text)
+    rows = [
+        (1, 7, moment("2000-01-28 08:00:00"), moment("2000-01-30 08:00:00"), 2000),
+        (2, 7, moment("2000-02-10 08:00:00"), moment("2000-02-11 08:00:00"), 2000),
+        (3, 7, moment("2000-06-01 08:00:00"), None, 2000),
+        (4, 8, moment("2000-12-30 08:00:00"), moment("2000-12-31 08:00:00"), 2000),
+        (5, 8, moment("2001-01-05 08:00:00"), moment("2001-01-06 08:00:00"), 2001),
+    ]
+    schema = "encounter_id bigint, patient_key bigint, encounter_datetime timestamp_ntz, discharge_datetime timestamp_ntz, encounter_year int"
+    base = spark.createDataFrame(rows, schema)
+    months = [dt.date(2000, 1, 1), dt.date(2000, 2, 1), dt.date(2000, 6, 1), dt.date(2000, 12, 1), dt.date(2001, 1, 1)]
+    within = lambda a, b: base.where((F.col("encounter_datetime") >= F.lit(a)) & (F.col("encounter_datetime") < F.lit(b)))
+    load.backfill_months(spark, within, months, path)
+    for _ in range(2):
+        load.measure_backfill(spark, path, [])
+        got = {r.encounter_id: (r.has_30day_readmission, r.is_readmission) for r in spark.read.parquet(path).collect()}
+        assert got == {1: (True, False), 2: (False, True), 3: (False, False), 4: (True, False), 5: (False, True)}

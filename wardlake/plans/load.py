@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wardlake.operators.change import overwrite_partitions
 from wardlake.plans import dims, fact
+from wardlake.plans.incremental import READMISSION_COLUMNS
 from wardlake.plans.queries_star import refresh_pair_summary
 from wardlake.plans.runlog import RunLog, read_run_log
 from wardlake.plans.validate import schema_comparison, validate, verdict
@@ -122,9 +123,18 @@ def run_load_and_checks(spark: SparkSession, src: TableSet, folder: str, as_of:
 def backfill_months(spark: SparkSession, build, months: list[dt.date], path: str) -> None:
     """Load history one month at a time: ``build(first day, first day of the next month)`` gives the fact of the month.
 
-    Rows of a month go to partitions of their own, so a month can be repeated.
+    Rows of a month go to partitions of their own, so a month can be repeated. Readmissions reach from one month into
+    the next, so ``build`` gives rows without them and ``measure_backfill`` adds them once all months are there.
     """
     for first in months:
         following = dt.date(first.year + first.month // 12, first.month % 12 + 1, 1)
         rows = build(first, following).withColumn("encounter_month", F.month("encounter_datetime"))
         overwrite_partitions(rows, path, ["encounter_year", "encounter_month"])
+
+
+def measure_backfill(spark: SparkSession, path: str, hot: list) -> None:
+    """Readmission columns of a back-filled fact, measured over all its months together; can be repeated."""
+    stored = spark.read.parquet(path)
+    base = stored.drop(*READMISSION_COLUMNS)
+    measured = fact.with_readmissions(base, fact.readmission_measures(base, hot))
+    overwrite_partitions(measured, path, ["encounter_year", "encounter_month"])
