@@ -48,7 +48,8 @@ def append_events(events: DataFrame, path: str) -> None:
 def capture_changes(old: DataFrame, new: DataFrame, key: list[str], patient: str | None = None) -> DataFrame:
     """Row changes between two snapshots of a table, in place of row triggers.
 
-    One full outer join on the key; columns are compared null-safe. Values are kept as maps of text.
+    One full outer join on the key; columns are compared null-safe. Values are kept as maps of text. A row whose key is
+    NULL has no counterpart: it is a DELETE of the old and an INSERT of the new snapshot.
     """
     columns = [c for c in new.columns if c not in key]
     o, n = old.select(F.lit(True).alias("_here"), "*").alias("o"), new.select(F.lit(True).alias("_here"), "*").alias("n")

@@ -31,7 +31,7 @@ DIMENSION_STEPS = [
 
 
 def write_fact(fact_rows: DataFrame, path: str) -> None:
-    """Fact partitioned by year, rows of a patient close together inside the files."""
+    """Fact partitioned by year, rows in order of the day inside the files."""
     ordered = fact_rows.hint("rebalance", "encounter_year").sortWithinPartitions("encounter_year", "encounter_date_key")
     ordered.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("encounter_year").parquet(path)
 

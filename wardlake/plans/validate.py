@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -199,11 +200,17 @@ def missing_tables(tables, required: list[str] = STAR_TABLES) -> DataFrame:
     return wanted.select(*_issue(None, None, "TABLE_MISSING", "CRITICAL", CRITICAL, "Required table missing", F.lit(0)), F.col("table_name").alias("_name")).withColumn("table_name", F.col("_name")).drop("_name")
 
 
+# Errors that mean that a table is not there; any other error is one, and goes on to the caller.
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "TABLE_OR_VIEW_NOT_FOUND")
+
+
 def _readable(tables, name: str) -> bool:
     try:
         return name in tables and tables[name].schema is not None
-    except Exception:
-        return False
+    except AnalysisException as error:
+        if error.getCondition() in ABSENT:
+            return False
+        raise
 
 
 def column_types(tables, names: list[str]) -> DataFrame:

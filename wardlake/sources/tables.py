@@ -68,10 +68,12 @@ class TableSet(Mapping):
             self[name].createOrReplaceTempView(name)
 
     def replacing(self, **tables: DataFrame) -> "TableSet":
-        """Copy with some tables exchanged."""
+        """Copy with some tables exchanged; what is known of the hot keys of the others stays."""
         makers = dict(self._makers)
         makers.update({name: (lambda df=df: df) for name, df in tables.items()})
-        return TableSet(self.spark, makers)
+        copy = TableSet(self.spark, makers, {place: where for place, where in self._hot_from.items() if place[0] not in tables})
+        copy._hot = {place: keys for place, keys in self._hot.items() if place[0] not in tables}
+        return copy
 
 
 def _parquet_makers(spark, folder, schemas):
@@ -102,7 +104,8 @@ def open_clinical_jdbc(
     def maker(name: str) -> Callable[[], DataFrame]:
         def read() -> DataFrame:
             reader = spark.read.format("jdbc").option("url", url).option("dbtable", name)
-            reader = reader.option("customSchema", _jdbc_schema(name)).options(**options)
+            # Times of the source carry no zone.
+            reader = reader.option("customSchema", CLINICAL_SCHEMAS[name]).option("preferTimestampNTZ", "true").options(**options)
             if name in partitions:
                 column, lower, upper, count = partitions[name]
                 reader = (
@@ -118,10 +121,6 @@ def open_clinical_jdbc(
     return TableSet(spark, {name: maker(name) for name in CLINICAL_SCHEMAS})
 
 
-def _jdbc_schema(name: str) -> str:
-    return CLINICAL_SCHEMAS[name].replace("timestamp_ntz", "timestamp")
-
-
 def store_tables(tables: Mapping[str, DataFrame], folder: str, files: int | None = None) -> None:
     """Write every table of the set as a Parquet folder, optionally spread evenly over a number of files."""
     for name in tables:
