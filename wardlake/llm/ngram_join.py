@@ -7,10 +7,13 @@ and the parts are summed:
    can't be similar to any other and leaves here; in most corpora few stay. A batch of documents sends each shingle to
    its fragment once, however many documents hold it, and gets one bit back for it, so a shingle that very many
    documents hold costs one entry a batch.
-2. Of those that stay, one representative of each distinct set is joined with the smallest document that shares one of
-   its minimum hashes. The overlap of a pair is counted fragment by fragment and summed. Verified pairs give groups.
-3. What groups still miss: the count of step 1 is repeated between groups, and only documents that share enough with
-   other groups form candidates, over the rarest part of their shingles (prefix filter); the same overlap verifies them.
+2. Of those that stay, one representative of each distinct set is paired with a document that shares one of its
+   minimum hashes but not yet its group, another one in each round. The overlap of a pair is counted fragment by
+   fragment and summed; verified pairs join groups. A large group of copies comes together in pairs that grow with its
+   size, not with its square.
+3. What the rounds miss: the count of step 1 is repeated between groups, and only documents that share enough with
+   other groups form candidates, over the rarest part of their shingles (prefix filters and the bound that the places of
+   the shared ones leave); the same overlap verifies them.
 
 A step only leaves out documents or pairs that can't reach the threshold, so no link between different texts is lost.
 Equal hashes of different shingles would be counted as one; for the sets of a pair the odds are below 1 in 10 ** 12.
@@ -38,8 +41,10 @@ WORDS = 5
 PERCENT = 75
 # Vertical parts in which the overlap of a pair is counted.
 PARTS = 4
-# Minimum hashes a document looks for a partner with, before the exact search of what they miss.
+# Minimum hashes a document looks for partners with.
 LEADERS = 3
+# Documents named by each hash in each round, before the exact search of what the rounds miss.
+ROUNDS = (1, 4, 8)
 _SEPARATORS = r"[\x20\x09-\x0D]+"
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
@@ -297,35 +302,26 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     texts = docs.select("doc_id", "text").join(classes.select(F.col("head").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sets = staged(set_parts(texts, words), "sets")
 
-    # Partners by minimum hash: every document with the smallest of those that share one.
-    leads = classes.select("head", F.posexplode("least").alias("k", "value"))
-    least = leads.groupBy("k", "value").agg(F.min("head").alias("b"), F.max("head").alias("top")).where("b < top")
-    pairs = leads.join(least, ["k", "value"]).where("head <> b").select(F.col("head").alias("a"), "b").distinct()
-    links = staged(verified(pairs, sets, percent), "links")
-    groups = staged(linked_groups(spark, links), "groups")
-
-    # What the groups still miss: documents that share enough with other groups.
-    named = sets.groupBy("doc_id", "n").agg(F.sort_array(F.collect_list(F.struct("part", "hashes"))).alias("parts"))
-    named = named.join(groups.select(F.col("id").alias("doc_id"), "component"), "doc_id", "left").select(
-        "doc_id", F.coalesce("component", "doc_id").alias("label"), F.concat(*[F.get("parts.hashes", F.lit(k)) for k in range(PARTS)]).alias("hashes")
-    )
+    leads = staged(classes.select(F.col("head").alias("id"), F.posexplode("least").alias("k", "value")), "leads")
+    links, labels = grouped_in_rounds(leads, sets, percent)
 
+    # What the rounds miss: documents that share enough with other groups.
     def from_sets(batch: pa.RecordBatch):
-        ids, hashes = batch.column(0), batch.column(2)
-        label = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+        ids, label, hashes = batch.columns
+        label = label.to_numpy(zero_copy_only=False).astype(np.int64)
         for a, b in text_slices(hashes):
-            own = [np.sort(np.frombuffer(h, "<u8")) for h in hashes.slice(a, b - a).to_pylist()]
+            own = [np.frombuffer(h, "<u8") for h in hashes.slice(a, b - a).to_pylist()]
             yield ids.slice(a, b - a).to_pylist(), own, label[a:b]
 
-    labelled = staged(named.repartitionByRange("label", "doc_id").sortWithinPartitions("label", "doc_id"), "labelled")
-    between = shared_counts(labelled, from_sets, fragments)
-    open_docs = staged(
-        between.where(100 * F.col("shared") >= percent * F.col("n")).select("doc_id", "n").join(
-            labelled.select("doc_id", "label", "hashes"), "doc_id"
-        ),
-        "open",
+    labelled = sets.join(labels.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
+        "doc_id", "n", "part", F.coalesce("component", "doc_id").alias("label"), "hashes"
+    )
+    ordered = labelled.sortWithinPartitions("label", "doc_id", "part").select("doc_id", "label", "hashes")
+    between = shared_counts(ordered, from_sets, fragments).groupBy("doc_id").agg(
+        F.sum("n").alias("n"), F.sum("shared").alias("shared")
     )
-    more = staged(verified(candidates(open_docs, percent), sets, percent), "links")
+    open_ids = staged(between.where(100 * F.col("shared") >= percent * F.col("n")).select("doc_id"), "open")
+    more = staged(verified(candidates(labelled.join(open_ids, "doc_id", "left_semi"), percent), sets, percent), "links")
     found = linked_groups(spark, links.union(more)).select(F.col("id").alias("head"), "component")
     classes = classes.join(found, "head", "left").select(*sign, F.coalesce("component", "head").alias("component"))
     return stats.join(classes, sign, "left").select(
@@ -335,10 +331,44 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     )
 
 
+def grouped_in_rounds(leads: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Verified links (a, b) and the groups they give (id, component), by partners of equal minimum hash.
+
+    ``leads``: id, k, value. In each round every hash names some of its documents, and each document is compared with
+    those so named that are not in its group: one of them in the first round, which settles most, then all.
+    """
+    spark = leads.sparkSession
+    links, labels = spark.createDataFrame([], "a bigint, b bigint"), spark.createDataFrame([], "id bigint, component bigint")
+    for number, names in enumerate(ROUNDS):
+        named = leads.join(labels, "id", "left").select("k", "value", "id", F.coalesce("component", "id").alias("label"))
+        lead = F.struct(F.col("id").alias("b"), F.col("label").alias("other"))
+        chosen = (
+            named.groupBy("k", "value")
+            .agg(
+                F.array_distinct(F.array(*[F.min_by(lead, F.xxhash64("id", F.lit(number), F.lit(k))) for k in range(names)])).alias("leads"),
+                F.min("label").alias("low"),
+                F.max("label").alias("high"),
+            )
+            .where("low < high")
+            .select("k", "value", F.explode("leads").alias("lead"))
+            .select("k", "value", "lead.*")
+        )
+        met = named.join(chosen, ["k", "value"]).where("label <> other").select(F.col("id").alias("a"), "b")
+        pairs = met.distinct() if number else met.groupBy("a").agg(F.min("b").alias("b"))
+        found = staged(verified(pairs, sets, percent), "links")
+        if not found.isEmpty():
+            links = staged(links.union(found), "links")
+            labels = staged(linked_groups(spark, links), "labels")
+    return links, labels
+
+
 def candidates(docs: DataFrame, percent: int) -> DataFrame:
-    """Pairs of documents with different labels that share one of the rarest shingles of both (prefix filter).
+    """Pairs of documents with different labels that may be similar.
 
-    ``docs``: doc_id, n, label, hashes. Rarest first, similar sets must meet in their first n - ceil(t n) + 1 shingles.
+    ``docs``: doc_id, n, label, hashes, a row for each part of a set. With shingles ordered rarest first, of a similar
+    pair the smaller set must share one of its first n - ceil(2t / (1 + t) n) + 1 shingles with the first
+    m - ceil(t m) + 1 of the larger one. The shingles shared there, and how many can follow the last of them, bound the
+    overlap; pairs whose bound is too low go.
     """
 
     def entries(batch: pa.RecordBatch) -> dict:
@@ -357,8 +387,15 @@ def candidates(docs: DataFrame, percent: int) -> DataFrame:
     ranked = rows.join(held, "h").withColumn(
         "rank", F.row_number().over(Window.partitionBy("doc_id", "n").orderBy("docs", "h"))
     )
-    first = F.col("n") - F.ceil(percent * F.col("n") / 100) + 1
-    head = ranked.where((F.col("rank") <= first) & (F.col("low") < F.col("high"))).select("h", "doc_id", "n", "label")
-    other = head.select("h", F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("label").alias("label_b"))
-    met = head.withColumnRenamed("doc_id", "a").join(other, "h").where("a < b and label <> label_b")
-    return met.where((100 * F.col("m") >= percent * F.col("n")) & (100 * F.col("n") >= percent * F.col("m"))).select("a", "b").distinct()
+    n = F.col("n")
+    shared = ranked.where(F.col("low") < F.col("high")).where(F.col("rank") <= n - F.ceil(percent * n / 100) + 1)
+    larger = shared.select("h", F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("label").alias("label_b"), F.col("rank").alias("rank_b"))
+    smaller = shared.where(F.col("rank") <= n - F.ceil(2 * percent * n / (100 + percent)) + 1)
+    met = smaller.withColumnRenamed("doc_id", "a").join(larger, "h").where(
+        "label <> label_b and (n < m or (n = m and a < b))"
+    ).where(100 * F.col("n") >= percent * F.col("m"))
+    pairs = met.groupBy("a", "b", "n", "m").agg(
+        F.count("*").alias("same"), F.max("rank").alias("rank"), F.max("rank_b").alias("rank_b")
+    )
+    bound = F.col("same") + F.least(F.col("n") - F.col("rank"), F.col("m") - F.col("rank_b"))
+    return pairs.where(similar(bound, F.col("n"), F.col("m"), percent)).select("a", "b").distinct()
