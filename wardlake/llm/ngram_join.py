@@ -302,7 +302,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     texts = docs.select("doc_id", "text").join(classes.select(F.col("head").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sets = staged(set_parts(texts, words), "sets")
 
-    leads = staged(classes.select(F.col("head").alias("id"), F.posexplode("least").alias("k", "value")), "leads")
+    leads = staged(classes.select(F.col("head").alias("id"), "n", "least", F.posexplode("least").alias("k", "value")), "leads")
     links, labels = grouped_in_rounds(leads, sets, percent)
 
     # What the rounds miss: documents that share enough with other groups.
@@ -334,14 +334,17 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 def grouped_in_rounds(leads: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Verified links (a, b) and the groups they give (id, component), by partners of equal minimum hash.
 
-    ``leads``: id, k, value. In each round every hash names some of its documents, and each document is compared with
-    those so named that are not in its group: one of them in the first round, which settles most, then all.
+    ``leads``: id, n, least, k, value. In each round every hash names some of its documents, and each document is
+    compared with those so named that are not in its group: one of them in the first round, which settles most, then
+    all. Only pairs that sizes allow and that agree in most minimum hashes are compared; the exact search has the rest.
     """
     spark = leads.sparkSession
     links, labels = spark.createDataFrame([], "a bigint, b bigint"), spark.createDataFrame([], "id bigint, component bigint")
     for number, names in enumerate(ROUNDS):
-        named = leads.join(labels, "id", "left").select("k", "value", "id", F.coalesce("component", "id").alias("label"))
-        lead = F.struct(F.col("id").alias("b"), F.col("label").alias("other"))
+        named = leads.join(labels, "id", "left").select(
+            "k", "value", "id", "n", "least", F.coalesce("component", "id").alias("label")
+        )
+        lead = F.struct(F.col("id").alias("b"), F.col("label").alias("other"), F.col("n").alias("m"), F.col("least").alias("of_b"))
         chosen = (
             named.groupBy("k", "value")
             .agg(
@@ -353,7 +356,9 @@ def grouped_in_rounds(leads: DataFrame, sets: DataFrame, percent: int) -> tuple[
             .select("k", "value", F.explode("leads").alias("lead"))
             .select("k", "value", "lead.*")
         )
-        met = named.join(chosen, ["k", "value"]).where("label <> other").select(F.col("id").alias("a"), "b")
+        alike = sum((F.get("least", F.lit(k)) == F.get("of_b", F.lit(k))).cast("int") for k in range(LEADERS))
+        fits = (100 * F.least("n", "m") >= percent * F.greatest("n", "m")) & (2 * alike > LEADERS)
+        met = named.join(chosen, ["k", "value"]).where((F.col("label") != F.col("other")) & fits).select(F.col("id").alias("a"), "b")
         pairs = met.distinct() if number else met.groupBy("a").agg(F.min("b").alias("b"))
         found = staged(verified(pairs, sets, percent), "links")
         if not found.isEmpty():
@@ -394,6 +399,9 @@ def candidates(docs: DataFrame, percent: int) -> DataFrame:
     met = smaller.withColumnRenamed("doc_id", "a").join(larger, "h").where(
         "label <> label_b and (n < m or (n = m and a < b))"
     ).where(100 * F.col("n") >= percent * F.col("m"))
+    # Up to a shared shingle no more can be shared than its place in either set, after it no more than is left of either.
+    most = F.least("rank", "rank_b") + F.least(F.col("n") - F.col("rank"), F.col("m") - F.col("rank_b"))
+    met = met.where(similar(most, F.col("n"), F.col("m"), percent))
     pairs = met.groupBy("a", "b", "n", "m").agg(
         F.count("*").alias("same"), F.max("rank").alias("rank"), F.max("rank_b").alias("rank_b")
     )
