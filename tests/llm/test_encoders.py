@@ -177,3 +177,32 @@ def test_terms_are_counted_over_all_documents(spark, library):
             expected[i] = expected.get(i, 0) + 1
     assert {r.term: r.docs for r in terms.where(F.col("docs") > 0).collect()} == expected
     assert rows.count() == len(awkward_texts())
+
+
+def test_the_best_neighbour_is_found_in_a_table_of_many_documents(spark, library):
+    """Every document of a table beyond 1024 is searched, by all terms of the seed."""
+    rng = np.random.default_rng(8)
+    word = lambda: "".join(rng.choice(list("bcdfgklmnprstvz"), 7))
+    filler = [word() for _ in range(30)]
+    texts = [" ".join([*(word() for _ in range(12)), *rng.choice(filler, 20)]) for _ in range(1500)]
+    twins = [" ".join(rng.permutation(t.split())) for t in texts]
+    docs = documents(spark, texts + twins).repartition(7)
+    longest = max(len(library_ids(library, t)) for t in texts + twins)
+    pieces = packing.packed_pieces(docs, BYTE_VOCABULARY, window=4 * longest).collect()
+    sequences: dict[int, list] = {}
+    for p in sorted(pieces, key=lambda p: (p.sequence_id, p.offset)):
+        sequences.setdefault(p.sequence_id, []).append(p.doc_id)
+    used, right, wrong = set(), 0, 0
+    for held in sequences.values():
+        twin = (held[0] + 1500) % 3000
+        if twin not in used and len(held) > 1:
+            right, wrong = right + (held[1] == twin), wrong + (held[1] != twin)
+        used |= set(held)
+    assert right > 300 and wrong == 0
+    # A seed of many terms finds the one document that shares its weakest.
+    ids = [np.array([*range(100, 140), 0], "<u2"), np.array([*range(200, 240), 0], "<u2"), np.array([139, *range(300, 339), 0], "<u2")]
+    idf = np.ones(50_257, np.float32)
+    idf[139] = 0.01
+    index = packing.ShardIndex(ids, idf, 41.0)
+    index.unused[0] = False
+    assert list(index.neighbours(0)) == [2, 1]

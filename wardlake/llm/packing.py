@@ -2,12 +2,14 @@
 
 Documents are tokenized once and staged. Their ids are also the terms of the search: how many documents hold a term and
 the mean length are counted over all documents (one row a term, so what is broadcast is bounded by the vocabulary).
-Documents are dealt by range of a minimum hash of their terms, so similar ones meet; the document id is part of the
-range, so a hash that very many documents share is cut as well. Each range is worked off in shards of bounded size. A
-shard holds an inverted index weighted by BM25. The first unused document is the seed of a window; its strongest terms
-return the unused documents of the shard by score, and these fill the window in turn. A document that does not fit is
-cut, and its rest seeds the next window. If no unused document shares a term with the seed, the next one in order
-follows. What is left at the end of a shard is cut into powers of two, so no sequence needs padding.
+Documents are dealt in the order of several signatures, each a term of the document drawn in proportion to its BM25
+weight, so documents that share telling terms come together, and where very many share the first signature the next
+ones decide. The order is cut into as few ranges as memory allows, and a range into shards by the same bound, counted in
+postings; a table below the bound is searched whole. A shard holds an inverted index weighted by BM25. The first unused
+document is the seed of a window; all its terms return the unused documents of the shard by score, and these fill the
+window in turn. A document that does not fit is cut, and its rest seeds the next window. If no unused document shares a
+term with the seed, the next one in order follows. What is left at the end of a shard is cut into powers of two, so no
+sequence needs padding.
 
 Each id lies in exactly one piece whatever the data. A null or empty text is its end id only; equal or null ids of
 documents stay apart; a very long text fills many windows; an empty table gives no rows.
@@ -27,10 +29,12 @@ from pyspark.sql import functions as F
 from wardlake.llm.common import crc32_of_ids, staged
 from wardlake.llm.words import id_type, library_encoder, split_rows, vocabulary_size
 
-# A shard is closed at this many documents or ids.
-SHARD_DOCS, SHARD_IDS = 1024, 4_000_000
-# Terms of a seed that are looked up, strongest first.
-SEED_TERMS = 12
+# A shard is closed at this many postings (a term of a document) or ids: what one worker holds in memory.
+SHARD_POSTINGS, SHARD_IDS = 4_000_000, 16_000_000
+# Signatures that order the documents.
+SIGNATURES = 4
+# A term that at least this share of a shard's documents hold has a weight for each document instead of postings.
+DENSE_SHARE = 0.125
 # BM25 weights: saturation of repeats and share of length normalization.
 K1, B = 1.2, 0.75
 
@@ -41,7 +45,7 @@ PIECES = (
 
 
 def tokenized(docs: DataFrame, vocabulary: str, end_id: int = 0) -> tuple[DataFrame, DataFrame]:
-    """Staged documents (doc_id, place, n, ids) and the number of documents that hold each term (term, docs).
+    """Staged documents (doc_id, n, ids) and the number of documents that hold each term (term, docs).
 
     Each task writes its documents and one row with its part of the counts.
     """
@@ -51,66 +55,94 @@ def tokenized(docs: DataFrame, vocabulary: str, end_id: int = 0) -> tuple[DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = library_encoder(vocabulary)
         held = np.zeros(size, np.int64)
-        mix = np.random.default_rng(7).permutation(np.arange(size, dtype=np.int64) * 2_654_435_761)
         for batch in batches:
             ids = [np.append(r, np.array(end_id, r.dtype)) for r in split_rows(*encoder.encode(batch.column(1)))]
-            place = []
             for row in ids:
-                terms = np.unique(row[:-1])
-                held[terms] += 1
-                place.append(int(mix[terms].min()) if len(terms) else -1)
+                held[np.unique(row[:-1])] += 1
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array(place, pa.int64()),
                     pa.array([len(r) for r in ids], pa.int64()),
                     pa.array([r.astype(dtype).tobytes() for r in ids], pa.binary()),
                     pa.nulls(len(ids), pa.list_(pa.int64())),
                 ],
-                ["doc_id", "place", "n", "ids", "held"],
+                ["doc_id", "n", "ids", "held"],
             )
         none = pa.array([None], pa.int64())
         counts = pa.array([held.tolist()], pa.list_(pa.int64()))
         yield pa.RecordBatch.from_arrays(
-            [none, none, none, pa.array([None], pa.binary()), counts], ["doc_id", "place", "n", "ids", "held"]
+            [none, none, pa.array([None], pa.binary()), counts], ["doc_id", "n", "ids", "held"]
         )
 
-    schema = "doc_id bigint, place bigint, n bigint, ids binary, held array<bigint>"
+    schema = "doc_id bigint, n bigint, ids binary, held array<bigint>"
     rows = staged(docs.select("doc_id", "text").mapInArrow(run, schema), "tokens")
     terms = rows.where("held is not null").select(F.posexplode("held").alias("term", "docs"))
     return rows.where("held is null").drop("held"), terms.groupBy("term").agg(F.sum("docs").alias("docs"))
 
 
+def bm25(row: np.ndarray, idf: np.ndarray, mean_length: float) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct terms of a document (its end id is none) and their weights."""
+    term, repeats = np.unique(row[:-1], return_counts=True)
+    norm = K1 * (1 - B + B * len(row) / mean_length)
+    return term, (idf[term] * repeats * (K1 + 1) / (repeats + norm)).astype(np.float32)
+
+
+def signed(rows: DataFrame, shared, mean_length: float, dtype: np.dtype) -> DataFrame:
+    """The documents with their signatures: for each, the term that comes first in a race run at the terms' weights."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        idf = shared.value
+        waits = np.random.default_rng(7).exponential(size=(SIGNATURES, len(idf))).astype(np.float32)
+        for batch in batches:
+            signs = np.full((batch.num_rows, SIGNATURES), -1, np.int64)
+            for k, data in enumerate(batch.column(1).to_pylist()):
+                term, weight = bm25(np.frombuffer(data, dtype), idf, mean_length)
+                if len(term):
+                    signs[k] = term[(waits[:, term] / weight).argmin(axis=1)]
+            columns = [pa.array(np.ascontiguousarray(signs[:, k])) for k in range(SIGNATURES)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], ["doc_id", "ids", *names])
+
+    names = [f"sign{k}" for k in range(SIGNATURES)]
+    schema = "doc_id bigint, ids binary, " + ", ".join(f"{x} bigint" for x in names)
+    return rows.select("doc_id", "ids").mapInArrow(run, schema)
+
+
 class ShardIndex:
     """Inverted index of one shard with BM25 weights; documents are numbered in the order they are given."""
 
     def __init__(self, ids: list[np.ndarray], idf: np.ndarray, mean_length: float):
-        terms, weights, owners = [], [], []
-        for k, row in enumerate(ids):
-            term, repeats = np.unique(row[:-1], return_counts=True)
-            norm = K1 * (1 - B + B * len(row) / mean_length)
-            terms.append(term)
-            weights.append((idf[term] * repeats * (K1 + 1) / (repeats + norm)).astype(np.float32))
-            owners.append(np.full(len(term), k, np.int32))
-        self.own = list(zip(terms, weights, strict=True))
-        term = np.concatenate(terms)
-        order = np.argsort(term, kind="stable")
-        self.owner, self.weight = np.concatenate(owners)[order], np.concatenate(weights)[order]
+        own = [bm25(row, idf, mean_length) for row in ids]
+        self.own = [terms for terms, _ in own]
+        term = np.concatenate(self.own)
+        order = np.argsort(term, kind="stable").astype(np.int32)
+        self.weight = np.concatenate([weights for _, weights in own])[order]
+        del own
+        self.owner = np.repeat(np.arange(len(ids), dtype=np.int32), [len(t) for t in self.own])[order]
         present, first = np.unique(term[order], return_index=True)
         bounds = np.append(first, len(order)).tolist()
         self.postings = {t: (bounds[i], bounds[i + 1]) for i, t in enumerate(present.tolist())}
+        self.dense: dict[int, np.ndarray] = {}
+        for t, (low, high) in self.postings.items():
+            if high - low >= max(DENSE_SHARE * len(ids), 64):
+                self.dense[t] = np.zeros(len(ids), np.float32)
+                self.dense[t][self.owner[low:high]] = self.weight[low:high]
         self.unused = np.ones(len(ids), bool)
         self.size = len(ids)
 
-    def neighbours(self, seed: int) -> Iterator[int]:
-        """Unused documents by falling score for the seed's strongest terms, then the rest in order."""
-        terms, weights = self.own[seed]
-        if len(terms) > SEED_TERMS:
-            terms = terms[np.argpartition(weights, -SEED_TERMS)[-SEED_TERMS:]]
+    def scores(self, seed: int) -> np.ndarray:
+        """Score of each document for all terms of the seed."""
         score = np.zeros(self.size, np.float32)
-        for term in terms.tolist():
-            low, high = self.postings[term]
-            score[self.owner[low:high]] += self.weight[low:high]
+        for term in self.own[seed].tolist():
+            if term in self.dense:
+                score += self.dense[term]
+            else:
+                low, high = self.postings[term]
+                score[self.owner[low:high]] += self.weight[low:high]
+        return score
+
+    def neighbours(self, seed: int) -> Iterator[int]:
+        """Unused documents by falling score for all terms of the seed, then the rest in order."""
+        score = self.scores(seed)
         score[~self.unused] = -1.0
         while True:
             best = int(score.argmax())
@@ -177,17 +209,24 @@ def packed_pieces(docs: DataFrame, vocabulary: str, window: int = 1024, end_id:
     mean_length = (length or 1) / max(total, 1)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(idf)
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil((length or 0) / (8 * SHARD_IDS)))
+    # No more ranges than the bounds of a shard ask for: each further one would part documents that could be neighbours.
+    tasks = max(math.ceil(counts.sum() / SHARD_POSTINGS), math.ceil((length or 0) / SHARD_IDS), 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, sequence = shared.value, TaskContext.get().partitionId() << 32
         names: list[int | None] = []
         ids: list[np.ndarray] = []
-        held = 0
+        held = postings = 0
+        kinds = [pa.int64()] * 7 + [pa.binary()]
+        titles = [part.split()[0] for part in PIECES.split(",")]
+
+        def emit(out: list[tuple]) -> pa.RecordBatch:
+            columns = zip(*out, strict=True)
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], titles)
 
-        def packed() -> pa.RecordBatch:
+        def packed() -> Iterator[pa.RecordBatch]:
             nonlocal sequence
-            out = []
+            out: list[tuple] = []
             for pieces in filled(ids, ShardIndex(ids, weights, mean_length), window):
                 at = 0
                 for doc, start, n in pieces:
@@ -195,23 +234,26 @@ def packed_pieces(docs: DataFrame, vocabulary: str, window: int = 1024, end_id:
                     out.append((names[doc], start, n, crc32_of_ids(part), len(ids[doc]), sequence, at, part.tobytes()))
                     at += n
                 sequence += 1
-            kinds = [pa.int64()] * 7 + [pa.binary()]
-            titles = [part.split()[0] for part in PIECES.split(",")]
-            columns = zip(*out, strict=True)
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], titles)
+                if len(out) >= 4096:
+                    yield emit(out)
+                    out = []
+            if out:
+                yield emit(out)
 
         for batch in batches:
             for name, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                row = np.frombuffer(data, dtype)
+                terms = len(np.unique(row[:-1]))
+                if ids and (held + len(row) > SHARD_IDS or postings + terms > SHARD_POSTINGS):
+                    yield from packed()
+                    names, ids, held, postings = [], [], 0, 0
                 names.append(name)
-                ids.append(np.frombuffer(data, dtype))
-                held += len(ids[-1])
-                if held >= SHARD_IDS or len(ids) >= SHARD_DOCS:
-                    yield packed()
-                    names, ids, held = [], [], 0
+                ids.append(row)
+                held += len(row)
+                postings += terms
         if ids:
-            yield packed()
+            yield from packed()
 
-    near = rows.repartitionByRange(tasks, "place", "doc_id", F.crc32("ids")).sortWithinPartitions(
-        "place", "doc_id", F.crc32("ids")
-    )
+    order = [f"sign{k}" for k in range(SIGNATURES)] + ["doc_id", F.crc32("ids")]
+    near = signed(rows, shared, mean_length, dtype).repartitionByRange(tasks, *order).sortWithinPartitions(*order)
     return near.select("doc_id", "ids").mapInArrow(run, PIECES)
