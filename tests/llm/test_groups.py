@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from helpers import components, documents, shingles
 
@@ -78,6 +79,20 @@ def test_shared_shingles_are_counted_across_batches(spark):
         assert (row.n, row.shared) == (len(sets[row.doc_id]), len(sets[row.doc_id] & others))
 
 
+def test_kept_rows_of_batches_never_share_a_group():
+    """Batches of equal number in different partitions stay apart, and what is kept does not grow with the fragments."""
+    texts = pa.array([t or "" for t in near_texts(3)])
+    sets = ngram_join.shingle_sets(texts)
+    kept = {}
+    for fragments in (7, 2000):
+        for batch in (5, (1 << 32) + 5, (300 << 32) + 5):
+            rows = ngram_join.cells(batch, list(range(len(sets))), sets, None, fragments).to_pylist()
+            kept[fragments, batch] = next(r for r in rows if r["frag"] < 0)
+    assert len({r["frag"] for r in kept.values()}) == 3
+    size = lambda r: sum(len(v) for k, v in r.items() if isinstance(v, bytes) and k != "per_frag")
+    assert size(kept[2000, 5]) == size(kept[7, 5])
+
+
 def test_linked_groups(spark):
     rng = random.Random(2)
     edges = [(k, k + 1) for k in range(100, 160)] + [(500, 500 + k) for k in range(1, 80)] + [(9, 9), (None, 3)]

@@ -45,6 +45,8 @@ PARTS = 4
 LEADERS = 3
 # Documents named by each hash in each round, before the exact search of what the rounds miss.
 ROUNDS = (1, 4, 8)
+# Bytes of text that a fragment counts the shingles of.
+FRAGMENT_BYTES = 12_000_000
 _SEPARATORS = r"[\x20\x09-\x0D]+"
 _MIX = [np.uint64(m) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5)]
 
@@ -94,17 +96,17 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> list[np.ndarray]:
 # --- Step 1: how much of a document occurs elsewhere -----------------------------------------------------------------
 
 CELLS = (
-    "frag int, batch bigint, lows binary, labels binary, mixed binary, ids array<bigint>, sizes binary,"
-    " signs binary, runs binary, extra_run binary, extra_doc binary, known binary"
+    "frag bigint, batch bigint, lows binary, labels binary, mixed binary, ids array<bigint>, sizes binary,"
+    " signs binary, alone_doc binary, per_frag binary, extra_run binary, extra_doc binary, known binary"
 )
 CELL_NAMES = [part.split()[0] for part in CELLS.split(",")]
-CELL_TYPES = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64())] + [pa.binary()] * 6
+CELL_TYPES = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.list_(pa.int64())] + [pa.binary()] * 7
 
 
 def cells(
     batch: int, ids: list, sets: list[np.ndarray], labels: np.ndarray | None, fragments: int
 ) -> pa.RecordBatch:
-    """What a batch of documents sends: a row for each fragment, and a row (negative fragment) it keeps for the answers.
+    """What a batch of documents sends: a row for each fragment, and a row (a negative fragment of its own) it keeps for the answers.
 
     ``labels``: shingles count as shared between different labels only; None if each document is its own.
     """
@@ -124,7 +126,7 @@ def cells(
     alone = np.flatnonzero(~shared)
     first = docs[start]
     alone = alone[np.argsort(frag[alone] * len(sets) + first[alone], kind="stable")]
-    runs = np.bincount(frag[alone] * len(sets) + first[alone], minlength=fragments * len(sets)).astype("<u4")
+    per_frag = np.bincount(frag[alone], minlength=fragments).astype("<u4")
     # Further documents of a run with a single label, by the place of the run in the order sent.
     place = np.full(len(start), -1, np.int64)
     place[alone] = np.arange(len(alone))
@@ -139,14 +141,14 @@ def cells(
         part, twice = alone[bounds[f] : bounds[f + 1]], both[both_bounds[f] : both_bounds[f + 1]]
         if len(part) or len(twice):
             label = low[part].astype("<i8").tobytes() if labels is not None else b""
-            rows.append([f, batch, lows[part].tobytes(), label, lows[twice].tobytes()] + [None] * 7)
+            rows.append([f, batch, lows[part].tobytes(), label, lows[twice].tobytes()] + [None] * 8)
     signs = np.array(
         [(np.bitwise_xor.reduce(mixed(s)), mixed(s, 2).sum()) if len(s) else (0, 0) for s in sets], np.uint64
     )
     least = np.array([[mixed(s, k).min() if len(s) else 0 for k in range(LEADERS)] for s in sets], np.uint64)
     rows.append(
-        [-1 - batch % 65_536, batch, None, None, None, ids, size.astype("<i8").tobytes()]
-        + [np.hstack([signs, least]).astype("<u8").tobytes(), runs.tobytes()]
+        [-1 - batch, batch, None, None, None, ids, size.astype("<i8").tobytes()]
+        + [np.hstack([signs, least]).astype("<u8").tobytes(), first[alone].astype("<u4").tobytes(), per_frag.tobytes()]
         + [place[run[again]].astype("<u4").tobytes(), docs[again].astype("<u4").tobytes(), known.tobytes()]
     )
     return pa.RecordBatch.from_arrays(
@@ -192,8 +194,7 @@ def summed(key: tuple, table: pa.Table) -> pa.Table:
     kept = next(r for r in rows if r["frag"] < 0)
     size = np.frombuffer(kept["sizes"], "<i8")
     n = len(size)
-    runs = np.frombuffer(kept["runs"], "<u4").astype(np.int64)
-    per_frag = runs.reshape(-1, n).sum(axis=1) if n else runs
+    per_frag = np.frombuffer(kept["per_frag"], "<u4")
     answers = {r["frag"]: r["bits"] for r in rows if r["frag"] >= 0}
     parts = [
         np.unpackbits(np.frombuffer(answers[f], np.uint8), count=c).astype(bool)
@@ -201,7 +202,7 @@ def summed(key: tuple, table: pa.Table) -> pa.Table:
         if c
     ]
     bit = np.concatenate(parts) if parts else np.zeros(0, bool)
-    doc = np.repeat(np.tile(np.arange(n), len(per_frag)), runs)
+    doc = np.frombuffer(kept["alone_doc"], "<u4").astype(np.int64)
     shared = np.frombuffer(kept["known"], "<u4").astype(np.int64) + np.bincount(doc[bit], minlength=n)
     extra = np.frombuffer(kept["extra_doc"], "<u4")[bit[np.frombuffer(kept["extra_run"], "<u4").astype(np.int64)]]
     shared = shared + np.bincount(extra.astype(np.int64), minlength=n)
@@ -285,7 +286,8 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row for each row of ``docs`` (doc_id, text): doc_id, n_shingles and component_id, the smallest linked id."""
     spark = docs.sparkSession
-    fragments = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    fragments = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // FRAGMENT_BYTES))
 
     def from_texts(batch: pa.RecordBatch):
         ids, texts = batch.column(0), batch.column(1)
