@@ -131,6 +131,25 @@ def test_vectors_equal_brute_force(spark):
         assert got[i].component_id == expected[i] and got[i].kept == (expected[i] == i)
 
 
+def test_links_the_passes_miss_are_found(spark, monkeypatch):
+    """Lone pairs in one dense label, with small blocks and a pass that finds little."""
+    monkeypatch.setattr(projection_passes, "PASSES", 1)
+    monkeypatch.setattr(projection_passes, "WINDOW", 1)
+    monkeypatch.setattr(projection_passes, "BLOCK", 100, raising=False)
+    rng = np.random.default_rng(6)
+    centre = 3 * rng.standard_normal(32)
+    base = centre + rng.standard_normal((300, 32))
+    rows = [(k, 1, v.tolist()) for k, v in enumerate(np.concatenate([base, base[:150] + rng.standard_normal((150, 32)) * 0.3]))]
+    unit = np.array([v for _, _, v in rows], np.float32).astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.98
+    expected = components(list(range(len(rows))), lambda a, b: bool(near[a, b]))
+    got = {r.vec_id: r for r in projection_passes.near_vectors(vectors(spark, rows)).collect()}
+    assert {i: r.component_id for i, r in got.items()} == expected
+    assert all(r.n_links == near[i].sum() - 1 for i, r in got.items())
+    assert sum(i != c for i, c in expected.items()) > 100
+
+
 def test_vectors_without_a_direction(spark):
     nan, inf = float("nan"), float("inf")
     bad = [None, [], [0.0, 0.0], [nan, 1.0], [inf, 1.0], [None, 1.0]]

@@ -2,9 +2,10 @@
 
 Each pass hashes every vector to the signs of random projections, written one after another, and orders the vectors of
 a label by this key. Neighbours within a bounded window are compared exactly, and verified pairs are united over all
-passes. Close vectors agree in most signs, so in some pass they stand side by side. Equal vectors are one node. Inside
-each group that the passes find, the links of every vector are then counted exactly, block against block, so a dense
-group of any size has its true counts although the windows are bounded.
+passes. Close vectors agree in most signs, so in some pass they mostly stand side by side. Equal vectors are one node.
+What the passes miss in a hot or dense label is found after them: all vectors of a label are compared exactly, block
+against block. That gives each vector its true count of links, and the links between groups that the passes left apart.
+The products grow with the square of a label; only counts and one row for each group joined leave a pair of blocks.
 
 Passes sort by range of (pass, label, key, id): a label or a key that very many vectors share is cut like any other
 range, and the first rows of a range are compared from the range before as well.
@@ -29,8 +30,8 @@ PASSES = 16
 WINDOW = 24
 # Signs in a key.
 SIGNS = 62
-# Vectors in a block of a group.
-BLOCK = 512
+# Vectors in a block of a label, and in a product at a time.
+BLOCK, TILE = 8192, 512
 
 KEYED = "pass int, label bigint, size int, key bigint, id bigint, vector binary"
 PLACED = KEYED + ", part int, place bigint"
@@ -109,57 +110,53 @@ def united(table: pa.Table, least: float) -> pa.Table:
     return pa.table({"a": pa.array(ids[moved], pa.int64()), "b": pa.array(low[moved], pa.int64())})
 
 
-def block_links(groups: DataFrame, least: float) -> DataFrame:
-    """Exact number of links of each node inside its group: id, links (weighted by the copies of the other node).
+def block_links(nodes: DataFrame, least: float) -> DataFrame:
+    """Exact links of each node with all of its label, and what joins groups: id, links, a, b.
 
-    ``groups``: id, component, copies, vector. A group is dealt into blocks of about ``BLOCK`` nodes; each pair of blocks
-    is one matrix product, wherever it runs. Only counts leave it.
+    ``nodes``: id, label, size, component, copies, vector. Rows have either id and links (weighted by the copies of the
+    other node), or components a and b that a link joins. A label is dealt into blocks of about ``BLOCK`` nodes; each
+    pair of blocks is worked off in tiles, wherever it runs.
     """
-    size = groups.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    own = groups.join(size, "component").withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    size = nodes.groupBy("label", "size").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = nodes.join(size, ["label", "size"]).withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     dealt = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "component", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "id", "copies", "vector"
+        "label", "size", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"),
+        "own", "id", "component", "copies", "vector",
     )
-    key = ["component", "low", "high"]
-    dealt = dealt.repartition(*key).sortWithinPartitions(*key, "own", "id")
-
-    def counted(rows: list[tuple]) -> Iterator[tuple[int, int]]:
-        low, high = rows[0][1], rows[0][2]
-        units, copies = unit_rows([r[6] for r in rows]), np.array([r[5] for r in rows])
-        owner = np.array([r[3] for r in rows])
-        one, two = np.flatnonzero(owner == low), np.flatnonzero(owner == high)
-        near = units[one] @ units[two].T >= least
-        if low == high:
-            np.fill_diagonal(near, False)
-            links = near @ copies[two]
-        else:
-            links = np.concatenate([near @ copies[two], copies[one] @ near])
-            one = np.concatenate([one, two])
-        yield from ((rows[i][4], n) for i, n in zip(one.tolist(), links.tolist(), strict=True) if n)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def emit(out: list[tuple[int, int]]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_pydict(
-                {"id": pa.array([o[0] for o in out], pa.int64()), "links": pa.array([o[1] for o in out], pa.int64())}
-            )
-
-        held: list[tuple] = []
-        out: list[tuple[int, int]] = []
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held and held[0][:3] != row[:3]:
-                    out += counted(held)
-                    held = []
-                held.append(row)
-            if len(out) > 10_000:
-                yield emit(out)
-                out = []
-        if held:
-            out += counted(held)
-        if out:
-            yield emit(out)
-
-    return dealt.mapInArrow(run, "id bigint, links bigint").groupBy("id").agg(F.sum("links").alias("links"))
+    schema = "id bigint, links bigint, a bigint, b bigint"
+    return dealt.groupBy("label", "size", "low", "high").applyInArrow(lambda key, table: compared(key, table, least), schema)
+
+
+def compared(key: tuple, table: pa.Table, least: float) -> pa.Table:
+    """Links inside a pair of blocks: their number for each node, and the groups they join."""
+    low, high = key[2].as_py(), key[3].as_py()
+    units = unit_rows(table.column("vector").to_pylist())
+    ids, group, copies, owner = (table.column(c).to_numpy() for c in ("id", "component", "copies", "own"))
+    one, two = np.flatnonzero(owner == low), np.flatnonzero(owner == high)
+    links = np.zeros(len(ids), np.int64)
+    joined: set[tuple[int, int]] = set()
+    for i in range(0, len(one), TILE):
+        left = one[i : i + TILE]
+        for j in range(i if low == high else 0, len(two), TILE):
+            right = two[j : j + TILE]
+            near = units[left] @ units[right].T >= least
+            same = low == high and i == j
+            if same:
+                np.fill_diagonal(near, False)
+            if not near.any():
+                continue
+            links[left] += near @ copies[right]
+            if not same:
+                links[right] += copies[left] @ near
+            x, y = np.nonzero(near & (group[left][:, None] != group[right][None, :]))
+            if len(x):
+                ends = np.sort(np.stack([group[left[x]], group[right[y]]]), axis=0)
+                joined.update(map(tuple, np.unique(ends, axis=1).T.tolist()))
+    some = np.flatnonzero(links)
+    counted = pa.array(ids[some].tolist() + [None] * len(joined), pa.int64())
+    number = pa.array(links[some].tolist() + [None] * len(joined), pa.int64())
+    a, b = (pa.array([None] * len(some) + [pair[k] for pair in joined], pa.int64()) for k in (0, 1))
+    return pa.table({"id": counted, "links": number, "a": a, "b": b})
 
 
 def near_vectors(vectors: DataFrame, least: float = 0.98) -> DataFrame:
@@ -192,10 +189,17 @@ def near_vectors(vectors: DataFrame, least: float = 0.98) -> DataFrame:
     over = order.where((F.col("place") < WINDOW) & (F.col("part") > 0)).withColumn("home", F.col("part") - 1)
     windows = order.withColumn("home", F.col("part")).unionByName(over)
     links = windows.groupBy("home").applyInArrow(lambda table: united(table, least), "a bigint, b bigint")
-    groups = staged(linked_groups(spark, links), "groups")
+    links = staged(links, "neighbours")
+    found = linked_groups(spark, links)
 
-    inside = nodes.join(groups, "id").select("id", "component", "copies", "vector")
-    counts = block_links(inside, least)
+    # What the passes miss: every pair of a label, with the groups found so far as components.
+    grouped = nodes.join(found, "id", "left").select(
+        "id", "label", "size", F.coalesce("component", "id").alias("component"), "copies", "vector"
+    )
+    checked = staged(block_links(grouped, least), "blocks")
+    counts = checked.where("id is not null").groupBy("id").agg(F.sum("links").alias("links"))
+    more = checked.where("a is not null").select("a", "b")
+    groups = staged(linked_groups(spark, links.union(more)), "groups")
     judged = (
         nodes.join(groups, "id", "left")
         .join(counts, "id", "left")
