@@ -38,12 +38,15 @@ def by_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates; one row where an id repeats."""
+    """The document with the smallest id of each group of near duplicates; one row where an id repeats, all without id."""
     groups = ngram_join.near_duplicates(docs.select("doc_id", "text")).where(
         F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
     staying = groups.select("doc_id").distinct().withColumnRenamed("doc_id", "_id")
-    return docs.select(*COLUMNS).join(staying, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
+    rows = docs.select(*COLUMNS)
+    named = rows.join(staying, F.col("doc_id") == F.col("_id"), "left_semi")
+    one = named.groupBy("doc_id").agg(F.max(F.struct(*COLUMNS[1:])).alias("_row")).select("doc_id", "_row.*")
+    return one.unionByName(rows.where("doc_id is null"))
 
 
 def into_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -47,3 +47,12 @@ def test_stages_of_nothing_and_awkward_rows(spark, small):
         nothing, some = stage(spark, nothing, small), stage(spark, some, small)
         assert nothing.count() == 0
     assert some.count() >= 0
+
+
+def test_repeated_rows_leave_one_document(spark, small):
+    texts = ["one two three four five six seven", "one two three four five six seven", "another text of six words here"]
+    docs = documents(spark, [*texts, "no id"], [1, 2, 3, None]).select("doc_id", "text", "lang", "source", "n_chars")
+    got = corpus_pipeline.without_near_copies(spark, docs.unionByName(docs), small).collect()
+    rows = sorted(((r.doc_id, r.text, r.lang, r.source, r.n_chars) for r in got), key=str)
+    none = (None, "no id", "en", "s", 5)
+    assert rows == [(1, texts[0], "en", "s", len(texts[0])), (3, texts[2], "en", "s", len(texts[2])), none, none]
