@@ -8,8 +8,9 @@ carries the change of the count. States are numbered as they are first met; the
 of a worker and bounded.
 
 No piece spans a border between another character and the mark of a space. A chunk from one such border to the next
-therefore starts in the same state whatever precedes it: its state map is constant, and composing the maps of a text is
-a prefix sum of the counts of its chunks, taken over all chunks of a batch at once with numpy.
+therefore starts in the same state whatever precedes it: its state map is constant, so composing the maps of a text
+reduces to a segmented sum of the counts of its chunks, taken over all chunks of a batch at once with numpy; texts with
+spaces in a row or at the end are summed one by one. No map is stored and no scan is run.
 
 A null or empty text has no tokens. A text of any length is processed whole; a chunk without a border walks the same
 transducer character by character.
