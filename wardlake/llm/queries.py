@@ -18,7 +18,10 @@ from wardlake.llm import (
     pair_merges,
     projection_passes,
     revisits,
+    spelling,
     transducer,
+    turn_automaton,
+    unlabelled_risk,
 )
 from wardlake.llm.common import table
 from wardlake.session import fresh_path
@@ -86,6 +89,20 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transducer.token_counts(table(spark, sf_dir, "documents"), PIECE_MODEL, 4096)
 
 
+def op11_unlabelled_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    scores = unlabelled_risk.quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return scores.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op12_turn_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_automaton.repaired_conversations(table(spark, sf_dir, "conversations"))
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(spelling.word_counts(spelling.damaged_words(table(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_link_trust": op1_link_trust,
     "op2_revisits": op2_revisits,
@@ -97,6 +114,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pair_merges": op8_pair_merges,
     "op9_ngram_join": op9_ngram_join,
     "op10_token_counts": op10_token_counts,
+    "op11_unlabelled_risk": op11_unlabelled_risk,
+    "op12_turn_automaton": op12_turn_automaton,
+    "op13_spelling": op13_spelling,
 }
 
 
