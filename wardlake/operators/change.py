@@ -120,18 +120,18 @@ def move_partitions(
     return seen.get["rows"]
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    target, system = _file_system(spark, path)
+    target, system = file_system(spark, path)
     return system.exists(target)
 
 
 def drop_partitions(spark: SparkSession, path: str, partition: str, values: list) -> None:
     """Remove whole partition folders of a table."""
     for value in values:
-        target, system = _file_system(spark, f"{path.rstrip('/')}/{partition}={value}")
+        target, system = file_system(spark, f"{path.rstrip('/')}/{partition}={value}")
         system.delete(target, True)

@@ -47,42 +47,6 @@ def changed_slice(src, ids: DataFrame):
     return src.replacing(**cut)
 
 
-def merge_fact(stored: DataFrame, src, dims_of, ids: DataFrame, hot: list) -> DataFrame:
-    """Fact with the changed encounters rebuilt and the readmission measures of their patients renewed.
-
-    ``dims_of`` holds the current dimensions; ``ids`` the changed encounter ids. A return changes the measures of other
-    visits too, so all visits of the touched patients, before and after the change, are measured again.
-    """
-    part = changed_slice(src, ids)
-    resolved = fact.resolved_encounters(
-        part["encounters"], dims_of["dim_patient"], dims_of["dim_provider"], dims_of["dim_encounter_type"]
-    )
-    rebuilt = fact.with_measures(
-        resolved,
-        part["billing"],
-        part["encounter_diagnoses"],
-        part["encounter_procedures"],
-        dims_of["dim_diagnosis"],
-    )
-    plain = [c for c in stored.columns if c not in READMISSION_COLUMNS]
-    kept = stored.join(ids, "encounter_id", "left_anti")
-    merged = kept.select(*plain).unionByName(rebuilt.select(*plain))
-    touched = union_all(
-        [_only(stored, ids).select("patient_key"), rebuilt.select("patient_key")]
-    ).distinct()
-    measures = fact.readmission_measures(merged.join(touched, "patient_key", "left_semi"), hot)
-    before = kept.select("encounter_id", *READMISSION_COLUMNS)
-    blank = rebuilt.select(
-        "encounter_id",
-        F.lit(False).alias("has_30day_readmission"),
-        F.lit(None).cast("int").alias("days_to_readmission"),
-        F.lit(False).alias("is_readmission"),
-        F.lit(0).alias("readmission_count_30days"),
-    )
-    current = merged.join(before.unionByName(blank), "encounter_id")
-    return update_from(current, measures, ["encounter_id"], READMISSION_COLUMNS).select(*stored.columns)
-
-
 def merge_bridges(stored: dict[str, DataFrame], src, dims_of, ids: DataFrame, hot: list) -> dict[str, DataFrame]:
     """Both bridges with the rows of the changed encounters replaced."""
     part = changed_slice(src, ids)

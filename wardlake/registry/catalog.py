@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from wardlake.registry import check_queries, load_queries, primitive_queries, warehouse_queries
+from wardlake.registry import check_queries, load_queries, primitive_queries, store_queries, warehouse_queries
 from wardlake.registry.oracle_base import with_tables
 
-GROUPS = [warehouse_queries.QUERIES, check_queries.QUERIES, load_queries.QUERIES, primitive_queries.QUERIES]
+GROUPS = [warehouse_queries.QUERIES, check_queries.QUERIES, load_queries.QUERIES, store_queries.QUERIES, primitive_queries.QUERIES]
 
 
 def registered() -> dict:
