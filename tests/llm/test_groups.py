@@ -49,7 +49,8 @@ def test_what_minimum_hashes_miss_is_found(spark, monkeypatch):
     sets = [shingles(t) for t in texts]
     near = lambda a, b: bool(sets[a]) and bool(sets[b]) and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
     expected = components(list(range(len(texts))), near)
-    monkeypatch.setattr(ngram_join, "ROUNDS", ())
+    none = lambda leads, sets, percent: (spark.createDataFrame([], "a bigint, b bigint"), spark.createDataFrame([], "id bigint, component bigint"))
+    monkeypatch.setattr(ngram_join, "grouped_in_rounds", none)
     got = ngram_join.near_duplicates(documents(spark, texts)).collect()
     assert {r.doc_id: r.component_id for r in got} == expected
 
@@ -91,6 +92,8 @@ def test_kept_rows_of_batches_never_share_a_group():
     assert len({r["frag"] for r in kept.values()}) == 3
     size = lambda r: sum(len(v) for k, v in r.items() if isinstance(v, bytes) and k != "per_frag")
     assert size(kept[2000, 5]) == size(kept[7, 5])
+    many = ngram_join.cells(5, list(range(len(sets))), sets, None, 1 << 31).to_pylist()
+    assert len(next(r for r in many if r["frag"] < 0)["per_frag"]) <= 16 * sum(map(len, sets))
 
 
 def test_linked_groups(spark):

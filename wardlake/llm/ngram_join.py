@@ -7,13 +7,13 @@ and the parts are summed:
    can't be similar to any other and leaves here; in most corpora few stay. A batch of documents sends each shingle to
    its fragment once, however many documents hold it, and gets one bit back for it, so a shingle that very many
    documents hold costs one entry a batch.
-2. Of those that stay, one representative of each distinct set is paired with a document that shares one of its
-   minimum hashes but not yet its group, another one in each round. The overlap of a pair is counted fragment by
-   fragment and summed; verified pairs join groups. A large group of copies comes together in pairs that grow with its
-   size, not with its square.
-3. What the rounds miss: the count of step 1 is repeated between groups, and only documents that share enough with
-   other groups form candidates, over the rarest part of their shingles (prefix filters and the bound that the places of
-   the shared ones leave); the same overlap verifies them.
+2. Of those that stay, one representative of each distinct set is paired with leaders: of the documents with one
+   minimum hash, the one whose shingles are most wholly known from others, as an original is known from its copies. The
+   overlap of a pair is counted fragment by fragment and summed; verified pairs join groups. A large group of copies
+   comes together around its original in pairs that grow with its size, not with its square.
+3. What that misses: the count of step 1 is repeated between groups, and only documents that share enough with
+   other groups form candidates, over the rarest part of their shingles (prefix filters, what either shares with other
+   groups at all, and the bound that the places of the shared ones leave); the same overlap verifies them.
 
 A step only leaves out documents or pairs that can't reach the threshold, so no link between different texts is lost.
 Equal hashes of different shingles would be counted as one; for the sets of a pair the odds are below 1 in 10 ** 12.
@@ -42,9 +42,9 @@ PERCENT = 75
 # Vertical parts in which the overlap of a pair is counted.
 PARTS = 4
 # Minimum hashes a document looks for partners with.
-LEADERS = 3
-# Documents named by each hash in each round, before the exact search of what the rounds miss.
-ROUNDS = (1, 4, 8)
+LEADERS = 6
+# Documents of one minimum hash that meet in one task.
+MET_ROWS = 32
 # Bytes of text that a fragment counts the shingles of.
 FRAGMENT_BYTES = 12_000_000
 _SEPARATORS = r"[\x20\x09-\x0D]+"
@@ -58,6 +58,10 @@ def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+# Each factor gives another order of well spread values.
+LEADER_FACTORS = mixed(np.arange(1, LEADERS + 1, dtype=np.uint64)) | np.uint64(1)
+
+
 def shingle_sets(texts: pa.Array, words: int = WORDS) -> list[np.ndarray]:
     """Sorted distinct hashes of each text's shingles."""
     from pandas.util import hash_array
@@ -126,7 +130,8 @@ def cells(
     alone = np.flatnonzero(~shared)
     first = docs[start]
     alone = alone[np.argsort(frag[alone] * len(sets) + first[alone], kind="stable")]
-    per_frag = np.bincount(frag[alone], minlength=fragments).astype("<u4")
+    # Fragments with entries, and how many: as long as the entries, whatever the number of fragments.
+    per_frag = np.stack(np.unique(frag[alone], return_counts=True)).astype("<u8")
     # Further documents of a run with a single label, by the place of the run in the order sent.
     place = np.full(len(start), -1, np.int64)
     place[alone] = np.arange(len(alone))
@@ -134,18 +139,17 @@ def cells(
     again[start] = False
     again &= ~shared[run] if len(run) else again
     rows = []
-    bounds = np.searchsorted(frag[alone], np.arange(fragments + 1))
-    both = np.flatnonzero(shared)
-    both_bounds = np.searchsorted(frag[both], np.arange(fragments + 1))  # hashes, so fragments, ascend
-    for f in range(fragments):
-        part, twice = alone[bounds[f] : bounds[f + 1]], both[both_bounds[f] : both_bounds[f + 1]]
-        if len(part) or len(twice):
-            label = low[part].astype("<i8").tobytes() if labels is not None else b""
-            rows.append([f, batch, lows[part].tobytes(), label, lows[twice].tobytes()] + [None] * 8)
+    both = np.flatnonzero(shared)  # hashes, so fragments, ascend
+    used = np.union1d(frag[alone], frag[both])
+    bounds = [np.searchsorted(frag[x], used, side) for x in (alone, both) for side in ("left", "right")]
+    for f, a, b, c, d in zip(used.tolist(), *(x.tolist() for x in bounds), strict=True):
+        part, twice = alone[a:b], both[c:d]
+        label = low[part].astype("<i8").tobytes() if labels is not None else b""
+        rows.append([f, batch, lows[part].tobytes(), label, lows[twice].tobytes()] + [None] * 8)
     signs = np.array(
         [(np.bitwise_xor.reduce(mixed(s)), mixed(s, 2).sum()) if len(s) else (0, 0) for s in sets], np.uint64
     )
-    least = np.array([[mixed(s, k).min() if len(s) else 0 for k in range(LEADERS)] for s in sets], np.uint64)
+    least = np.array([[(x * k).min() if len(x) else 0 for k in LEADER_FACTORS] for x in map(mixed, sets)], np.uint64)
     rows.append(
         [-1 - batch, batch, None, None, None, ids, size.astype("<i8").tobytes()]
         + [np.hstack([signs, least]).astype("<u8").tobytes(), first[alone].astype("<u4").tobytes(), per_frag.tobytes()]
@@ -194,12 +198,11 @@ def summed(key: tuple, table: pa.Table) -> pa.Table:
     kept = next(r for r in rows if r["frag"] < 0)
     size = np.frombuffer(kept["sizes"], "<i8")
     n = len(size)
-    per_frag = np.frombuffer(kept["per_frag"], "<u4")
+    per_frag = np.frombuffer(kept["per_frag"], "<u8").reshape(2, -1).tolist()
     answers = {r["frag"]: r["bits"] for r in rows if r["frag"] >= 0}
     parts = [
         np.unpackbits(np.frombuffer(answers[f], np.uint8), count=c).astype(bool)
-        for f, c in enumerate(per_frag.tolist())
-        if c
+        for f, c in zip(*per_frag, strict=True)
     ]
     bit = np.concatenate(parts) if parts else np.zeros(0, bool)
     doc = np.frombuffer(kept["alone_doc"], "<u4").astype(np.int64)
@@ -299,12 +302,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     # Documents that share enough with any other text; one for each distinct set.
     sign = ["n", "sign_a", "sign_b"]
     staying = stats.where("n > 0 and doc_id is not null").where(100 * F.col("shared") >= percent * F.col("n"))
-    classes = staying.groupBy(*sign).agg(F.min("doc_id").alias("head"), F.min("least").alias("least"))
+    first = F.min(F.struct("doc_id", "shared", "least")).alias("first")
+    classes = staying.groupBy(*sign).agg(first).select(*sign, F.col("first.doc_id").alias("head"), "first.shared", "first.least")
     classes = staged(classes, "classes")
     texts = docs.select("doc_id", "text").join(classes.select(F.col("head").alias("doc_id")).distinct(), "doc_id", "left_semi")
     sets = staged(set_parts(texts, words), "sets")
 
-    leads = staged(classes.select(F.col("head").alias("id"), "n", "least", F.posexplode("least").alias("k", "value")), "leads")
+    known = (F.col("shared") / F.col("n")).alias("known")
+    leads = staged(classes.select(F.col("head").alias("id"), "n", known, F.posexplode("least").alias("k", "value")), "leads")
     links, labels = grouped_in_rounds(leads, sets, percent)
 
     # What the rounds miss: documents that share enough with other groups.
@@ -322,8 +327,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     between = shared_counts(ordered, from_sets, fragments).groupBy("doc_id").agg(
         F.sum("n").alias("n"), F.sum("shared").alias("shared")
     )
-    open_ids = staged(between.where(100 * F.col("shared") >= percent * F.col("n")).select("doc_id"), "open")
-    more = staged(verified(candidates(labelled.join(open_ids, "doc_id", "left_semi"), percent), sets, percent), "links")
+    open_ids = staged(between.where(100 * F.col("shared") >= percent * F.col("n")).select("doc_id", "shared"), "open")
+    more = staged(verified(candidates(labelled.join(open_ids, "doc_id"), percent), sets, percent), "links")
     found = linked_groups(spark, links.union(more)).select(F.col("id").alias("head"), "component")
     classes = classes.join(found, "head", "left").select(*sign, F.coalesce("component", "head").alias("component"))
     return stats.join(classes, sign, "left").select(
@@ -336,73 +341,72 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 def grouped_in_rounds(leads: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Verified links (a, b) and the groups they give (id, component), by partners of equal minimum hash.
 
-    ``leads``: id, n, least, k, value. In each round every hash names some of its documents, and each document is
-    compared with those so named that are not in its group: one of them in the first round, which settles most, then
-    all. Only pairs that sizes allow and that agree in most minimum hashes are compared; the exact search has the rest.
+    ``leads``: id, n, known, k, value. Each minimum hash names one leader: the document of which the largest part is
+    known from others, as an original is wholly repeated by its copies while each copy has something of its own. Every
+    document is compared with the leader that most of its hashes name; then those still apart from a leader with all
+    the leaders they have. Only pairs that sizes allow are compared; the exact search has the rest.
     """
     spark = leads.sparkSession
-    links, labels = spark.createDataFrame([], "a bigint, b bigint"), spark.createDataFrame([], "id bigint, component bigint")
-    for number, names in enumerate(ROUNDS):
-        named = leads.join(labels, "id", "left").select(
-            "k", "value", "id", "n", "least", F.coalesce("component", "id").alias("label")
-        )
-        lead = F.struct(F.col("id").alias("b"), F.col("label").alias("other"), F.col("n").alias("m"), F.col("least").alias("of_b"))
-        chosen = (
-            named.groupBy("k", "value")
-            .agg(
-                F.array_distinct(F.array(*[F.min_by(lead, F.xxhash64("id", F.lit(number), F.lit(k))) for k in range(names)])).alias("leads"),
-                F.min("label").alias("low"),
-                F.max("label").alias("high"),
-            )
-            .where("low < high")
-            .select("k", "value", F.explode("leads").alias("lead"))
-            .select("k", "value", "lead.*")
-        )
-        alike = sum((F.get("least", F.lit(k)) == F.get("of_b", F.lit(k))).cast("int") for k in range(LEADERS))
-        fits = (100 * F.least("n", "m") >= percent * F.greatest("n", "m")) & (2 * alike > LEADERS)
-        met = named.join(chosen, ["k", "value"]).where((F.col("label") != F.col("other")) & fits).select(F.col("id").alias("a"), "b")
-        pairs = met.distinct() if number else met.groupBy("a").agg(F.min("b").alias("b"))
-        found = staged(verified(pairs, sets, percent), "links")
-        if not found.isEmpty():
-            links = staged(links.union(found), "links")
-            labels = staged(linked_groups(spark, links), "labels")
+    lead = F.struct("known", F.xxhash64("id").alias("tie"), F.col("id").alias("b"), F.col("n").alias("m"))
+    named = leads.groupBy("k", "value").agg(F.max(lead).alias("lead"), F.count(F.lit(1)).alias("held")).where("held > 1")
+    # A hash that very many documents share meets its leader in many parts.
+    dealt = leads.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(MET_ROWS)))
+    places = dealt.select("k", "value", "salt").distinct().join(named, ["k", "value"]).select("k", "value", "salt", "lead.*")
+    fits = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
+    dealt = dealt.drop("known")
+    met = dealt.join(places, ["k", "value", "salt"]).where(fits & (F.col("id") != F.col("b")))
+    met = staged(met.groupBy(F.col("id").alias("a"), "b").agg(F.count(F.lit(1)).alias("times"), F.max("known").alias("known")), "met")
+
+    best = met.groupBy("a").agg(F.max(F.struct("times", "known", "b")).alias("best")).select("a", "best.b")
+    links = staged(verified(best, sets, percent), "links")
+    labels = staged(linked_groups(spark, links), "labels")
+    side = lambda end: labels.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}"))
+    apart = F.coalesce("of_a", "a") != F.coalesce("of_b", "b")
+    rest = met.join(best, ["a", "b"], "left_anti").join(side("a"), "a", "left").join(side("b"), "b", "left").where(apart).select("a", "b")
+    more = staged(verified(rest, sets, percent), "links")
+    if not more.isEmpty():
+        links = staged(links.union(more), "links")
+        labels = staged(linked_groups(spark, links), "labels")
     return links, labels
 
 
 def candidates(docs: DataFrame, percent: int) -> DataFrame:
     """Pairs of documents with different labels that may be similar.
 
-    ``docs``: doc_id, n, label, hashes, a row for each part of a set. With shingles ordered rarest first, of a similar
+    ``docs``: doc_id, n, shared, label, hashes, a row for each part of a set; ``shared`` is how many of its shingles
+    other labels have, more than which no pair can share. With shingles ordered rarest first, of a similar
     pair the smaller set must share one of its first n - ceil(2t / (1 + t) n) + 1 shingles with the first
     m - ceil(t m) + 1 of the larger one. The shingles shared there, and how many can follow the last of them, bound the
     overlap; pairs whose bound is too low go.
     """
 
     def entries(batch: pa.RecordBatch) -> dict:
-        ids, n, label, data = (c.to_pylist() for c in batch.columns)
+        ids, n, shared, label, data = (c.to_pylist() for c in batch.columns)
         sets = [np.frombuffer(d, "<i8") for d in data]
         times = [len(s) for s in sets]
         return {
             "h": pa.array(np.concatenate(sets), pa.int64()),
             "doc_id": pa.array(np.repeat(np.array(ids, np.int64), times)),
             "n": pa.array(np.repeat(np.array(n, np.int64), times)),
+            "most": pa.array(np.repeat(np.array(shared, np.int64), times)),
             "label": pa.array(np.repeat(np.array(label, np.int64), times)),
         }
 
-    rows = map_batches(docs.select("doc_id", "n", "label", "hashes"), entries, "h bigint, doc_id bigint, n bigint, label bigint")
+    rows = map_batches(docs.select("doc_id", "n", "shared", "label", "hashes"), entries, "h bigint, doc_id bigint, n bigint, most bigint, label bigint")
     held = rows.groupBy("h").agg(F.count("*").alias("docs"), F.min("label").alias("low"), F.max("label").alias("high"))
     ranked = rows.join(held, "h").withColumn(
         "rank", F.row_number().over(Window.partitionBy("doc_id", "n").orderBy("docs", "h"))
     )
     n = F.col("n")
     shared = ranked.where(F.col("low") < F.col("high")).where(F.col("rank") <= n - F.ceil(percent * n / 100) + 1)
-    larger = shared.select("h", F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("label").alias("label_b"), F.col("rank").alias("rank_b"))
+    larger = shared.select("h", F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("label").alias("label_b"), F.col("rank").alias("rank_b"), F.col("most").alias("most_b"))
     smaller = shared.where(F.col("rank") <= n - F.ceil(2 * percent * n / (100 + percent)) + 1)
     met = smaller.withColumnRenamed("doc_id", "a").join(larger, "h").where(
         "label <> label_b and (n < m or (n = m and a < b))"
     ).where(100 * F.col("n") >= percent * F.col("m"))
     # Up to a shared shingle no more can be shared than its place in either set, after it no more than is left of either.
     most = F.least("rank", "rank_b") + F.least(F.col("n") - F.col("rank"), F.col("m") - F.col("rank_b"))
+    most = F.least(most, "most", "most_b")
     met = met.where(similar(most, F.col("n"), F.col("m"), percent))
     pairs = met.groupBy("a", "b", "n", "m").agg(
         F.count("*").alias("same"), F.max("rank").alias("rank"), F.max("rank_b").alias("rank_b")
