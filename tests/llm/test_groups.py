@@ -49,12 +49,32 @@ def test_what_minimum_hashes_miss_is_found(spark, monkeypatch):
     sets = [shingles(t) for t in texts]
     near = lambda a, b: bool(sets[a]) and bool(sets[b]) and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])
     expected = components(list(range(len(texts))), near)
-    none = lambda leads, sets, percent: (spark.createDataFrame([], "a bigint, b bigint"), spark.createDataFrame([], "id bigint, component bigint"))
+    none = lambda leads, sets, percent: (*[spark.createDataFrame([], f"{a} bigint, {b} bigint") for a, b in (("a", "b"), ("id", "component"), ("a", "b"))],)
     monkeypatch.setattr(ngram_join, "grouped_in_rounds", none)
     got = ngram_join.near_duplicates(documents(spark, texts)).collect()
     assert {r.doc_id: r.component_id for r in got} == expected
 
 
+@pytest.mark.parametrize("tile", [1024, 4])
+def test_documents_around_a_leader_are_counted_in_tiles(spark, monkeypatch, tile):
+    """Variants of one text, most of them just below the threshold, in clusters small enough to be cut."""
+    monkeypatch.setattr(ngram_join, "DENSE", 3)
+    monkeypatch.setattr(ngram_join, "TILE", tile)
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(120)]
+    texts = [" ".join(base)]
+    for _ in range(70):
+        words = list(base)
+        for at in rng.sample(range(120), rng.choice([2, 3, 4, 5, 6])):
+            words[at] = f"x{rng.randint(0, 30)}"
+        texts.append(" ".join(words))
+    sets = [shingles(t) for t in texts]
+    expected = components(list(range(len(texts))), lambda a, b: 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]))
+    got = ngram_join.near_duplicates(documents(spark, texts)).collect()
+    assert {r.doc_id: r.component_id for r in got} == expected
+    assert 5 < len(set(expected.values())) < 60
+
+
 def test_join_edges(spark):
     long = " ".join(f"w{k}" for k in range(30_000))
     docs = documents(spark, [long, long + " more", "a b c d e f", "a b c d e f", None], [7, 3, None, 9, 9])

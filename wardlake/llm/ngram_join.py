@@ -43,8 +43,11 @@ PERCENT = 75
 PARTS = 4
 # Minimum hashes a document looks for partners with.
 LEADERS = 6
-# Documents of one minimum hash that meet in one task.
-MET_ROWS = 32
+# Parts in which the documents of one minimum hash meet their leader.
+MET_PARTS = 32
+# Documents around one leader are counted against each other in tiles from this many on, and so many to a tile.
+DENSE = 32
+TILE = 1024
 # Bytes of text that a fragment counts the shingles of.
 FRAGMENT_BYTES = 12_000_000
 _SEPARATORS = r"[\x20\x09-\x0D]+"
@@ -310,7 +313,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
     known = (F.col("shared") / F.col("n")).alias("known")
     leads = staged(classes.select(F.col("head").alias("id"), "n", known, F.posexplode("least").alias("k", "value")), "leads")
-    links, labels = grouped_in_rounds(leads, sets, percent)
+    links, labels, best = grouped_in_rounds(leads, sets, percent)
 
     # What the rounds miss: documents that share enough with other groups.
     def from_sets(batch: pa.RecordBatch):
@@ -328,7 +331,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         F.sum("n").alias("n"), F.sum("shared").alias("shared")
     )
     open_ids = staged(between.where(100 * F.col("shared") >= percent * F.col("n")).select("doc_id", "shared"), "open")
-    more = staged(verified(candidates(labelled.join(open_ids, "doc_id"), percent), sets, percent), "links")
+    around = staged(clustered(open_ids, best), "around")
+    left = staged(labelled.join(around, "doc_id"), "left")
+    dense = dense_links(left.where("cluster >= 0"), percent)
+    more = staged(verified(candidates(left, percent), sets, percent).union(dense), "links")
     found = linked_groups(spark, links.union(more)).select(F.col("id").alias("head"), "component")
     classes = classes.join(found, "head", "left").select(*sign, F.coalesce("component", "head").alias("component"))
     return stats.join(classes, sign, "left").select(
@@ -350,7 +356,7 @@ def grouped_in_rounds(leads: DataFrame, sets: DataFrame, percent: int) -> tuple[
     lead = F.struct("known", F.xxhash64("id").alias("tie"), F.col("id").alias("b"), F.col("n").alias("m"))
     named = leads.groupBy("k", "value").agg(F.max(lead).alias("lead"), F.count(F.lit(1)).alias("held")).where("held > 1")
     # A hash that very many documents share meets its leader in many parts.
-    dealt = leads.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(MET_ROWS)))
+    dealt = leads.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(MET_PARTS)))
     places = dealt.select("k", "value", "salt").distinct().join(named, ["k", "value"]).select("k", "value", "salt", "lead.*")
     fits = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
     dealt = dealt.drop("known")
@@ -367,21 +373,91 @@ def grouped_in_rounds(leads: DataFrame, sets: DataFrame, percent: int) -> tuple[
     if not more.isEmpty():
         links = staged(links.union(more), "links")
         labels = staged(linked_groups(spark, links), "labels")
-    return links, labels
+    return links, labels, best
+
+
+def clustered(docs: DataFrame, best: DataFrame) -> DataFrame:
+    """``doc_id, shared, cluster``: the leader of a document's leader where very many are around it, else below zero."""
+    one = best.select(F.col("a").alias("doc_id"), F.col("b").alias("one"))
+    two = best.select(F.col("a").alias("one"), F.col("b").alias("two"))
+    led = docs.join(one, "doc_id", "left").withColumn("one", F.coalesce("one", "doc_id")).join(two, "one", "left")
+    led = led.select("doc_id", "shared", F.coalesce("two", "one").alias("cluster"))
+    many = led.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") >= DENSE)
+    own = F.when(F.col("size").isNull(), -1 - F.abs("doc_id")).otherwise(F.abs("cluster"))
+    return led.join(many, "cluster", "left").select("doc_id", "shared", own.alias("cluster"), F.coalesce("size", F.lit(1)).alias("size"))
+
+
+def dense_links(docs: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) that join the similar documents of each cluster, counted tile by tile.
+
+    Around a much copied text lie many documents just below the threshold: every pair of them must be counted, and as
+    rows these would be the square of the group. A task counts two tiles against each other, part by part of the sets,
+    as products of incidence matrices, and gives back no more than a link for each document.
+    """
+    tiles = F.ceil(F.col("size") / TILE).cast("int")
+    rows = docs.select("doc_id", "n", "label", "cluster", "hashes", tiles.alias("tiles"))
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("tiles")).cast("int"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    rows = rows.select("doc_id", "n", "label", "own", "hashes", "cluster", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+
+    def count(table: pa.Table) -> pa.Table:
+        ids, at = np.unique(table.column("doc_id").to_numpy(), return_inverse=True)
+        n, label, own = (np.zeros(len(ids), np.int64) for _ in range(3))
+        for name, out in (("n", n), ("label", label), ("own", own)):
+            out[at] = table.column(name).to_numpy()
+        sets = [np.frombuffer(h, "<u8") for h in table.column("hashes").to_pylist()]
+        value = np.unique(np.concatenate(sets), return_inverse=True)[1]
+        doc = np.repeat(at, [len(s) for s in sets])
+        held = np.bincount(value)
+        common = np.cumsum(held > 1) - 1
+        keep = held[value] > 1
+        value, doc = common[value[keep]], doc[keep]
+        order = np.argsort(value, kind="stable")
+        value, doc = value[order], doc[order]
+        left = np.flatnonzero(own == own.min())
+        right = left if own.min() == own.max() else np.flatnonzero(own == own.max())
+        overlap = np.zeros((len(left), len(right)), np.float32)
+        width = 2048
+        for low in range(0, int(value[-1]) + 1 if len(value) else 0, width):
+            part = slice(*np.searchsorted(value, [low, low + width]))
+            block = np.zeros((len(ids), width), np.float32)
+            block[doc[part], value[part] - low] = 1
+            overlap += block[left] @ block[right].T
+        near = 100 * overlap >= percent * (n[left][:, None] + n[right][None, :] - overlap)
+        near &= label[left][:, None] != label[right][None, :]
+        a, b = np.nonzero(near)
+        a, b = left[a], right[b]
+        # The least document reached stands for all that hang together here.
+        least = np.arange(len(ids))
+        while True:
+            low = least.copy()
+            np.minimum.at(low, a, least[b])
+            np.minimum.at(low, b, least[a])
+            low = low[low]
+            if (low == least).all():
+                break
+            least = low
+        moved = np.flatnonzero(least != np.arange(len(ids)))
+        return pa.table({"a": pa.array(ids[moved], pa.int64()), "b": pa.array(ids[least[moved]], pa.int64())})
+
+    return rows.groupBy("cluster", "i", "j").applyInArrow(count, "a bigint, b bigint")
+
+
+ENTRIES = "h bigint, doc_id bigint, n bigint, most bigint, label bigint, cluster bigint"
 
 
 def candidates(docs: DataFrame, percent: int) -> DataFrame:
     """Pairs of documents with different labels that may be similar.
 
-    ``docs``: doc_id, n, shared, label, hashes, a row for each part of a set; ``shared`` is how many of its shingles
-    other labels have, more than which no pair can share. With shingles ordered rarest first, of a similar
+    ``docs``: doc_id, n, shared, label, cluster, hashes, a row for each part of a set; ``shared`` is how many of its
+    shingles other labels have, more than which no pair can share. Pairs of one cluster are counted elsewhere. With shingles ordered rarest first, of a similar
     pair the smaller set must share one of its first n - ceil(2t / (1 + t) n) + 1 shingles with the first
     m - ceil(t m) + 1 of the larger one. The shingles shared there, and how many can follow the last of them, bound the
     overlap; pairs whose bound is too low go.
     """
 
     def entries(batch: pa.RecordBatch) -> dict:
-        ids, n, shared, label, data = (c.to_pylist() for c in batch.columns)
+        ids, n, shared, label, cluster, data = (c.to_pylist() for c in batch.columns)
         sets = [np.frombuffer(d, "<i8") for d in data]
         times = [len(s) for s in sets]
         return {
@@ -390,19 +466,20 @@ def candidates(docs: DataFrame, percent: int) -> DataFrame:
             "n": pa.array(np.repeat(np.array(n, np.int64), times)),
             "most": pa.array(np.repeat(np.array(shared, np.int64), times)),
             "label": pa.array(np.repeat(np.array(label, np.int64), times)),
+            "cluster": pa.array(np.repeat(np.array(cluster, np.int64), times)),
         }
 
-    rows = map_batches(docs.select("doc_id", "n", "shared", "label", "hashes"), entries, "h bigint, doc_id bigint, n bigint, most bigint, label bigint")
+    rows = map_batches(docs.select("doc_id", "n", "shared", "label", "cluster", "hashes"), entries, ENTRIES)
     held = rows.groupBy("h").agg(F.count("*").alias("docs"), F.min("label").alias("low"), F.max("label").alias("high"))
     ranked = rows.join(held, "h").withColumn(
         "rank", F.row_number().over(Window.partitionBy("doc_id", "n").orderBy("docs", "h"))
     )
     n = F.col("n")
     shared = ranked.where(F.col("low") < F.col("high")).where(F.col("rank") <= n - F.ceil(percent * n / 100) + 1)
-    larger = shared.select("h", F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("label").alias("label_b"), F.col("rank").alias("rank_b"), F.col("most").alias("most_b"))
+    larger = shared.select("h", F.col("doc_id").alias("b"), F.col("n").alias("m"), F.col("label").alias("label_b"), F.col("rank").alias("rank_b"), F.col("most").alias("most_b"), F.col("cluster").alias("cluster_b"))
     smaller = shared.where(F.col("rank") <= n - F.ceil(2 * percent * n / (100 + percent)) + 1)
     met = smaller.withColumnRenamed("doc_id", "a").join(larger, "h").where(
-        "label <> label_b and (n < m or (n = m and a < b))"
+        "label <> label_b and cluster <> cluster_b and (n < m or (n = m and a < b))"
     ).where(100 * F.col("n") >= percent * F.col("m"))
     # Up to a shared shingle no more can be shared than its place in either set, after it no more than is left of either.
     most = F.least("rank", "rank_b") + F.least(F.col("n") - F.col("rank"), F.col("m") - F.col("rank_b"))
