@@ -101,3 +101,25 @@ def test_archiving_twice_keeps_every_row(spark):
 def test_a_calendar_may_be_long_or_empty(spark):
     assert dims.dim_date(spark, dt.date(2000, 1, 1), dt.date(9999, 12, 31)).count() == 2_921_940
     assert dims.dim_date(spark, None, None).count() == 0
+
+
+def test_equal_buckets_are_not_compared_row_by_row(spark):
+    from pyspark.sql import Observation
+    from pyspark.sql import functions as F
+
+    from wardlake.plans import audit
+
+    old = spark.range(20_000).select("id", (F.col("id") % 7).alias("value"), F.lit(None).cast("string").alias("note"))
+    old = old.unionByName(spark.createDataFrame([(None, 1, "lost")], "id bigint, value bigint, note string"))
+    new = old.where("id IS NULL OR id NOT IN (5, 19)").withColumn("value", F.when(F.col("id") == 77, 100).otherwise(F.col("value")))
+    new = new.withColumn("note", F.when(F.col("id") == 300, "").otherwise(F.col("note")))
+    new = new.unionByName(spark.createDataFrame([(50_000, 1, None), (None, 2, "found")], "id bigint, value bigint, note string"))
+    changed = audit.differing_buckets(old, new, ["id"], 512)
+    assert 1 <= len(changed) <= 7
+    seen = Observation()
+    kept = old.where(audit.bucket_of(["id"], 512).isin(changed)).observe(seen, F.count(F.lit(1)).alias("rows"))
+    assert kept.count() < 20_000 * 8 / 512 + 200 and seen.get["rows"] == kept.count()
+    rows = lambda df: sorted(map(str, df.collect()))
+    found = audit.capture_changes_by_digest(old, new, ["id"], buckets=512)
+    assert rows(found) == rows(audit.capture_changes(old, new, ["id"])) and found.count() >= 6
+    assert audit.capture_changes_by_digest(old, old.where("id IS NOT NULL").union(old.where("id IS NULL")), ["id"]).count() == 0

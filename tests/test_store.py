@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardlake.plans import daily
+from wardlake.plans.queries_star import pair_totals
 from wardlake.plans.store import Manifest, VersionedStore
 from wardlake.plans.warehouse import STAR_TABLES, derive_warehouse
 from wardlake.session import fresh_path
@@ -52,25 +53,26 @@ class Hospital:
         kind = rng.choice(["ER", "Inpatient", "Inpatient", None])
         self.put("encounters", k, (k, rng.randint(1, 14), rng.choice([10, 11, 12]), kind, start, end, 1))
         for line in range(rng.randint(0, 3)):
-            self.put("encounter_diagnoses", (k, line), (k, rng.choice([1, 2, 3]), line + 1))
-            self.put("encounter_procedures", (k, line), (k, rng.choice([1, 2]), start.date() + dt.timedelta(days=line), line))
-            self.put("billing", (k, line), (k, f"{rng.randint(1, 900)}.50", "7.25", start.date(), "Paid"))
+            self.put("encounter_diagnoses", (k, line), (10 * k + line, k, rng.choice([1, 2, 3]), line + 1))
+            self.put("encounter_procedures", (k, line), (10 * k + line, k, rng.choice([1, 2]), start.date() + dt.timedelta(days=line)))
+            self.put("billing", (k, line), (100 * k + line, k, f"{rng.randint(1, 900)}.50", "7.25", start.date(), "Paid"))
 
     def change(self, step):
         self.now += dt.timedelta(days=1)
         for _ in range(3):
             self.encounter(self.rng.randint(1, 70))
         k = self.rng.randint(1, 70)
-        self.put("billing", (k, 90 + step), (k, "11.00", "1.00", dt.date(2002, 1, 1), "Paid"))
-        if step == 1:
+        self.put("billing", (k, 90 + step), (100 * k + 90 + step, k, "11.00", "1.00", dt.date(2002, 1, 1), "Paid"))
+        if step == 0:
             self.put("patients", 13, (13, "New", "One", dt.date(1960, 1, 1), "F", "MRN000013"))
             self.put("patients", 1, (1, "Other", "Name", dt.date(1960, 1, 1), "M", "MRN000001"))
-        if step == 2:
+        if step == 1:
             self.tables["diagnoses"][3] = (3, "M79.9", "New")
             self.tables["providers"][12] = (12, "E", "F", "MD", 1, 1)
-        if step == 3:
+        if step == 2:
             self.tables["providers"][10] = (10, "A", "B", "MD", 2, 1)
             self.tables["procedures"][2] = (2, "X", "Office Visit")
+            self.tables["diagnoses"][2] = (2, "I10", "Hypertension")
 
     def source(self) -> TableSet:
         def maker(name):
@@ -110,6 +112,7 @@ def test_daily_runs_equal_a_full_build(spark):
         stored, full = daily.open_store(store), derive_warehouse(src, AS_OF, CALENDAR)
         for name in STAR_TABLES if step == 3 else ["fact_encounters", *daily.BRIDGES]:
             same(stored[name], full[name])
+        same(stored[daily.PAIRS], pair_totals(full))
         quarantined = {r.encounter_id for r in stored[daily.QUARANTINE].collect()}
         loaded = {r.encounter_id for r in stored["fact_encounters"].collect()}
         assert quarantined | loaded == set(place.tables["encounters"]) and not quarantined & loaded
@@ -126,7 +129,7 @@ def test_only_touched_partitions_are_written(spark):
     # One more bill for a loaded encounter. Rows at the marks are taken up again: one of each table, of two encounters.
     loaded = sorted(r.encounter_id for r in daily.open_store(store)["fact_encounters"].collect())
     place.now += dt.timedelta(days=1)
-    place.put("billing", (loaded[0], 99), (loaded[0], "3.00", "2.00", dt.date(2002, 1, 2), "Paid"))
+    place.put("billing", (loaded[0], 99), (100 * loaded[0] + 99, loaded[0], "3.00", "2.00", dt.date(2002, 1, 2), "Paid"))
     changed = tracking(40)
     changed.look_back = {}
     daily.run_daily_load(spark, place.source(), store, AS_OF, "second", changed, CALENDAR)

@@ -38,13 +38,13 @@ ROWS = {
         (106, 1, 11, "ER", at(50), at(51), 3),  # provider without a known specialty
     ],
     "diagnoses": [(1, "I10", "Hypertension"), (2, "zz", "Fracture")],
-    "encounter_diagnoses": [(100, 2, 2), (100, 1, 1), (101, 2, 1)],
+    "encounter_diagnoses": [(1, 100, 2, 2), (2, 100, 1, 1), (3, 101, 2, 1)],
     "procedures": [(1, "70450", "CT Head"), (2, "X", "Office Visit")],
-    "encounter_procedures": [(100, 2, dt.date(2000, 1, 2), 0), (100, 1, dt.date(2000, 1, 1), 0)],
+    "encounter_procedures": [(1, 100, 2, dt.date(2000, 1, 2)), (2, 100, 1, dt.date(2000, 1, 1))],
     "billing": [
-        (100, "100.00", "80.00", dt.date(2000, 1, 5), "Paid"),
-        (100, "50.50", "0.25", dt.date(2000, 1, 6), "Paid"),
-        (101, "0.00", "0.00", dt.date(2000, 2, 5), "Paid"),
+        (1, 100, "100.00", "80.00", dt.date(2000, 1, 5), "Paid"),
+        (2, 100, "50.50", "0.25", dt.date(2000, 1, 6), "Paid"),
+        (3, 101, "0.00", "0.00", dt.date(2000, 2, 5), "Paid"),
     ],
 }
 

@@ -24,6 +24,7 @@ from wardlake.operators.change import upsert
 from wardlake.operators.skew import union_all
 from wardlake.plans import dims, fact
 from wardlake.plans.incremental import LATE_BILLING_DAYS, READMISSION_COLUMNS, changed_slice, high_water_marks, quarantined
+from wardlake.plans.queries_star import PAIR_LABELS, pair_totals, pair_totals_after
 from wardlake.plans.runlog import RunLog
 from wardlake.plans.store import NO_VALUE, Change, Manifest, VersionedStore
 from wardlake.plans.warehouse import STAR_TABLES, derive_warehouse
@@ -34,6 +35,7 @@ PARTITION = ["encounter_year", "patient_bucket"]
 SMALL_DIMENSIONS = ["dim_specialty", "dim_department", "dim_encounter_type", "dim_diagnosis", "dim_procedure", "dim_provider"]
 BRIDGES = ["bridge_encounter_diagnoses", "bridge_encounter_procedures"]
 QUARANTINE = "quarantined_encounters"
+PAIRS = "diagnosis_procedure_totals"
 QUARANTINE_SCHEMA = "encounter_id bigint, reason string, bad_value string, first_run string"
 VISIT = ["encounter_id", "patient_key", "encounter_datetime", "discharge_datetime", *READMISSION_COLUMNS, *PARTITION]
 HORIZON = fact.READMISSION_DAYS * C.MICROS_PER_DAY
@@ -131,10 +133,9 @@ class DailyRun:
         if "dim_patient" not in self.made:
             self.made["dim_patient"] = self.stored("dim_patient")
 
-    def _written(self, name: str) -> DataFrame:
-        change = self.changes[name]
-        entry = {"schema": change.schema, "by": change.by, "parts": change.written}
-        return self.store.table(name, manifest=Manifest(tables={name: entry}))
+    def _written(self, name: str, base: Manifest | None = None) -> DataFrame:
+        """What this run has written of a table, on top of the base version if one is given."""
+        return self.store.table(name, manifest=self.store.changed(base or Manifest(), {name: self.changes[name]}))
 
     def grown_calendar(self, ids: DataFrame) -> None:
         """The calendar reaches over the wanted days, those it has, and every day the changed rows use."""
@@ -247,6 +248,7 @@ class DailyRun:
         touched = [self._part(r) for r in places.collect()]
         part = changed_slice(self.src, ids)
         hot = self.src.hot_keys("encounter_procedures", "encounter_id")
+        self._pairs(ids, old, touched, part, hot)
         fresh = {
             BRIDGES[0]: fact.bridge_diagnoses(part["encounter_diagnoses"], self.rebuilt, self.made["dim_diagnosis"]),
             BRIDGES[1]: fact.bridge_procedures(part["encounter_procedures"], self.rebuilt, self.made["dim_procedure"], hot),
@@ -259,6 +261,37 @@ class DailyRun:
             self.changes[name] = self.store.write(name, rows, PARTITION, replaces=touched if self.base.version else None)
         self._quarantine(ids)
 
+    def _pairs(self, ids: DataFrame, old: DataFrame, touched: list[str], part: TableSet, hot: list) -> None:
+        """Totals of diagnosis and procedure pairs kept by what the changed encounters had and have.
+
+        Built anew where a label of a known diagnosis or procedure has changed, as its rows then move between pairs.
+        """
+        rows = {
+            "fact_encounters": lambda: self.rebuilt,
+            BRIDGES[0]: lambda: fact.bridge_diagnoses(part["encounter_diagnoses"], self.rebuilt, self.made["dim_diagnosis"]),
+            BRIDGES[1]: lambda: fact.bridge_procedures(part["encounter_procedures"], self.rebuilt, self.made["dim_procedure"], hot),
+        }
+        dims_now = {n: (lambda n=n: self.made[n]) for n in ("dim_diagnosis", "dim_procedure")}
+        come = pair_totals(self._set(rows | dims_now))
+        if PAIRS not in self.base.tables:
+            self.changes[PAIRS] = self.store.write(PAIRS, come)
+            return
+        keys = ids.select(F.col("encounter_id").alias("encounter_key"))
+        before = {n: (lambda n=n: self.stored(n, touched).join(keys, "encounter_key", "left_semi")) for n in ["fact_encounters", *BRIDGES]}
+        gone = pair_totals(self._set(before | {n: (lambda n=n: self.stored(n)) for n in dims_now}))
+        self.changes[PAIRS] = self.store.write(PAIRS, pair_totals_after(self.stored(PAIRS), gone, come))
+
+    def _relabelled(self) -> bool:
+        """Whether a diagnosis or procedure that pairs are kept for has another label than before."""
+        return any(
+            not self.stored(dim).select(key, *labels).exceptAll(self.made[dim].select(key, *labels)).isEmpty()
+            for dim, key, labels in (("dim_diagnosis", "diagnosis_key", PAIR_LABELS[:2]), ("dim_procedure", "procedure_key", PAIR_LABELS[2:]))
+        )
+
+    def _set(self, makers: dict) -> TableSet:
+        children = {(BRIDGES[0], "encounter_key"): "encounter_diagnoses", (BRIDGES[1], "encounter_key"): "encounter_procedures"}
+        return TableSet(self.spark, makers, {place: (self.src, table, "encounter_id") for place, table in children.items()})
+
     def _part(self, row) -> str:
         return "/".join(f"_{c}={NO_VALUE if row[c] is None else row[c]}" for c in PARTITION)
 
@@ -283,6 +316,11 @@ class DailyRun:
             self.dimensions()
         with log.step("Merge fact and bridges"):
             self.fact_and_bridges()
+        if self.base.version and self._relabelled():
+            with log.step("Build pair totals anew"):
+                written = {n: (lambda n=n: self._written(n, self.base)) for n in ["fact_encounters", *BRIDGES]}
+                whole = self._set(written | {n: (lambda n=n: self.made[n]) for n in ("dim_diagnosis", "dim_procedure")})
+                self.changes[PAIRS] = self.store.write(PAIRS, pair_totals(whole))
         with log.step("Publish version"):
             return self.store.publish(self.base, self.run_id, self.changes, self.marks)
 
@@ -300,4 +338,4 @@ def open_store(store: VersionedStore, version: int | None = None) -> TableSet:
     def maker(name: str):
         return lambda: store.table(name, manifest=manifest).drop("patient_bucket", *(["encounter_year"] if name in BRIDGES else []))
 
-    return TableSet(store.spark, {name: maker(name) for name in [*STAR_TABLES, QUARANTINE]})
+    return TableSet(store.spark, {name: maker(name) for name in [*STAR_TABLES, QUARANTINE, PAIRS]})

@@ -138,7 +138,7 @@ def bridge_procedures(links: DataFrame, fact: DataFrame, dim: DataFrame, hot: li
     numbered = sequence_within(
         resolved,
         "encounter_id",
-        ["procedure_date", "procedure_id", "tie_id"],
+        ["procedure_date", "procedure_id", "encounter_procedure_id"],
         "procedure_sequence",
         F.unix_date("procedure_date").cast("bigint"),
         hot,

@@ -69,7 +69,7 @@ def run_warehouse_load(
             table = dims.dim_provider(src, stored["dim_specialty"], stored["dim_department"]) if name == "dim_provider" else planned[name]
             rows.watch(table).write.mode("overwrite").parquet(f"{root}/{name}")
 
-    stages = {n: fresh_path(spark, f"{run_id}-{n}") for n in ("fact", "readmission", "primary")}
+    stages = {n: fresh_path(spark, f"{run_id}-{n}") for n in ("fact", "readmission")}
     with log.step("Populate fact_encounters") as rows:
         resolved = fact.resolved_encounters(
             src["encounters"], stored["dim_patient"], stored["dim_provider"], stored["dim_encounter_type"]
@@ -77,7 +77,7 @@ def run_warehouse_load(
         measured = fact.with_measures(
             resolved, src["billing"], src["encounter_diagnoses"], src["encounter_procedures"], stored["dim_diagnosis"]
         )
-        rows.watch(measured.drop("primary_diagnosis_key")).write.parquet(stages["fact"])
+        rows.watch(measured).write.parquet(stages["fact"])
     loaded = spark.read.parquet(stages["fact"])
 
     with log.step("Populate bridge tables") as rows:
@@ -92,8 +92,8 @@ def run_warehouse_load(
         rows.watch(measures).write.parquet(stages["readmission"])
 
     with log.step("Update primary diagnosis keys") as rows:
-        updated = fact.with_primary_diagnosis(loaded, stored["bridge_encounter_diagnoses"])
-        final = fact.with_readmissions(updated, spark.read.parquet(stages["readmission"]))
+        # The primary diagnosis has been taken with the counts; the bridge isn't read for it again.
+        final = fact.with_readmissions(loaded, spark.read.parquet(stages["readmission"]))
         write_fact(rows.watch(final), f"{root}/fact_encounters")
 
     return read_run_log(spark, log_path).where(F.col("execution_id") == run_id)

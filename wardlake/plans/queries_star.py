@@ -186,11 +186,39 @@ def primary_pairs(wh, min_pairs: int = 10, limit: int = 20) -> DataFrame:
     )
 
 
+# Labels of a pair, and the totals kept for it.
+PAIR_LABELS = ["icd10_code", "icd10_description", "cpt_code", "cpt_description"]
+PAIR_TOTALS = ["n", "encounters_with_pair", "sum_total_allowed_amount", "sum_length_of_stay_hours"]
+
+
+def pair_totals(wh) -> DataFrame:
+    """Totals of every pair of labels, which can be added and taken away encounter by encounter."""
+    return _pair_totals(wh, PAIR_LABELS[:2], PAIR_LABELS[2:]).select(
+        *PAIR_LABELS,
+        "n",
+        "encounters_with_pair",
+        F.col("sum_total_allowed_amount").cast("decimal(38,2)").alias("sum_total_allowed_amount"),
+        F.col("sum_length_of_stay_hours").cast("bigint").alias("sum_length_of_stay_hours"),
+    )
+
+
+def pair_totals_after(stored: DataFrame, gone: DataFrame, come: DataFrame) -> DataFrame:
+    """Stored totals less those of the old rows of changed encounters, plus those of their new rows."""
+    minus = gone.select(*PAIR_LABELS, *[(-F.col(c)).cast(stored.schema[c].dataType).alias(c) for c in PAIR_TOTALS])
+    all_rows = stored.unionByName(minus).unionByName(come)
+    sums = [F.sum(c).cast(stored.schema[c].dataType).alias(c) for c in PAIR_TOTALS]
+    return all_rows.groupBy(*PAIR_LABELS).agg(*sums).where(F.col("n") > 0)
+
+
 def pair_summary(wh, min_pairs: int = 3) -> DataFrame:
     """The stored aggregate behind Q2: write it with ``refresh_pair_summary`` and read it with ``top_stored_pairs``."""
+    return summarised_pairs(pair_totals(wh), min_pairs)
+
+
+def summarised_pairs(totals: DataFrame, min_pairs: int = 3) -> DataFrame:
+    """The aggregate from the totals of the pairs."""
     return (
-        _pair_totals(wh, ["icd10_code", "icd10_description"], ["cpt_code", "cpt_description"])
-        .where(F.col("n") >= min_pairs)
+        totals.where(F.col("n") >= min_pairs)
         .select(
             "icd10_code",
             "icd10_description",

@@ -76,14 +76,20 @@ class VersionedStore:
 
     def publish(self, base: Manifest, run_id: str, changes: Mapping[str, Change], marks: Mapping[str, str]) -> Manifest:
         """Make the changes the next version after ``base``; fails if another run has published since."""
+        later = self.changed(base, changes)
+        later = Manifest(base.version + 1, run_id, {**base.marks, **marks}, later.tables)
+        self._put(self._manifest_path(later.version), json.dumps(vars(later)))
+        return later
+
+    @staticmethod
+    def changed(base: Manifest, changes: Mapping[str, Change]) -> Manifest:
+        """The base version with changes that aren't published."""
         tables = dict(base.tables)
         for name, change in changes.items():
             parts = {} if change.whole or name not in tables else dict(tables[name]["parts"])
             parts = {k: p for k, p in parts.items() if k not in change.gone} | change.written
             tables[name] = {"schema": change.schema, "by": change.by, "parts": parts}
-        later = Manifest(base.version + 1, run_id, {**base.marks, **marks}, tables)
-        self._put(self._manifest_path(later.version), json.dumps(vars(later)))
-        return later
+        return Manifest(base.version, base.run_id, base.marks, tables)
 
     def _put(self, path: str, text: str) -> None:
         jvm, conf = self.spark.sparkContext._jvm, self.spark.sparkContext._jsc.hadoopConfiguration()

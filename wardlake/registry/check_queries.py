@@ -526,9 +526,7 @@ LATER_SQL = {
     "billing": """SELECT billing_id, claim_amount, CASE WHEN billing_id % 4 = 0 THEN claim_amount ELSE allowed_amount END AS allowed_amount
                   FROM {billing}""",
 }
-# The bills of an encounter as one row, so that the table has a key.
-BILLING_SQL = """SELECT encounter_id AS billing_id, sum(claim_amount) AS claim_amount, sum(allowed_amount) AS allowed_amount
-                 FROM {billing} GROUP BY encounter_id"""
+BILLING_SQL = "SELECT billing_id, claim_amount, allowed_amount FROM {billing}"
 CTES["billing_rows"] = BILLING_SQL.format(billing="billing")
 
 
@@ -541,7 +539,7 @@ def snapshots(spark, sf_dir, table):
 def _captured(table, patient=None):
     def run(spark, sf_dir):
         old, new = snapshots(spark, sf_dir, table)
-        found = audit.capture_changes(old, new, [audit.AUDITED_TABLES[table][0]], patient)
+        found = audit.capture_changes_by_digest(old, new, [audit.AUDITED_TABLES[table][0]], patient)
         text = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat(e["key"], F.lit("="), F.coalesce(e["value"], F.lit("~")))), ";")
         return found.select(
             "operation_type", "record_id", "patient_id", F.array_join("affected_columns", ",").alias("affected_columns"),

@@ -118,8 +118,8 @@ def _children_replaced(spark, sf_dir):
     src = source(spark, sf_dir)
     changed = src["encounters"].where(F.col("encounter_date") >= F.lit(CUTOFF))
     rows = changed.select(
-        "encounter_id", F.lit(4001).cast("bigint").alias("procedure_id"), F.to_date("encounter_date").alias("procedure_date"),
-        F.lit(0).cast("bigint").alias("tie_id"),
+        F.lit(0).cast("bigint").alias("encounter_procedure_id"), "encounter_id", F.lit(4001).cast("bigint").alias("procedure_id"),
+        F.to_date("encounter_date").alias("procedure_date"),
     )
     return change.replace_children(src["encounter_procedures"], changed.select("encounter_id"), rows, "encounter_id")
 
@@ -293,7 +293,7 @@ LOADS = {
         _children_replaced,
         """SELECT ep.* FROM encounter_procedures ep ANTI JOIN (SELECT * FROM encounters WHERE encounter_date >= DATE '2000-01-01') c
              USING (encounter_id)
-           UNION ALL SELECT encounter_id, 4001, CAST(encounter_date AS DATE), 0 FROM encounters WHERE encounter_date >= DATE '2000-01-01'""",
+           UNION ALL SELECT 0, encounter_id, 4001, CAST(encounter_date AS DATE) FROM encounters WHERE encounter_date >= DATE '2000-01-01'""",
     ),
     "i04_delete_by_age": (
         _kept_by_age,

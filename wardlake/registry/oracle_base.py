@@ -82,9 +82,10 @@ CTES: dict[str, str] = {
     name: text.format(**{n: n for n in fixture.INPUTS}).strip() for name, text in fixture.DERIVED_SQL.items()
 }
 CTES["encounter_diagnoses"] = f"""
-SELECT encounter_id, diagnosis_id,
-       CAST(row_number() OVER (PARTITION BY encounter_id ORDER BY {', '.join(fixture.LINE_ORDER)}) AS INT) AS diagnosis_sequence
-FROM diagnosis_lines"""
+SELECT encounter_id * 1000 + diagnosis_sequence AS encounter_diagnosis_id, * FROM (
+  SELECT encounter_id, diagnosis_id,
+         CAST(row_number() OVER (PARTITION BY encounter_id ORDER BY {', '.join(fixture.LINE_ORDER)}) AS INT) AS diagnosis_sequence
+  FROM diagnosis_lines) d"""
 
 CTES["dim_date"] = f"""
 SELECT {key_of('d')} AS date_key, d AS calendar_date, year(d) AS year, quarter(d) AS quarter, month(d) AS month,
@@ -177,7 +178,7 @@ FROM encounter_diagnoses ed JOIN resolved r USING (encounter_id) JOIN dim_diagno
 CTES["bridge_encounter_procedures"] = f"""
 SELECT r.encounter_key, p.procedure_key, {key_of('ep.procedure_date')} AS procedure_date_key,
        CAST(row_number() OVER (PARTITION BY ep.encounter_id
-            ORDER BY ep.procedure_date, ep.procedure_id, ep.tie_id) AS INT) AS procedure_sequence,
+            ORDER BY ep.procedure_date, ep.procedure_id, ep.encounter_procedure_id) AS INT) AS procedure_sequence,
        'Completed' AS procedure_status
 FROM encounter_procedures ep JOIN resolved r USING (encounter_id) JOIN dim_procedure p USING (procedure_id)"""
 CTES["dated"] = """

@@ -411,11 +411,11 @@ ORDERED = {
     "e01_row_number_in_group": (
         on_source(
             lambda s: sequence_within(
-                s["encounter_procedures"], "encounter_id", ["procedure_date", "procedure_id", "tie_id"], "position",
+                s["encounter_procedures"], "encounter_id", ["procedure_date", "procedure_id", "encounter_procedure_id"], "position",
                 F.unix_date("procedure_date").cast("bigint"), s.hot_keys("encounter_procedures", "encounter_id"),
             )
         ),
-        """SELECT *, row_number() OVER (PARTITION BY encounter_id ORDER BY procedure_date, procedure_id, tie_id) AS position
+        """SELECT *, row_number() OVER (PARTITION BY encounter_id ORDER BY procedure_date, procedure_id, encounter_procedure_id) AS position
            FROM encounter_procedures""",
     ),
     "e02_rank_of_groups": (

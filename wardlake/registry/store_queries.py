@@ -7,10 +7,13 @@ from functools import lru_cache
 
 from pyspark.sql import functions as F
 
+from wardlake.functions import columns as C
 from wardlake.plans import daily
+from wardlake.plans.queries_star import summarised_pairs, top_stored_pairs
 from wardlake.plans.store import VersionedStore
-from wardlake.registry.oracle_base import CTES
+from wardlake.registry.oracle_base import CTES, div, rnd
 from wardlake.registry.warehouse_queries import AS_OF, money_as_double, plain, source
+from wardlake.registry.warehouse_queries import QUERIES as WAREHOUSE
 from wardlake.session import fresh_path
 from wardlake.sources import fixture
 from wardlake.streaming import jobs, ledger
@@ -178,6 +181,19 @@ QUERIES = {
            UNION ALL SELECT encounter_id, 'UNKNOWN_ENCOUNTER_TYPE', NULL, 'kept' FROM encounters
            WHERE encounter_date < DATE '2000-01-01' AND encounter_type IS NULL""",
     ),
+    "j16_after_changes": (
+        lambda spark, sf_dir: summarised_pairs(daily.open_store(after_runs(spark, sf_dir))[daily.PAIRS]).withColumn(
+            "avg_revenue", C.rounded(F.col("avg_revenue"), 6)
+        ),
+        WAREHOUSE["j16_pair_summary"][1],
+    ),
+    "k16_top_stored_pairs": (
+        lambda spark, sf_dir: top_stored_pairs(summarised_pairs(daily.open_store(after_runs(spark, sf_dir))[daily.PAIRS])),
+        f"""SELECT icd10_code, icd10_description, cpt_code, cpt_description, count(*) AS combination_count,
+                   {rnd(div('sum(total_allowed_amount)', 'count(*)'), 2)} AS avg_revenue
+            FROM primary_pairs GROUP BY 1, 2, 3, 4 HAVING count(*) >= 3
+            ORDER BY combination_count DESC, icd10_code, cpt_code LIMIT 10""",
+    ),
     "o01_events_across_files": (
         lambda spark, sf_dir: event_ledger(spark, sf_dir).table("accepted").drop("day"),
         f"SELECT * EXCLUDE (file) FROM {TAKEN} t WHERE {ON_TIME}",

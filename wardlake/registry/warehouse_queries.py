@@ -311,13 +311,6 @@ QUERIES = {
             FROM dated WHERE year >= 2000 GROUP BY year, month, specialty_name
             ORDER BY year DESC, month DESC, total_encounters DESC, specialty_name LIMIT 15""",
     ),
-    "k16_top_stored_pairs": (
-        lambda spark, sf_dir: Q.top_stored_pairs(Q.pair_summary(star(spark, sf_dir))),
-        f"""SELECT icd10_code, icd10_description, cpt_code, cpt_description, count(*) AS combination_count,
-                   {rnd(div('sum(total_allowed_amount)', 'count(*)'), 2)} AS avg_revenue
-            FROM primary_pairs GROUP BY 1, 2, 3, 4 HAVING count(*) >= 3
-            ORDER BY combination_count DESC, icd10_code, cpt_code LIMIT 10""",
-    ),
     "k17_pairs_without_summary": (
         over_star(Q.pairs_without_summary),
         """SELECT icd10_code, cpt_code, count(*) AS combination_count FROM primary_pairs

@@ -19,6 +19,10 @@ AUDIT_AS_OF = dt.date(2024, 1, 31)
 # Calendar that covers all order, stay and ship dates.
 CALENDAR = (dt.date(1995, 1, 1), dt.date(2001, 12, 31))
 
+# Number of a line among the lines of its order; lines that are equal in all columns may change places.
+LINE_NUMBER = """CAST({l}l_orderkey * 1000 + row_number() OVER (PARTITION BY {l}l_orderkey ORDER BY {l}l_linenumber, {l}l_partkey,
+       {l}l_suppkey, {l}l_extendedprice, {l}l_shipdate, {l}l_discount, {l}l_returnflag, {l}l_linestatus) AS BIGINT)"""
+
 DERIVED_SQL = {
     "patients": """
 SELECT c_custkey AS patient_id,
@@ -80,17 +84,17 @@ SELECT CAST(4001 + CAST(substr(p_brand, 7) AS INT) AS BIGINT) AS procedure_id,
        CASE CAST(substr(p_brand, 7) AS INT) % 6 WHEN 0 THEN 'Office Visit' WHEN 1 THEN 'EKG' WHEN 2 THEN 'Chest X-ray'
             WHEN 3 THEN 'CT Head' WHEN 4 THEN 'Lab Test' ELSE 'Minor Surgery' END AS cpt_description
 FROM (SELECT DISTINCT p_brand FROM {part}) t""",
-    "encounter_procedures": """
-SELECT l.l_orderkey AS encounter_id, CAST(4001 + CAST(substr(p.p_brand, 7) AS INT) AS BIGINT) AS procedure_id,
-       CAST(l.l_shipdate AS DATE) AS procedure_date, l.l_suppkey AS tie_id
-FROM {lineitem} l JOIN {part} p ON l.l_partkey = p.p_partkey WHERE l.l_returnflag <> 'N'""",
-    "billing": """
-SELECT l_orderkey AS encounter_id, CAST(l_extendedprice AS DECIMAL(12,2)) AS claim_amount,
+    "encounter_procedures": f"""
+SELECT {LINE_NUMBER.format(l='l.')} AS encounter_procedure_id, l.l_orderkey AS encounter_id, CAST(4001 + CAST(substr(p.p_brand, 7) AS INT) AS BIGINT) AS procedure_id,
+       CAST(l.l_shipdate AS DATE) AS procedure_date
+FROM {{lineitem}} l JOIN {{part}} p ON l.l_partkey = p.p_partkey WHERE l.l_returnflag <> 'N'""",
+    "billing": f"""
+SELECT {LINE_NUMBER.format(l='')} AS billing_id, l_orderkey AS encounter_id, CAST(l_extendedprice AS DECIMAL(12,2)) AS claim_amount,
        CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(100 - CAST(round(l_discount * 100) AS INT) AS DECIMAL(5,0))
             * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(12,2)) AS allowed_amount,
        CAST(l_shipdate AS DATE) AS claim_date,
        CASE WHEN l_discount = 0 THEN 'Paid' WHEN l_linestatus = 'O' THEN 'Pending' ELSE 'Partial' END AS claim_status
-FROM {lineitem} WHERE l_returnflag <> 'A'""",
+FROM {{lineitem}} WHERE l_returnflag <> 'A'""",
 }
 
 # Run-log, export and audit tables over the event feed. The number in props is the step, row or patient it is about.
@@ -193,7 +197,12 @@ def clinical_tables(spark: SparkSession, sf_dir: str) -> TableSet:
             "diagnosis_sequence",
             F.col("l_linenumber").cast("bigint"),
             base.hot_keys("lineitem", "l_orderkey"),
-        ).select("encounter_id", "diagnosis_id", "diagnosis_sequence")
+        ).select(
+            (F.col("encounter_id") * 1000 + F.col("diagnosis_sequence")).alias("encounter_diagnosis_id"),
+            "encounter_id",
+            "diagnosis_id",
+            "diagnosis_sequence",
+        )
 
     makers = {name: (lambda n=name: derived(n)) for name in CLINICAL_SCHEMAS if name in DERIVED_SQL}
     makers["encounter_diagnoses"] = encounter_diagnoses

@@ -18,10 +18,10 @@ CLINICAL_SCHEMAS = {
     "encounters": "encounter_id bigint, patient_id bigint, provider_id bigint, encounter_type string, "
     "encounter_date timestamp_ntz, discharge_date timestamp_ntz, department_id bigint",
     "diagnoses": "diagnosis_id bigint, icd10_code string, icd10_description string",
-    "encounter_diagnoses": "encounter_id bigint, diagnosis_id bigint, diagnosis_sequence int",
+    "encounter_diagnoses": "encounter_diagnosis_id bigint, encounter_id bigint, diagnosis_id bigint, diagnosis_sequence int",
     "procedures": "procedure_id bigint, cpt_code string, cpt_description string",
-    "encounter_procedures": "encounter_id bigint, procedure_id bigint, procedure_date date, tie_id bigint",
-    "billing": "encounter_id bigint, claim_amount decimal(12,2), allowed_amount decimal(12,2), "
+    "encounter_procedures": "encounter_procedure_id bigint, encounter_id bigint, procedure_id bigint, procedure_date date",
+    "billing": "billing_id bigint, encounter_id bigint, claim_amount decimal(12,2), allowed_amount decimal(12,2), "
     "claim_date date, claim_status string",
 }
 
