@@ -44,15 +44,6 @@ def drop_staged(df: DataFrame) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Let Spark remove the shuffle files of finished steps; it does so when the driver's memory is collected.
-
-    Staged tables have cut the lineage, so nothing needs these files, but a driver with memory to spare may keep them
-    until the end of the job.
-    """
-    spark.sparkContext._jvm.System.gc()
-
-
 def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict | None], schema: str) -> DataFrame:
     """``fn`` on each Arrow batch; it returns columns in the order of ``schema``, or None for no rows."""
 

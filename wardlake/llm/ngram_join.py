@@ -33,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardlake.llm.common import drop_staged, free_shuffles, linked_groups, map_batches, staged
+from wardlake.llm.common import linked_groups, map_batches, staged
 from wardlake.llm.words import text_slices
 
 WORDS = 5
@@ -301,7 +301,6 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
             yield ids.slice(a, b - a).to_pylist(), shingle_sets(texts.slice(a, b - a), words), None
 
     stats = staged(shared_counts(docs.select("doc_id", "text"), from_texts, fragments), "shared")
-    free_shuffles(spark)
 
     # Documents that share enough with any other text; one for each distinct set.
     sign = ["n", "sign_a", "sign_b"]
@@ -309,15 +308,14 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     first = F.min(F.struct("doc_id", "shared", "least")).alias("first")
     classes = staying.groupBy(*sign).agg(first).select(*sign, F.col("first.doc_id").alias("head"), "first.shared", "first.least")
     classes = staged(classes, "classes")
-    texts = docs.select("doc_id", "text").join(classes.select(F.col("head").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    # A table of ids alone, by whose size Spark can tell whether the texts need a shuffle for it.
+    heads = staged(classes.select(F.col("head").alias("doc_id")).distinct(), "heads")
+    texts = docs.select("doc_id", "text").join(heads, "doc_id", "left_semi")
     sets = staged(set_parts(texts, words), "sets")
-    free_shuffles(spark)
 
     known = (F.col("shared") / F.col("n")).alias("known")
     leads = staged(classes.select(F.col("head").alias("id"), "n", known, F.posexplode("least").alias("k", "value")), "leads")
     links, labels, best = grouped_in_rounds(leads, sets, percent)
-    drop_staged(leads)
-    free_shuffles(spark)
 
     # What the rounds miss: documents that share enough with other groups.
     def from_sets(batch: pa.RecordBatch):
@@ -335,14 +333,10 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
         F.sum("n").alias("n"), F.sum("shared").alias("shared")
     )
     open_ids = staged(between.where(100 * F.col("shared") >= percent * F.col("n")).select("doc_id", "shared"), "open")
-    free_shuffles(spark)
     around = staged(clustered(open_ids, best), "around")
     left = staged(labelled.join(around, "doc_id"), "left")
     dense = dense_links(left.where("cluster >= 0"), percent)
     more = staged(verified(candidates(left, percent), sets, percent).union(dense), "links")
-    for table in (sets, open_ids, around, left):
-        drop_staged(table)
-    free_shuffles(spark)
     found = linked_groups(spark, links.union(more)).select(F.col("id").alias("head"), "component")
     classes = classes.join(found, "head", "left").select(*sign, F.coalesce("component", "head").alias("component"))
     return stats.join(classes, sign, "left").select(
