@@ -18,6 +18,8 @@ CHOSEN = [
     "j09_fact_encounters",
     "j14_encounter_analytics",
     "j18_incremental_fact",
+    "j16_after_changes",
+    "j23_returned_rows",
     "k01_monthly_encounters",
     "k03_pairs_described",
     "k05_inpatient_return_rates",
@@ -33,6 +35,8 @@ CHOSEN = [
     "n11_day_digests",
     "o02_sliding_alerts",
     "o03_access_sessions",
+    "o01_event_accounts",
+    "o04_late_totals",
 ]
 NAMES = list(ORACLE) if os.environ.get("WARDLAKE_ALL") else CHOSEN
 
