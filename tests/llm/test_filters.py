@@ -70,6 +70,20 @@ def test_spread_settles_on_a_cycle(spark):
     assert abs(got["a"] - 1333) <= 2 and abs(got["b"] - 666) <= 2
 
 
+def test_distrust_reaches_along_a_deep_chain(spark):
+    """Each host of a chain links to the next, the last is blocked: passing ends only where less than a unit is left."""
+    link = '<a href="http://h{}.net/">'
+    rows = [(i, f"http://h{i}.net/", link.format(i + 1)) for i in range(60)] + [(60, "http://h60.net/", '<a href="http://bad.com/">')]
+    rows.append((61, "http://bad.com/de/x", None))
+    got = {r.page_id: r for r in link_trust.judged_pages(pages(spark, rows), queries.RULES).collect()}
+    left = link_trust.UNIT
+    for i in range(60, -1, -1):
+        left = int(left * link_trust.DAMPING)
+        assert (got[i].distrust, got[i].verdict) == (left, "block")
+    with pytest.raises(ValueError):
+        link_trust.spread(None, None, damping=1.0)
+
+
 CAPTURES = "record_id bigint, url string, captured_at bigint, kind string, headers map<string,string>, digest string, key string, at string"
 
 
@@ -151,6 +165,16 @@ def test_lines_go_before_documents(spark):
     assert not rows[3].kept and rows[3].lost_share is None
 
 
+def test_sentence_marks_of_other_scripts(spark):
+    lines = [
+        "यह एक साधारण वाक्य है जो दण्ड पर समाप्त होता है {}।", "এটি একটি সাধারণ বাক্য যা দাঁড়ি দিয়ে শেষ হয় {}।", "یہ ایک عام جملہ ہے جو وقفے پر ختم ہوتا ہے {}۔",
+        "هل هذه جملة عادية تنتهي بعلامة استفهام {}؟", "これ は 普通 の 文 です {}。", "นี่ คือ ประโยค ธรรมดา ที่ ไม่มี เครื่องหมาย {}", "ይህ ተራ ዓረፍተ ነገር ነው {}።",
+    ]
+    texts = ["\n".join(line.format(k) for k in range(12)) for line in lines] + ["\n".join(f"no mark in this line at all {k}" for k in range(12))]
+    rows = {r.doc_id: r for r in line_cleaning.with_line_cleaning(documents(spark, texts)).collect()}
+    assert [rows[i].lost_share for i in range(len(texts))] == [0.0] * len(lines) + [1.0]
+
+
 def test_quality_verdict_follows_the_labels(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")

@@ -14,11 +14,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# What separates words, the characters that count as symbols, and marks that end a sentence.
+# What separates words, the characters that count as symbols, and marks that end a sentence or a part of
+# it in the scripts that have any; a line with letters of a script without such marks is not asked for one.
 BLANKS = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
-SENTENCE_MARKS = r"[.!?…:;。！？]"
+SENTENCE_MARKS = r"[.!?…:;。｡！？：；।॥۔؟؛։።။។།]"
+UNMARKED = r"[ก-๎ກ-ໟ]"
 SHOUTED_MARKS = r"[!?]{2,}"
 # Phrases of notices and menus, looked for in the lower-cased line.
 BOILERPLATE = (
@@ -36,6 +38,15 @@ BOILERPLATE = (
     "sign up for our newsletter",
     "click here to",
     "skip to content",
+    "tous droits réservés",
+    "politique de confidentialité",
+    "nous utilisons des cookies",
+    "todos los derechos reservados",
+    "política de privacidad",
+    "utilizamos cookies",
+    "alle rechte vorbehalten",
+    "datenschutzerklärung",
+    "wir verwenden cookies",
 )
 
 
@@ -75,7 +86,7 @@ def line_verdict(line: Column, rules: LineRules) -> Column:
         F.when(F.regexp_count(line, F.lit(r"\|")) >= rules.bars_per_word * words, "navigation")
         .when(F.regexp_count(line, F.lit(SYMBOLS)) >= rules.symbols_per_word * words, "punctuation")
         .when(F.regexp_count(line, F.lit(SHOUTED_MARKS)) >= rules.shouts_per_word * words, "punctuation")
-        .when(~line.rlike(SENTENCE_MARKS), "punctuation")
+        .when(~line.rlike(f"{SENTENCE_MARKS}|{UNMARKED}"), "punctuation")
         .when(notice, "boilerplate")
     )
 
@@ -191,7 +202,7 @@ counted AS (
 passed AS (
   SELECT rid, count(*) AS n, sum(length(l)) AS chars FROM counted
   WHERE NOT (bars >= {bars} * w OR marks >= {symbols} * w OR shouts >= {shouts} * w
-             OR NOT regexp_matches(l, '[.!?…:;。！？]') OR {notice})
+             OR NOT regexp_matches(l, '{ends}') OR {notice})
   GROUP BY rid),
 base AS (
   SELECT doc_id, rid, len(words)::BIGINT AS n_words,
@@ -216,5 +227,6 @@ def cleaning_sql(rules: LineRules = LineRules()) -> str:
         symbols=rules.symbols_per_word,
         shouts=rules.shouts_per_word,
         lost=rules.lost_share,
+        ends=f"{SENTENCE_MARKS}|{UNMARKED}",
         notice=f"({notice})",
     )

@@ -6,7 +6,8 @@ it distrust. Trust flows forward along links (a trusted host vouches for what it
 (who links to a blocked host is doubtful), both as personalised PageRank. A host whose distrust is above ``ratio``
 times its trust is blocked; without distrust it is allowed.
 
-Scores are whole numbers, so no order of summing changes them. Links are counted per pair of hosts before anything is
+Scores are whole numbers, so no order of summing changes them. They only grow from round to round and each round passes
+on less than it got, so passing ends by itself, and it goes on until nothing changes: no chain of hosts is cut. Links are counted per pair of hosts before anything is
 joined; a host with very many links is one row per neighbour, and its rank is one row.
 
 A null url, or one without ``://``, has an empty host and path; an empty host has no links, and no rule fits it.
@@ -20,9 +21,8 @@ from pyspark.sql import functions as F
 
 from wardlake.llm.common import drop_staged, staged
 
-# Share of a rank that is passed on, and rounds of passing.
+# Share of a rank that is passed on, below 1, and rounds of passing between two written tables.
 DAMPING = 0.85
-ROUNDS = 24
 ROUNDS_A_STAGE = 4
 # A page's trust or distrust in whole units.
 UNIT = 1_000_000_000
@@ -56,11 +56,14 @@ def host_links(pages: DataFrame) -> DataFrame:
     return found.groupBy("src", "dst").agg(F.count("*").alias("links"))
 
 
-def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING) -> DataFrame:
     """Trust and distrust of each host that has any: host, trust, distrust.
 
     ``seeds``: host, trust, distrust in whole units. A host without links keeps nothing to pass on.
+    Equal sums of two written tables mean equal ranks, since no rank ever falls.
     """
+    if not 0 <= damping < 1:
+        raise ValueError(f"passing never ends with damping {damping}")
     out = links.groupBy("src").agg(F.sum("links").alias("all"))
     into = links.groupBy("dst").agg(F.sum("links").alias("all"))
     forward = links.join(out, "src").select(F.col("src").alias("host"), F.col("dst").alias("to"), F.lit(True).alias("good"), "links", "all")
@@ -72,27 +75,26 @@ def spread(seeds: DataFrame, links: DataFrame, damping: float = DAMPING, rounds:
     share = lambda rank, good: F.when(
         F.col("good") == good, F.floor(F.col(rank) * F.lit(damping) * F.col("links") / F.col("all")).cast("bigint")
     ).otherwise(F.lit(0).cast("bigint"))
-    ranks, mark, first = seeds, None, True
-    for done in range(0, rounds, ROUNDS_A_STAGE):
-        before = ranks
-        for _ in range(min(ROUNDS_A_STAGE, rounds - done)):
-            passed = edges.join(ranks, "host").select(
+    total = lambda ranks: tuple(ranks.agg(*(F.sum(F.col(c).cast("decimal(38,0)")) for c in ("trust", "distrust"))).first())
+    ranks, mark = seeds, total(seeds)
+    while True:
+        later = ranks
+        for _ in range(ROUNDS_A_STAGE):
+            passed = edges.join(later, "host").select(
                 F.col("to").alias("host"), share("trust", True).alias("trust"), share("distrust", False).alias("distrust")
             )
-            ranks = (
+            later = (
                 seeds.unionByName(passed)
                 .groupBy("host")
                 .agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
             )
-        ranks = staged(ranks, "ranks")
-        if not first:
-            drop_staged(before)
-        first = False
-        now = tuple(ranks.agg(F.count("*"), F.sum("trust"), F.sum("distrust")).first())
+        later = staged(later, "ranks")
+        if ranks is not seeds:
+            drop_staged(ranks)
+        now = total(later)
         if now == mark:
-            break
-        mark = now
-    return ranks
+            return later
+        ranks, mark = later, now
 
 
 def judged_pages(pages: DataFrame, rules: list[tuple[str, str]], ratio: float = 1.0) -> DataFrame:
