@@ -206,3 +206,12 @@ def test_the_best_neighbour_is_found_in_a_table_of_many_documents(spark, library
     index = packing.ShardIndex(ids, idf, 41.0)
     index.unused[0] = False
     assert list(index.neighbours(0)) == [2, 1]
+
+
+def test_words_encoded_together_equal_words_alone(library):
+    """Words with white space of their own, empty ones and special strings among plain ones, each led by a space."""
+    ends = ("", "'ll", "é\u00a0x", "<|endoftext|>", "\n", "Ġ", " ", "\u200b", "1234")
+    words = [f" w{k}{end}" for k in range(400) for end in ends] + [" ", "head", " \t"]
+    flat, counts = library_encoder(BYTE_VOCABULARY).encode_new(words)
+    alone = [library_ids(library, w) for w in words]
+    assert counts.tolist() == [len(ids) for ids in alone] and flat.tolist() == [i for ids in alone for i in ids]

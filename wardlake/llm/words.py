@@ -11,6 +11,7 @@ import os
 import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,10 @@ import pyarrow.compute as pc
 REMEMBERED = 400_000
 # Bytes of text worked on at a time.
 SLICE_BYTES = 8_000_000
+# New words that the library encodes as one text.
+JOINED = 512
+# Fixed value: how a byte-level vocabulary writes a space.
+SPACE_MARK = "Ġ"
 
 # White space other than a lone space between two other characters.
 _ODD_SPACE = r"  |^ | $|[\t-\r\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] | [\t-\r\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -76,7 +81,7 @@ class WordMemory:
     def _places(self, words: list[str], lead: str, passing: list[Ragged]) -> np.ndarray:
         """Index of each distinct word in the store; new words are appended to ``passing`` and the memory."""
         known = self.known[bool(lead)]
-        place = np.fromiter((known.get(w, -1) for w in words), np.int64, len(words))
+        place = np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
         new = np.flatnonzero(place < 0)
         if len(new):
             unknown = [words[i] for i in new.tolist()]
@@ -149,12 +154,34 @@ def vocabulary_size(vocabulary: str) -> int:
 
 @lru_cache(maxsize=2)
 def library_encoder(vocabulary: str) -> WordMemory:
-    """The tokenizers library, over distinct words; ids are 16 bits wide where the vocabulary allows, else 32."""
-    tokenizer, dtype = _library(vocabulary), id_type(vocabulary_size(vocabulary))
+    """The tokenizers library, over distinct words; ids are 16 bits wide where the vocabulary allows, else 32.
 
-    def encode_new(words: list[str]) -> Ragged:
+    New words led by a space are encoded many in one text. None of them holds other white space, so only the first id
+    of a word begins with a space, and that is where the ids are cut; other words are encoded one by one.
+    """
+    tokenizer, size = _library(vocabulary), vocabulary_size(vocabulary)
+    dtype = id_type(size)
+    begins = np.zeros(size, bool)
+    begins[[i for piece, i in tokenizer.get_vocab(with_added_tokens=True).items() if piece.startswith(SPACE_MARK)]] = True
+
+    def one_by_one(words: list[str]) -> Ragged:
         ids = [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         counts = np.fromiter(map(len, ids), np.int64, len(ids))
-        return np.fromiter((i for row in ids for i in row), dtype, int(counts.sum())), counts
+        return np.fromiter(chain.from_iterable(ids), dtype, int(counts.sum())), counts
+
+    def together(words: list[str]) -> Ragged:
+        flat = np.array(tokenizer.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids, dtype)
+        at = np.flatnonzero(begins[flat])
+        if len(at) != len(words) or at[0]:
+            return one_by_one(words)
+        return flat, np.diff(at, append=len(flat))
+
+    def encode_new(words: list[str]) -> Ragged:
+        plain = np.fromiter((w.split() == [w[1:]] and w[0] == " " for w in words), bool, len(words))
+        spaced, others = ([words[i] for i in np.flatnonzero(which).tolist()] for which in (plain, ~plain))
+        parts = [together(spaced[k : k + JOINED]) for k in range(0, len(spaced), JOINED)] + [one_by_one(others)]
+        flat, counts = (np.concatenate(arrays) for arrays in zip(*parts, strict=True))
+        back = np.argsort(np.argsort(~plain, kind="stable"))
+        return gathered(flat, (np.cumsum(counts) - counts)[back], counts[back]), counts[back]
 
     return WordMemory(encode_new, dtype)
