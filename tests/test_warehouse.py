@@ -1,9 +1,10 @@
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from wardlake.plans import incremental, load, queries_source, queries_star, validate
+from wardlake.plans import fact, incremental, load, queries_source, queries_star, validate
 from wardlake.plans.fact import encounter_analytics
 from wardlake.plans.warehouse import derive_warehouse, open_warehouse
 from wardlake.session import fresh_path
@@ -227,10 +228,30 @@ def test_backfilled_months_measure_readmissions_over_their_borders(spark):
     ]
     schema = "encounter_id bigint, patient_key bigint, encounter_datetime timestamp_ntz, discharge_datetime timestamp_ntz, encounter_year int"
     base = spark.createDataFrame(rows, schema)
-    months = [dt.date(2000, 1, 1), dt.date(2000, 2, 1), dt.date(2000, 6, 1), dt.date(2000, 12, 1), dt.date(2001, 1, 1)]
-    within = lambda a, b: base.where((F.col("encounter_datetime") >= F.lit(a)) & (F.col("encounter_datetime") < F.lit(b)))
-    load.backfill_months(spark, within, months, path)
-    for _ in range(2):
-        load.measure_backfill(spark, path, [])
+    months = [dt.date(2000, m, 1) for m in range(1, 13)] + [dt.date(2001, 1, 1), dt.date(2001, 2, 1)]
+    slices = list(zip(months, months[1:]))
+    for order in (slices, slices[::-1], slices[:1]):
+        load.backfill_slices(spark, base, order, path, [])
         got = {r.encounter_id: (r.has_30day_readmission, r.is_readmission) for r in spark.read.parquet(path).collect()}
         assert got == {1: (True, False), 2: (False, True), 3: (False, False), 4: (True, False), 5: (False, True)}
+    with pytest.raises(ValueError):
+        load.backfill_slices(spark, base, [(dt.date(2000, 1, 15), dt.date(2000, 2, 1))], path, [])
+
+
+def test_backfilled_slices_equal_one_measurement(spark):
+    """Stays longer than a slice, ends before starts, missing ends and repeated times, cut at every month."""
+    rng = random.Random(11)
+    rows = []
+    for i in range(600):
+        start = dt.datetime(2000, 1, 1) + dt.timedelta(hours=rng.randint(0, 24 * 364))
+        end = rng.choice([None, start + dt.timedelta(days=rng.choice([0, 1, 3, 29, 30, 31, 90])), start - dt.timedelta(days=rng.choice([2, 45, 100]))])
+        rows.append((i, rng.randint(1, 25), start, end, start.year))
+    schema = "encounter_id bigint, patient_key bigint, encounter_datetime timestamp_ntz, discharge_datetime timestamp_ntz, encounter_year int"
+    base = spark.createDataFrame(rows, schema)
+    path = fresh_path(spark, "backfill")
+    months = [dt.date(2000, m, 1) for m in (1, 2, 5, 6, 9, 12)] + [dt.date(2001, 1, 1)]
+    load.backfill_slices(spark, base, list(zip(months, months[1:])), path, [])
+    whole = fact.with_readmissions(base, fact.readmission_measures(base, []))
+    loaded = spark.read.parquet(path).select(whole.columns)
+    assert loaded.exceptAll(whole).isEmpty() and whole.exceptAll(loaded).isEmpty()
+

@@ -81,6 +81,7 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: list[str]) -> N
     df.write.parquet(staged)
     writer = spark.read.schema(df.schema).parquet(staged).hint("rebalance", *partition_by).write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
+    drop_folder(spark, staged)
 
 
 def append_partitioned(df: DataFrame, path: str, partition_by: list[str]) -> None:
@@ -130,8 +131,13 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return system.exists(target)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that nothing reads any more."""
+    target, system = file_system(spark, path)
+    system.delete(target, True)
+
+
 def drop_partitions(spark: SparkSession, path: str, partition: str, values: list) -> None:
     """Remove whole partition folders of a table."""
     for value in values:
-        target, system = file_system(spark, f"{path.rstrip('/')}/{partition}={value}")
-        system.delete(target, True)
+        drop_folder(spark, f"{path.rstrip('/')}/{partition}={value}")

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlake.operators.change import overwrite_partitions
+from wardlake.functions import columns as C
+from wardlake.operators.change import drop_folder, overwrite_partitions
 from wardlake.plans import dims, fact
-from wardlake.plans.incremental import READMISSION_COLUMNS
+from wardlake.plans.incremental import changed_slice
 from wardlake.plans.queries_star import refresh_pair_summary
 from wardlake.plans.runlog import RunLog, read_run_log
 from wardlake.plans.validate import schema_comparison, validate, verdict
@@ -96,6 +98,8 @@ def run_warehouse_load(
         final = fact.with_readmissions(loaded, spark.read.parquet(stages["readmission"]))
         write_fact(rows.watch(final), f"{root}/fact_encounters")
 
+    for stage in stages.values():
+        drop_folder(spark, stage)
     return read_run_log(spark, log_path).where(F.col("execution_id") == run_id)
 
 
@@ -120,21 +124,51 @@ def run_load_and_checks(spark: SparkSession, src: TableSet, folder: str, as_of:
     return verdict(spark.read.parquet(f"{root}/data_quality_log").where(F.col("execution_id") == run_id))
 
 
-def backfill_months(spark: SparkSession, build, months: list[dt.date], path: str) -> None:
-    """Load history one month at a time: ``build(first day, first day of the next month)`` gives the fact of the month.
+def measured_slice(src: TableSet, dim_diagnosis: DataFrame) -> Callable[[DataFrame], DataFrame]:
+    """Attaches money, child counts and the primary diagnosis to a slice; only the slice's own children are summed."""
 
-    Rows of a month go to partitions of their own, so a month can be repeated. Readmissions reach from one month into
-    the next, so ``build`` gives rows without them and ``measure_backfill`` adds them once all months are there.
+    def finish(own: DataFrame) -> DataFrame:
+        part = changed_slice(src, own.select("encounter_id"))
+        children = (part[n] for n in ("billing", "encounter_diagnoses", "encounter_procedures"))
+        return fact.with_measures(own, *children, dim_diagnosis)
+
+    return finish
+
+
+def backfill_slices(
+    spark: SparkSession,
+    visits: DataFrame,
+    slices: list[tuple[dt.date, dt.date]],
+    path: str,
+    hot: list,
+    finish: Callable[[DataFrame], DataFrame] = lambda own: own,
+    horizon_days: int = fact.READMISSION_DAYS,
+) -> None:
+    """Load history slice by slice into partitions of year and month, each slice with its readmission measures.
+
+    ``visits`` are encounters with their keys (``resolved_encounters``); a slice is (first day, day after the last),
+    both the first of a month. A return or an earlier discharge may lie outside the slice, so it is measured together
+    with the visits that reach into the horizon around the stays it begins, however long these are: that is read, but
+    only rows that begin in the slice are written. Slices need no order, can be repeated, and no other month is read
+    back or rewritten. A slice without visits writes nothing, so months stored before stay as they are. A visit
+    without a start belongs to no slice.
     """
-    for first in months:
-        following = dt.date(first.year + first.month // 12, first.month % 12 + 1, 1)
-        rows = build(first, following).withColumn("encounter_month", F.month("encounter_datetime"))
-        overwrite_partitions(rows, path, ["encounter_year", "encounter_month"])
-
-
-def measure_backfill(spark: SparkSession, path: str, hot: list) -> None:
-    """Readmission columns of a back-filled fact, measured over all its months together; can be repeated."""
-    stored = spark.read.parquet(path)
-    base = stored.drop(*READMISSION_COLUMNS)
-    measured = fact.with_readmissions(base, fact.readmission_measures(base, hot))
-    overwrite_partitions(measured, path, ["encounter_year", "encounter_month"])
+    start, end = F.col("encounter_datetime"), F.col("discharge_datetime")
+    horizon = dt.timedelta(days=horizon_days)
+    for first, following in slices:
+        if first.day != 1 or following.day != 1 or first >= following:
+            raise ValueError(f"a slice is made of whole months: {first} to {following}")
+        began = (start >= C.moment(dt.datetime(first.year, first.month, 1))) & (
+            start < C.moment(dt.datetime(following.year, following.month, 1))
+        )
+        # Two values: the slice's first and last instants, stays that reach out of it and ends before starts included.
+        low, high = visits.where(began).agg(F.min(F.least(start, end)), F.max(F.greatest(start, end))).first()
+        if low is None:
+            continue
+        before, after = C.moment(low - horizon), C.moment(high + horizon)
+        around = fresh_path(spark, f"backfill-{first}")
+        visits.where((start <= after) & ((start >= before) | (end >= before))).write.parquet(around)
+        near = spark.read.schema(visits.schema).parquet(around)
+        rows = fact.with_readmissions(finish(near.where(began)), fact.readmission_measures(near, hot, horizon_days))
+        overwrite_partitions(rows.withColumn("encounter_month", F.month(start)), path, ["encounter_year", "encounter_month"])
+        drop_folder(spark, around)

@@ -15,7 +15,7 @@ from wardlake.plans.warehouse import derive_warehouse, open_warehouse
 from wardlake.registry.check_queries import LATER_SQL, logs, snapshots
 from wardlake.registry.oracle_base import AS_OF as AS_OF_SQL
 from wardlake.registry.oracle_base import CTES, age_case
-from wardlake.registry.warehouse_queries import AS_OF, plain, source, star
+from wardlake.registry.warehouse_queries import AS_OF, money_as_double, plain, source, star
 from wardlake.session import fresh_path
 from wardlake.sources import catalogs, fixture
 from wardlake.sources.tables import open_clinical_parquet, store_tables
@@ -81,17 +81,18 @@ def _year_partitions(spark, sf_dir):
 
 
 def _backfill(spark, sf_dir):
-    """Three months loaded one by one, the middle one twice."""
-    src, path = source(spark, sf_dir), fresh_path(spark, "backfill")
-
-    def month(first, following):
-        at = F.col("encounter_date")
-        part = src["encounters"].where((at >= F.lit(first)) & (at < F.lit(following)))
-        return derive_warehouse(src.replacing(encounters=part), AS_OF, fixture.CALENDAR)["fact_resolved"]
-
-    months = [dt.date(2000, 11, 1), dt.date(2000, 12, 1), dt.date(2001, 1, 1), dt.date(2000, 12, 1)]
-    load.backfill_months(spark, month, months, path)
-    return spark.read.parquet(path).groupBy("encounter_year", "encounter_month").agg(F.count("*").alias("encounters"))
+    """All history loaded by half-years, later ones first, one of them twice."""
+    folder, path = fresh_path(spark, "clinical"), fresh_path(spark, "backfill")
+    store_tables(source(spark, sf_dir), folder)
+    src = open_clinical_parquet(spark, folder)
+    wh = derive_warehouse(src, AS_OF, fixture.CALENDAR)
+    first, last = dims.calendar_bounds(src)
+    starts = [dt.date(y, m, 1) for y in range(first.year, last.year + 2) for m in (1, 7)]
+    slices = list(zip(starts, starts[1:]))[::-1]
+    slices.insert(3, slices[1])
+    hot = src.hot_keys("encounters", "patient_id")
+    load.backfill_slices(spark, wh["fact_resolved"], slices, path, hot, load.measured_slice(src, wh["dim_diagnosis"]))
+    return plain(spark.read.parquet(path).drop("encounter_month"))
 
 
 # Table changes and incremental loads ----------------------------------------------------------------------------------
@@ -280,8 +281,7 @@ LOADS = {
     ),
     "a12_monthly_backfill": (
         _backfill,
-        """SELECT encounter_year, month(encounter_datetime) AS encounter_month, count(*) AS encounters FROM resolved
-           WHERE encounter_datetime >= DATE '2000-11-01' AND encounter_datetime < DATE '2001-02-01' GROUP BY 1, 2""",
+        money_as_double("fact_encounters"),
     ),
     "i01_update_from": (
         _updated,
