@@ -36,9 +36,24 @@ def test_failed_export_is_recorded(spark, small, monkeypatch):
         raise OSError("no space")
 
     monkeypatch.setattr(exports, "write_csv", refuse)
-    history = exports.export_run_logs(logs, fresh_path(spark, "exports"), ("PERFORMANCE", "SUMMARY"))
-    states = {(r.export_type, r.export_status, r.error_message) for r in history.collect()}
+    folder = fresh_path(spark, "exports")
+    history = exports.export_run_logs(logs, folder, ("PERFORMANCE", "SUMMARY"))
+    rows = history.collect()
+    states = {(r.export_type, r.export_status, r.error_message) for r in rows}
     assert states == {("PERFORMANCE", "FAILED", "no space"), ("SUMMARY", "SUCCESS", None)}
+    assert all((r.file_size_bytes is None) == (r.export_status == "FAILED") for r in rows)
+    # The history keeps both runs of an export; the returned rows are those of the last call.
+    again = exports.export_run_logs(logs, folder, ("SUMMARY",)).collect()
+    stored = exports.read_export_history(spark, f"{folder}/export_history")
+    assert stored.count() == len(rows) + len(again) == stored.select("export_id").distinct().count()
+    listed = {r.execution_id: r.file_size_bytes for r in exports.export_sizes(spark, f"{folder}/summary_json").collect()}
+    assert {r.execution_id: r.file_size_bytes for r in again} == listed and min(listed.values()) > 0
+
+
+def test_exports_of_no_runs(spark, small):
+    empty = event_tables(spark, small)
+    empty = empty.replacing(**{n: empty[n].where("false") for n in ("etl_execution_log", "data_quality_log", "performance_metrics")})
+    assert exports.export_run_logs(empty, fresh_path(spark, "exports")).isEmpty()
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])

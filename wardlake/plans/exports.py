@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -146,53 +148,86 @@ def run_documents(logs) -> DataFrame:
     return union_all([summary] + [document_pages(logs, section) for section in SECTIONS])
 
 
-def export_run_logs(logs, folder: str, types: tuple[str, ...] = ("LOGS", "QUALITY_REPORT", "PERFORMANCE", "SUMMARY")) -> DataFrame:
-    """Write the logs of all given runs below ``folder``, partitioned by run, and return the history rows.
+# Columns of the stored export history.
+HISTORY_SCHEMA = (
+    "export_id string, execution_id string, export_type string, output_format string, file_path string, "
+    "file_size_bytes bigint, files bigint, export_status string, record_count bigint, export_duration_ms bigint, "
+    "error_message string, export_timestamp timestamp_ntz"
+)
+EXPORT_TYPES = ("LOGS", "QUALITY_REPORT", "PERFORMANCE", "SUMMARY")
 
-    A failed export yields FAILED history rows and does not stop the others.
+
+def _by_run(rows: DataFrame, path: str) -> None:
+    """JSON below ``path``, one partition a run; other runs stay as they are."""
+    writer = rows.hint("rebalance", "execution_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("execution_id").json(path)
+
+
+def export_run_logs(logs, folder: str, types: tuple[str, ...] = EXPORT_TYPES, history_path: str | None = None) -> DataFrame:
+    """Write the logs of all given runs below ``folder``, partitioned by run, and return the rows of the history.
+
+    The rows are stored below ``history_path`` (``folder``/export_history if not given), one partition an export, in
+    one write after each export, and returned as read back from there. Size and files of a run are those found in storage after the
+    write, its duration is that of the whole write. A failed export yields FAILED rows without a size and does not stop the others.
     """
-    spark = logs.spark
+    spark, root = logs.spark, folder.rstrip("/")
+    history_path = history_path or f"{root}/export_history"
+    steps, issues, metrics = (logs[n] for n in ("etl_execution_log", "data_quality_log", "performance_metrics"))
+    run = ["execution_id"]
     plans = {
-        ("LOGS", "CSV"): lambda p: write_csv(extract(logs["etl_execution_log"], LOG_EXTRACT), p, ["execution_id", "step_order", "log_id"], ["execution_id"]),
-        ("LOGS", "JSON"): lambda p: run_documents(logs).hint("rebalance", "execution_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("execution_id").json(p),
-        ("QUALITY_REPORT", "CSV"): lambda p: write_csv(extract(logs["data_quality_log"], ISSUE_EXTRACT), p, ["execution_id", "created_at", "quality_id"], ["execution_id"]),
-        ("PERFORMANCE", "CSV"): lambda p: write_csv(extract(logs["performance_metrics"], METRIC_EXTRACT), p, ["execution_id", "start_time", "metric_id"], ["execution_id"]),
-        ("SUMMARY", "JSON"): lambda p: run_summary(logs["etl_execution_log"]).hint("rebalance", "execution_id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("execution_id").json(p),
+        ("LOGS", "CSV"): (steps, lambda p: write_csv(extract(steps, LOG_EXTRACT), p, [*run, "step_order", "log_id"], run)),
+        ("LOGS", "JSON"): (steps, lambda p: _by_run(run_documents(logs), p)),
+        ("QUALITY_REPORT", "CSV"): (issues, lambda p: write_csv(extract(issues, ISSUE_EXTRACT), p, [*run, "created_at", "quality_id"], run)),
+        ("PERFORMANCE", "CSV"): (metrics, lambda p: write_csv(extract(metrics, METRIC_EXTRACT), p, [*run, "start_time", "metric_id"], run)),
+        ("SUMMARY", "JSON"): (steps, lambda p: _by_run(run_summary(steps), p)),
     }
-    tables = {"LOGS": "etl_execution_log", "SUMMARY": "etl_execution_log", "QUALITY_REPORT": "data_quality_log", "PERFORMANCE": "performance_metrics"}
-    history = []
-    for (kind, form), write in plans.items():
+    exports = []
+    for (kind, form), (rows, write) in plans.items():
         if kind not in types:
             continue
-        path, now = f"{folder.rstrip('/')}/{kind.lower()}_{form.lower()}", dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        error = None
+        export, path, error = uuid.uuid4().hex, f"{root}/{kind.lower()}_{form.lower()}", None
+        now, begun = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None), time.monotonic()
         try:
             write(path)
         except Exception as failure:
             error = str(failure)
-        runs = logs[tables[kind]].groupBy("execution_id").agg(F.count("*").alias("record_count"))
-        if kind == "SUMMARY":
-            runs = runs.withColumn("record_count", F.lit(1).cast("bigint"))
-        history.append(
-            runs.select(
-                "execution_id",
-                F.lit(kind).alias("export_type"),
-                F.lit(form).alias("output_format"),
-                F.lit(path).alias("file_path"),
-                F.lit("FAILED" if error else "SUCCESS").alias("export_status"),
-                (F.lit(None).cast("bigint") if error else F.col("record_count")).alias("record_count"),
-                F.lit(error).cast("string").alias("error_message"),
-                C.moment(now).alias("export_timestamp"),
-            )
+        took = int((time.monotonic() - begun) * 1000)
+        runs = rows.groupBy("execution_id").agg((F.lit(1) if kind == "SUMMARY" else F.count("*")).cast("bigint").alias("record_count"))
+        if error is None and not rows.isEmpty():
+            runs = runs.join(export_sizes(spark, path), "execution_id", "left")
+        else:
+            runs = runs.withColumns({c: F.lit(None).cast("bigint") for c in ("files", "file_size_bytes")})
+        stored = runs.select(
+            F.concat_ws("-", F.lit(export), "execution_id").alias("export_id"),
+            "execution_id",
+            F.lit(kind).alias("export_type"),
+            F.lit(form).alias("output_format"),
+            F.lit(path).alias("file_path"),
+            "file_size_bytes",
+            "files",
+            F.lit("FAILED" if error else "SUCCESS").alias("export_status"),
+            (F.lit(None).cast("bigint") if error else F.col("record_count")).alias("record_count"),
+            F.lit(took).cast("bigint").alias("export_duration_ms"),
+            F.lit(error).cast("string").alias("error_message"),
+            C.moment(now).alias("export_timestamp"),
+            F.lit(export).alias("export"),
         )
-    if not history:
+        stored.write.mode("append").partitionBy("export").parquet(history_path)
+        exports.append(export)
+    if not exports:
         raise ValueError(f"no export for {types}")
-    return union_all(history)
+    return read_export_history(spark, history_path, exports)
+
+
+def read_export_history(spark: SparkSession, path: str, exports: list[str] | None = None) -> DataFrame:
+    """The stored history, or only some exports of it."""
+    stored = spark.read.schema(f"{HISTORY_SCHEMA}, export string").parquet(path)
+    return (stored if exports is None else stored.where(F.col("export").isin(exports))).drop("export")
 
 
 def export_sizes(spark: SparkSession, path: str) -> DataFrame:
     """Files and bytes written for each run, from the listing alone: no file is opened."""
-    files = spark.read.format("binaryFile").load(path).select("execution_id", "path", "length")
+    files = spark.read.format("binaryFile").load(path).select(F.col("execution_id").cast("string"), "path", "length")
     return files.groupBy("execution_id").agg(F.count("*").alias("files"), F.sum("length").alias("file_size_bytes"))
 
 

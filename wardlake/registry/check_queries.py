@@ -326,7 +326,10 @@ def _json_round_trip(spark, sf_dir):
 
 def _export_all(spark, sf_dir):
     history = exports.export_run_logs(logs(spark, sf_dir), fresh_path(spark, "exports"))
-    return history.select("execution_id", "export_type", "output_format", "export_status", "record_count")
+    return history.select(
+        "execution_id", "export_type", "output_format", "export_status", "record_count",
+        (F.col("file_size_bytes") > 0).alias("has_size"), (F.col("export_duration_ms") > 0).alias("has_duration"),
+    )
 
 
 def _summary_files(spark, sf_dir):
@@ -381,7 +384,7 @@ DOCUMENT_SQL = " UNION ALL ".join(
     + [page_sql(s) for s in exports.SECTIONS]
 )
 HISTORY_SQL = " UNION ALL ".join(
-    f"SELECT execution_id, '{kind}' AS export_type, '{form}' AS output_format, 'SUCCESS' AS export_status, {n} AS record_count FROM {table} GROUP BY 1"
+    f"SELECT execution_id, '{kind}' AS export_type, '{form}' AS output_format, 'SUCCESS' AS export_status, {n} AS record_count, TRUE AS has_size, TRUE AS has_duration FROM {table} GROUP BY 1"
     for kind, form, table, n in [
         ("LOGS", "CSV", "etl_execution_log", "count(*)"),
         ("LOGS", "JSON", "etl_execution_log", "count(*)"),
