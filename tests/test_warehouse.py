@@ -1,4 +1,5 @@
 import datetime as dt
+import json
 import random
 
 import pytest
@@ -255,3 +256,24 @@ def test_backfilled_slices_equal_one_measurement(spark):
     loaded = spark.read.parquet(path).select(whole.columns)
     assert loaded.exceptAll(whole).isEmpty() and whole.exceptAll(loaded).isEmpty()
 
+
+
+def test_full_run_records_its_outcome_and_reports_from_storage(spark, small, monkeypatch):
+    src, folder = clinical_tables(spark, small), fresh_path(spark, "warehouse")
+    history = load.run_everything(spark, src, folder, CLINICAL_AS_OF, "run-1", CALENDAR).collect()
+    assert {(r.export_type, r.export_status) for r in history} >= {("LOGS", "SUCCESS"), ("SUMMARY", "SUCCESS")}
+    assert all(r.file_size_bytes > 0 and r.export_duration_ms > 0 for r in history)
+    report = json.loads(load.stored_report(spark, folder).first()[0])
+    assert list(report) == ["validation_summary", "data_quality_issues", "schema_validation_results", "performance_metrics"]
+    assert {m["operation"] for m in report["performance_metrics"]} >= {"Populate fact_encounters", "Validate warehouse"}
+    assert all(i["timestamp"] for i in report["data_quality_issues"])
+
+    def refuse(*_):
+        raise RuntimeError("no validation")
+
+    monkeypatch.setattr(load, "validate", refuse)
+    with pytest.raises(RuntimeError, match="no validation"):
+        load.run_everything(spark, src, folder, CLINICAL_AS_OF, "run-2", CALENDAR)
+    ended = spark.read.parquet(f"{folder}/audit_log").where("event_type_code = 'ETL_EXECUTION'").orderBy("event_timestamp").collect()
+    assert [(r.success, r.error_message) for r in ended] == [(True, None), (False, "no validation")]
+    assert json.loads(load.stored_report(spark, folder, "run-1").first()[0]) == report

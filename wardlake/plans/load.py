@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,10 +12,12 @@ from pyspark.sql import functions as F
 from wardlake.functions import columns as C
 from wardlake.operators.change import drop_folder, overwrite_partitions
 from wardlake.plans import dims, fact
+from wardlake.plans.audit import append_events, archive_records
+from wardlake.plans.exports import export_run_logs
 from wardlake.plans.incremental import changed_slice
 from wardlake.plans.queries_star import refresh_pair_summary
-from wardlake.plans.runlog import RunLog, read_run_log
-from wardlake.plans.validate import schema_comparison, validate, verdict
+from wardlake.plans.runlog import RunLog, latest_run, read_run_log
+from wardlake.plans.validate import schema_comparison, validate, validation_report, verdict
 from wardlake.plans.warehouse import derive_warehouse, open_warehouse
 from wardlake.session import fresh_path
 from wardlake.sources.tables import TableSet
@@ -117,13 +120,96 @@ def run_load_and_checks(spark: SparkSession, src: TableSet, folder: str, as_of:
     refresh_pair_summary(wh, f"{root}/mv_diagnosis_procedure_pairs")
     log = RunLog(spark, f"{root}/etl_logs", run_id, "validate_warehouse")
     with log.step("Validate warehouse") as rows:
-        issues = validate(src, wh, as_of).withColumn("execution_id", F.lit(run_id))
+        found = validate(src, wh, as_of).withColumn("created_at", C.moment(_now()))
+        issues = found.withColumn("execution_id", F.lit(run_id))
         replace_run(rows.watch(issues), f"{root}/data_quality_log")
         comparison = schema_comparison(src, wh).withColumn("execution_id", F.lit(run_id))
         replace_run(comparison, f"{root}/schema_validation_log")
     return verdict(spark.read.parquet(f"{root}/data_quality_log").where(F.col("execution_id") == run_id))
 
 
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
+def run_logs(spark: SparkSession, folder: str, run_id: str) -> TableSet:
+    """The stored logs of one run in the shape of the exports: its steps, issues, and steps as measurements."""
+    root, mine = folder.rstrip("/"), F.col("execution_id") == run_id
+    steps = read_run_log(spark, f"{root}/etl_logs").where(mine)
+    issues = spark.read.parquet(f"{root}/data_quality_log").where(mine)
+    name = F.concat_ws("|", "execution_id", "table_name", "column_name", "issue_type")
+    return TableSet(
+        spark,
+        {
+            "etl_execution_log": lambda: steps,
+            "data_quality_log": lambda: issues.withColumns(
+                {"quality_id": F.xxhash64(name), "sample_values": F.lit(None).cast("string")}
+            ),
+            "performance_metrics": lambda: steps.select(
+                F.col("log_id").alias("metric_id"),
+                "execution_id",
+                F.col("procedure_name").alias("table_name"),
+                F.col("step_name").alias("operation_type"),
+                F.round(F.col("duration_seconds") * 1000).cast("bigint").alias("duration_ms"),
+                F.col("rows_processed").alias("rows_affected"),
+                "start_time",
+                "end_time",
+            ),
+        },
+    )
+
+
+def stored_report(spark: SparkSession, folder: str, run_id: str | None = None) -> DataFrame:
+    """The validation report of a stored run, of the one validated last if none is named; nothing is validated again."""
+    root = folder.rstrip("/")
+    if run_id is None:
+        last = latest_run(read_run_log(spark, f"{root}/etl_logs"), "validate_warehouse").first()
+        if last is None:
+            raise ValueError(f"no validated run in {root}")
+        run_id = last["execution_id"]
+    logs, mine = run_logs(spark, root, run_id), F.col("execution_id") == run_id
+    comparison = spark.read.parquet(f"{root}/schema_validation_log").where(mine)
+    issues = logs["data_quality_log"]
+    return validation_report(issues, comparison, verdict(issues), logs["performance_metrics"])
+
+
+def run_everything(
+    spark: SparkSession,
+    src: TableSet,
+    folder: str,
+    as_of: dt.date,
+    run_id: str,
+    calendar: tuple[dt.date, dt.date] | None = None,
+    trail: str | None = None,
+) -> DataFrame:
+    """Load and validate, export the run's logs, archive the old audit trail; returns the history of the exports.
+
+    The outcome of the run is put on the audit trail below ``trail`` (``folder``/audit_log if not given). An error of
+    any step is recorded there too, and goes on to the caller; what earlier steps have written stays.
+    """
+    root = folder.rstrip("/")
+    trail = trail or f"{root}/audit_log"
+    schema = (
+        "audit_id string, event_timestamp timestamp_ntz, event_type_code string, table_name string, "
+        "operation_type string, success boolean, error_message string, compliance_notes string"
+    )
+
+    def record(error: str | None) -> None:
+        note = f"Load {run_id} " + ("failed" if error else "completed")
+        row = (uuid.uuid4().hex, _now(), "ETL_EXECUTION", "star_schema", "EXECUTE", error is None, error, note)
+        append_events(spark.createDataFrame([row], schema), trail)
+
+    try:
+        run_load_and_checks(spark, src, root, as_of, run_id, calendar)
+        history = export_run_logs(run_logs(spark, root, run_id), f"{root}/exports")
+    except Exception as failure:
+        record(str(failure))
+        raise
+    record(None)
+    archive_records(spark, trail, f"{root}/audit_archive", as_of, _now())
+    return history
+
+
 def measured_slice(src: TableSet, dim_diagnosis: DataFrame) -> Callable[[DataFrame], DataFrame]:
     """Attaches money, child counts and the primary diagnosis to a slice; only the slice's own children are summed."""
 

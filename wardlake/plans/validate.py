@@ -336,8 +336,11 @@ def verdict(issues: DataFrame) -> DataFrame:
     )
 
 
-def validation_report(issues: DataFrame, comparison: DataFrame, summary: DataFrame) -> DataFrame:
-    """One JSON document: summary, issues, schema results. Both lists are bounded by the number of checks."""
+def validation_report(issues: DataFrame, comparison: DataFrame, summary: DataFrame, metrics: DataFrame) -> DataFrame:
+    """One JSON document of a run: summary, issues with their time, schema results, measured steps.
+
+    The lists are bounded by the number of checks and of steps of a run.
+    """
 
     keep_nulls = {"ignoreNullFields": "false"}
 
@@ -355,7 +358,9 @@ def validation_report(issues: DataFrame, comparison: DataFrame, summary: DataFra
         F.col("severity_level").alias("severity"),
         "affected_rows",
         F.col("issue_description").alias("description"),
+        F.date_format("created_at", "yyyy-MM-dd HH:mm:ss").alias("timestamp"),
     )
+    measured = metrics.select("table_name", F.col("operation_type").alias("operation"), "duration_ms", "rows_affected")
     schema = comparison.select(
         "source_table",
         "source_column",
@@ -366,8 +371,9 @@ def validation_report(issues: DataFrame, comparison: DataFrame, summary: DataFra
         F.col("target_actual").alias("actual"),
     )
     head = section(summary, "validation_summary", F.first(F.to_json(F.struct(*summary.columns), keep_nulls)))
-    parts = union_all([head, listed(quality, "data_quality_issues"), listed(schema, "schema_validation_results")])
-    names = ["validation_summary", "data_quality_issues", "schema_validation_results"]
+    lists = {"data_quality_issues": quality, "schema_validation_results": schema, "performance_metrics": measured}
+    parts = union_all([head] + [listed(df, name) for name, df in lists.items()])
+    names = ["validation_summary", *lists]
     bodies = parts.agg(*[F.max(F.when(F.col("section") == n, F.col("body"))).alias(n) for n in names])
     members = [F.concat(F.lit(f'"{n}":'), F.col(n)) for n in names]
     return bodies.select(F.concat(F.lit("{"), F.concat_ws(",", *members), F.lit("}")).alias("validation_report"))

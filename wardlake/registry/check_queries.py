@@ -157,11 +157,18 @@ REPORT_SQL = """
 SELECT '{"validation_summary":' || (SELECT CAST(to_json(v) AS VARCHAR) FROM verdict_row v)
     || ',"data_quality_issues":' || (SELECT CAST(to_json(list({'table_name': table_name, 'column_name': column_name,
          'issue_type': issue_type, 'severity': severity_level, 'affected_rows': affected_rows,
-         'description': issue_description} ORDER BY table_name, column_name)) AS VARCHAR) FROM found_issues)
+         'description': issue_description, 'timestamp': '{AS_OF} 08:30:00'} ORDER BY table_name, column_name)) AS VARCHAR) FROM found_issues)
     || ',"schema_validation_results":' || (SELECT CAST(to_json(list({'source_table': source_table,
          'source_column': source_column, 'target_table': target_table, 'target_column': target_column,
          'status': target_status, 'expected': target_expected, 'actual': target_actual}
-         ORDER BY source_table, source_column)) AS VARCHAR) FROM schema_checked) || '}' AS validation_report"""
+         ORDER BY source_table, source_column)) AS VARCHAR) FROM schema_checked)
+    || ',"performance_metrics":' || (SELECT CAST(to_json(list({'table_name': table_name, 'operation': operation_type,
+         'duration_ms': duration_ms, 'rows_affected': rows_affected}
+         ORDER BY table_name, operation_type, duration_ms, rows_affected)) AS VARCHAR) FROM performance_metrics
+         WHERE execution_id = (SELECT execution_id FROM etl_execution_log WHERE procedure_name = 'validate_warehouse'
+                               ORDER BY start_time DESC, execution_id LIMIT 1)) || '}' AS validation_report""".replace(
+    "{AS_OF}", str(AS_OF)
+)
 
 
 def _present_tables(spark, sf_dir):
@@ -206,8 +213,10 @@ def _all_issues(spark, sf_dir):
 
 def _report(spark, sf_dir):
     src, wh = source(spark, sf_dir), star(spark, sf_dir)
-    issues = validate.validate(src, wh, AS_OF)
-    return validate.validation_report(issues, validate.schema_comparison(src, wh), validate.verdict(issues))
+    issues = validate.validate(src, wh, AS_OF).withColumn("created_at", C.moment(dt.datetime.combine(AS_OF, dt.time(8, 30))))
+    latest = runlog.latest_run(logs(spark, sf_dir)["etl_execution_log"], "validate_warehouse")
+    metrics = logs(spark, sf_dir)["performance_metrics"].join(latest.select("execution_id"), "execution_id", "left_semi")
+    return validate.validation_report(issues, validate.schema_comparison(src, wh), validate.verdict(issues), metrics)
 
 
 COUNT_PAIRS = [
