@@ -75,10 +75,14 @@ class LineRules:
     lost_share: float = 0.3  # share of the characters of all lines whose loss rejects the document
 
 
-def line_verdict(line: Column, rules: LineRules) -> Column:
+def seen_line(line: Column) -> Column:
+    """A line with what several rules ask of it: its words and its lower-cased text."""
+    return F.struct(line.alias("line"), F.regexp_count(line, F.lit(WORD)).alias("words"), F.lower(line).alias("lowered"))
+
+
+def line_verdict(seen: Column, rules: LineRules) -> Column:
     """The first rule that a line fails: navigation, punctuation or boilerplate; NULL if it passes."""
-    words = F.regexp_count(line, F.lit(WORD))
-    lowered = F.lower(line)
+    line, words, lowered = seen["line"], seen["words"], seen["lowered"]
     notice = F.lit(False)
     for phrase in BOILERPLATE:
         notice = notice | lowered.contains(phrase)
@@ -134,8 +138,13 @@ def with_line_cleaning(docs: DataFrame, rules: LineRules = LineRules(), text: st
     cut = cut.withColumn("_windows", F.when(suspect, F.array_sort("_windows"))).drop("_hashes")
     # A line that repeats an earlier one is boilerplate too: only its first copy is judged.
     cut = cut.withColumn("_first", F.array_distinct("_lines"))
+    # Inside an array function each mention is worked out anew, so what rules share is made in a pass of its own.
     cut = cut.withColumn(
-        "_judged", F.transform("_first", lambda line: F.struct(line.alias("line"), line_verdict(line, rules).alias("rule")))
+        "_judged",
+        F.transform(
+            F.transform("_first", seen_line),
+            lambda seen: F.struct(seen["line"].alias("line"), line_verdict(seen, rules).alias("rule")),
+        ),
     )
     passed = F.filter("_judged", lambda x: x["rule"].isNull())
     cut = cut.withColumn("_passed", F.transform(passed, lambda x: x["line"]))
