@@ -1,8 +1,9 @@
 """Whole texts encoded by way of their distinct words.
 
-A text is cut at each single space that stands between two characters that are not white space. There a byte-level
-vocabulary always begins a new word, so the ids of the text are the ids of its words in a row. The cut and the search
-for distinct words run in Arrow, ids are gathered with numpy; the encoder sees each distinct word of a slice once.
+A text is cut where a byte-level vocabulary always begins a new word, so the ids of the text are the ids of its parts in
+a row: before a single space between two characters that are not white space, on both sides of such a line feed, and
+between a Latin letter and the mark of a sentence that follows it. The cut and the search for distinct parts run in
+Arrow, ids are gathered with numpy; the encoder sees each distinct part of a slice once.
 """
 
 from __future__ import annotations
@@ -23,12 +24,16 @@ REMEMBERED = 400_000
 SLICE_BYTES = 8_000_000
 # New words that the library encodes as one text.
 JOINED = 512
-# Fixed value: how a byte-level vocabulary writes a space.
-SPACE_MARK = "Ġ"
-
+# Stands between parts while a text is cut; a text that holds it is cut at spaces only.
+_CUT = "\x01"
+# White space as ranges of a character class, the space itself left out.
+_WHITE = r"\t-\r\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 # White space other than a lone space between two other characters.
-_ODD_SPACE = r"  |^ | $|[\t-\r\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}] | [\t-\r\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-_LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
+_ODD_SPACE = rf"  |^ | $|[{_WHITE}] | [{_WHITE}]"
+_LONE_SPACE = re.compile(r"(?<=\S)(?= \S)")
+_LONE_LINE_FEED = rf"([^ {_WHITE}{_CUT}])\n([^ {_WHITE}{_CUT}])"
+_LETTER_AND_MARK = r"([A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}])([.,;:!?])"
+_ONE_WORD = rf"^ ?[^ {_WHITE}]+$"
 
 Ragged = tuple[np.ndarray, np.ndarray]  # values of all rows in one array, and the number of each row's values
 
@@ -48,48 +53,40 @@ def text_slices(column: pa.Array, most: int = SLICE_BYTES) -> Iterator[tuple[int
 
 def gathered(store: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """store[start : start + length] of each row, in a row."""
-    shift = np.repeat(start - (np.cumsum(length) - length), length)
-    return store[shift + np.arange(len(shift))]
+    stop = np.cumsum(length)
+    total = int(stop[-1]) if len(stop) else 0
+    kind = np.int32 if max(total, len(store)) < 1 << 31 else np.int64
+    return store[np.repeat((start - (stop - length)).astype(kind), length) + np.arange(total, dtype=kind)]
 
 
 def split_rows(flat: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
     return np.split(flat, np.cumsum(counts)[:-1]) if len(counts) else []
 
 
-def spaced_words(texts: pa.Array) -> pa.ListArray:
-    """Words of each text without the space that led them; an empty text is one empty word."""
-    odd = pc.match_substring_regex(texts, _ODD_SPACE)
+def parts_of(texts: pa.Array) -> pa.ListArray:
+    """Parts of each text with the space that leads them; an empty text is one empty part."""
+    odd = pc.match_substring_regex(texts, f"{_ODD_SPACE}|{_CUT}")
+    plain = pc.replace_substring(texts.filter(pc.invert(odd)), " ", _CUT + " ")
+    plain = pc.replace_substring_regex(plain, _LONE_LINE_FEED, f"\\1{_CUT}\n{_CUT}\\2")
+    plain = pc.split_pattern(pc.replace_substring_regex(plain, _LETTER_AND_MARK, rf"\1{_CUT}\2"), _CUT)
     if not pc.any(odd).as_py():
-        return pc.split_pattern(texts, " ")
+        return plain
     rows = np.arange(len(texts))
     is_odd = odd.to_numpy(zero_copy_only=False)
-    plain = pc.split_pattern(texts.filter(pc.invert(odd)), " ")
     careful = pa.array([_LONE_SPACE.split(t) for t in texts.filter(odd).to_pylist()], plain.type)
     order = np.argsort(np.concatenate([rows[~is_odd], rows[is_odd]]))
     return pa.concat_arrays([plain, careful]).take(pa.array(order))
 
 
 class WordMemory:
-    """Ids of texts from the ids of their distinct words; ``encode_new`` encodes words it has not seen."""
+    """Ids of texts from the ids of their distinct parts; ``encode_new`` encodes parts it has not seen."""
 
     def __init__(self, encode_new: Callable[[list[str]], Ragged], dtype: str):
         self.encode_new, self.dtype = encode_new, dtype
-        self.known: tuple[dict[str, int], dict[str, int]] = ({}, {})
+        self.known: dict[str, int] = {}
         self.start, self.length = np.zeros(0, np.int64), np.zeros(0, np.int64)
         self.store = np.zeros(0, dtype)
 
-    def _places(self, words: list[str], lead: str, passing: list[Ragged]) -> np.ndarray:
-        """Index of each distinct word in the store; new words are appended to ``passing`` and the memory."""
-        known = self.known[bool(lead)]
-        place = np.fromiter(map(known.get, words, repeat(-1)), np.int64, len(words))
-        new = np.flatnonzero(place < 0)
-        if len(new):
-            unknown = [words[i] for i in new.tolist()]
-            flat, counts = self.encode_new([lead + w for w in unknown])
-            place[new] = len(self.start) + sum(len(c) for _, c in passing) + np.arange(len(new))
-            passing.append((flat.astype(self.dtype), counts.astype(np.int64)))
-        return place
-
     def encode(self, column: pa.Array) -> Ragged:
         """Ids of all texts in a row, and the number of ids of each text; a null text counts as empty."""
         parts = [self._encode(column.slice(a, b - a)) for a, b in text_slices(column)]
@@ -98,37 +95,26 @@ class WordMemory:
         return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
 
     def _encode(self, column: pa.Array) -> Ragged:
-        lists = spaced_words(pc.fill_null(column, ""))
+        lists = parts_of(pc.fill_null(column, ""))
         per_text = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
-        first = np.cumsum(per_text) - per_text
         coded = lists.flatten().dictionary_encode()
-        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        heads = np.unique(codes[first], return_inverse=True)
-        later = np.ones(len(codes), bool)
-        later[first] = False
-        used = np.zeros(len(words), bool)
-        used[codes[later]] = True
-        rest = np.flatnonzero(used)
-        passing: list[Ragged] = []
-        head_words, rest_words = [words[i] for i in heads[0].tolist()], [words[i] for i in rest.tolist()]
-        head_place = self._places(head_words, "", passing)
-        rest_place = self._places(rest_words, " ", passing)
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        place = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
         store, start, length = self.store, self.start, self.length
-        if passing:
-            counts = np.concatenate([c for _, c in passing])
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            unknown = [words[i] for i in new.tolist()]
+            flat, counts = self.encode_new(unknown)
+            place[new] = len(start) + np.arange(len(new))
             start = np.concatenate([start, len(store) + np.cumsum(counts) - counts])
-            store = np.concatenate([store, *(f for f, _ in passing)])
-            length = np.concatenate([length, counts])
+            store = np.concatenate([store, flat.astype(self.dtype)])
+            length = np.concatenate([length, counts.astype(np.int64)])
             if len(start) <= REMEMBERED:
-                self.known[0].update(zip(head_words, head_place.tolist(), strict=True))
-                self.known[1].update(zip(rest_words, rest_place.tolist(), strict=True))
+                self.known.update(zip(unknown, place[new].tolist(), strict=True))
                 self.store, self.start, self.length = store, start, length
-        by_word = np.zeros(len(words), np.int64)
-        by_word[rest] = rest_place
-        place = by_word[codes]
-        place[first] = head_place[heads[1]]
+        place = place[coded.indices.to_numpy()]
         n = length[place]
-        return gathered(store, start[place], n), np.add.reduceat(n, first)
+        return gathered(store, start[place], n), np.add.reduceat(n, np.cumsum(per_text) - per_text)
 
 
 def id_type(size: int) -> str:
@@ -156,13 +142,11 @@ def vocabulary_size(vocabulary: str) -> int:
 def library_encoder(vocabulary: str) -> WordMemory:
     """The tokenizers library, over distinct words; ids are 16 bits wide where the vocabulary allows, else 32.
 
-    New words led by a space are encoded many in one text. None of them holds other white space, so only the first id
-    of a word begins with a space, and that is where the ids are cut; other words are encoded one by one.
+    New words without white space, but for a space that leads them, are encoded many in one text with a line feed
+    between two, which is an id of its own and where the ids are cut; other words are encoded one by one.
     """
-    tokenizer, size = _library(vocabulary), vocabulary_size(vocabulary)
-    dtype = id_type(size)
-    begins = np.zeros(size, bool)
-    begins[[i for piece, i in tokenizer.get_vocab(with_added_tokens=True).items() if piece.startswith(SPACE_MARK)]] = True
+    tokenizer, dtype = _library(vocabulary), id_type(vocabulary_size(vocabulary))
+    between = tokenizer.encode("\n", add_special_tokens=False).ids
 
     def one_by_one(words: list[str]) -> Ragged:
         ids = [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -170,16 +154,16 @@ def library_encoder(vocabulary: str) -> WordMemory:
         return np.fromiter(chain.from_iterable(ids), dtype, int(counts.sum())), counts
 
     def together(words: list[str]) -> Ragged:
-        flat = np.array(tokenizer.encode_batch_fast(["".join(words)], add_special_tokens=False)[0].ids, dtype)
-        at = np.flatnonzero(begins[flat])
-        if len(at) != len(words) or at[0]:
+        flat = np.array(tokenizer.encode_batch_fast(["\n".join(words)], add_special_tokens=False)[0].ids, dtype)
+        at = np.flatnonzero(flat == between[0])
+        if len(between) != 1 or len(at) != len(words) - 1:
             return one_by_one(words)
-        return flat, np.diff(at, append=len(flat))
+        return np.delete(flat, at), np.diff(at, prepend=-1, append=len(flat)) - 1
 
     def encode_new(words: list[str]) -> Ragged:
-        plain = np.fromiter((w.split() == [w[1:]] and w[0] == " " for w in words), bool, len(words))
-        spaced, others = ([words[i] for i in np.flatnonzero(which).tolist()] for which in (plain, ~plain))
-        parts = [together(spaced[k : k + JOINED]) for k in range(0, len(spaced), JOINED)] + [one_by_one(others)]
+        plain = pc.match_substring_regex(pa.array(words, pa.string()), _ONE_WORD).to_numpy(zero_copy_only=False)
+        alike, others = ([words[i] for i in np.flatnonzero(which).tolist()] for which in (plain, ~plain))
+        parts = [together(alike[k : k + JOINED]) for k in range(0, len(alike), JOINED)] + [one_by_one(others)]
         flat, counts = (np.concatenate(arrays) for arrays in zip(*parts, strict=True))
         back = np.argsort(np.argsort(~plain, kind="stable"))
         return gathered(flat, (np.cumsum(counts) - counts)[back], counts[back]), counts[back]
