@@ -215,3 +215,31 @@ def test_words_encoded_together_equal_words_alone(library):
     flat, counts = library_encoder(BYTE_VOCABULARY).encode_new(words)
     alone = [library_ids(library, w) for w in words]
     assert counts.tolist() == [len(ids) for ids in alone] and flat.tolist() == [i for ids in alone for i in ids]
+
+
+def test_neighbours_equal_scores_of_all_documents():
+    """Bounds and the removal of used documents change nothing: the same scores as all terms of all unused documents."""
+    rng = np.random.default_rng(5)
+    draw = lambda: np.minimum(rng.zipf(1.3, rng.integers(20, 200)), 3000)
+    ids = [np.append(draw(), 0).astype("<u2") for _ in range(1200)]
+    held = np.bincount(np.concatenate([np.unique(i[:-1]) for i in ids]), minlength=3001)
+    idf = np.log1p((1200 - held + 0.5) / (held + 0.5)).astype(np.float32)
+    mean = float(np.mean([len(i) for i in ids]))
+    own = [dict(zip(*(x.tolist() for x in packing.bm25(i, idf, mean)), strict=True)) for i in ids]
+    index = packing.ShardIndex(ids, idf, mean)
+    assert len(index.row) > 20 and len(index.place) > 200
+    for seed in range(0, 1200, 40):
+        index.unused[seed] = False
+        score = {d: sum(own[d].get(t, 0) for t in own[seed]) for d in np.flatnonzero(index.unused).tolist()}
+        best = sorted(score.values(), reverse=True)
+        got = list(index.neighbours(seed))
+        assert sorted(got) == sorted(score)
+        assert np.allclose([score[d] for d in got], best, rtol=1e-4, atol=1e-4)
+        index.unused[rng.integers(0, 1200, 45)] = False
+    assert len(index.inside) < 600
+
+
+def test_texts_cut_at_line_feeds_and_marks_equal_whole_texts(library):
+    texts = ["a\nb\nc\n\nd", "One. Two,three!\nFour", "x.\n y", "it's\u00e9?\u00a0\nz", "\n", "e:\x01f g.\x01", "über; <|endoftext|>\nab.c"]
+    flat, counts = library_encoder(BYTE_VOCABULARY).encode(pa.array(texts))
+    assert [r.tolist() for r in split_rows(flat, counts)] == [library_ids(library, t) for t in texts]

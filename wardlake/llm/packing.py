@@ -7,7 +7,8 @@ weight, so documents that share telling terms come together, and where very many
 ones decide. The order is cut into as few ranges as memory allows, and a range into shards by the same bound, counted in
 postings; a table below the bound is searched whole. A shard holds an inverted index weighted by BM25. The first unused
 document is the seed of a window; all its terms return the unused documents of the shard by score, and these fill the
-window in turn. A document that does not fit is cut, and its rest seeds the next window. If no unused document shares a
+window in turn. Rare terms are looked up in postings; common ones come by falling bound of their weight until few
+documents can still be among the best, which leaves the result exact. Used documents leave the index. A document that does not fit is cut, and its rest seeds the next window. If no unused document shares a
 term with the seed, the next one in order follows. What is left at the end of a shard is cut into powers of two, so no
 sequence needs padding.
 
@@ -35,6 +36,9 @@ SHARD_POSTINGS, SHARD_IDS = 4_000_000, 16_000_000
 SIGNATURES = 4
 # A term that at least this share of a shard's documents hold has a weight for each document instead of postings.
 DENSE_SHARE = 0.125
+# A seed asks for this many neighbours at first; its common terms are added in so many steps, until at most this share
+# of the documents can still be among them; scores may differ by this share from rounding.
+FIRST_NEIGHBOURS, BOUND_STEPS, CANDIDATE_SHARE, ROUNDING = 8, 6, 0.03, 1e-4
 # BM25 weights: saturation of repeats and share of length normalization.
 K1, B = 1.2, 0.75
 
@@ -108,48 +112,88 @@ def signed(rows: DataFrame, shared, mean_length: float, dtype: np.dtype) -> Data
 
 
 class ShardIndex:
-    """Inverted index of one shard with BM25 weights; documents are numbered in the order they are given."""
+    """Inverted index of one shard with BM25 weights; documents are numbered in the order they are given.
+
+    Used documents leave the postings whenever a quarter of those inside is used.
+    """
 
     def __init__(self, ids: list[np.ndarray], idf: np.ndarray, mean_length: float):
         own = [bm25(row, idf, mean_length) for row in ids]
+        self.size = len(ids)
         self.own = [terms for terms, _ in own]
+        self.unused = np.ones(self.size, bool)
+        # Numbers of the documents inside; owners are places among them.
+        self.inside = np.arange(self.size)
         term = np.concatenate(self.own)
         order = np.argsort(term, kind="stable").astype(np.int32)
-        self.weight = np.concatenate([weights for _, weights in own])[order]
+        weight = np.concatenate([weights for _, weights in own])[order]
         del own
-        self.owner = np.repeat(np.arange(len(ids), dtype=np.int32), [len(t) for t in self.own])[order]
-        present, first = np.unique(term[order], return_index=True)
-        bounds = np.append(first, len(order)).tolist()
-        self.postings = {t: (bounds[i], bounds[i + 1]) for i, t in enumerate(present.tolist())}
-        self.dense: dict[int, np.ndarray] = {}
-        for t, (low, high) in self.postings.items():
-            if high - low >= max(DENSE_SHARE * len(ids), 64):
-                self.dense[t] = np.zeros(len(ids), np.float32)
-                self.dense[t][self.owner[low:high]] = self.weight[low:high]
-        self.unused = np.ones(len(ids), bool)
-        self.size = len(ids)
-
-    def scores(self, seed: int) -> np.ndarray:
-        """Score of each document for all terms of the seed."""
-        score = np.zeros(self.size, np.float32)
-        for term in self.own[seed].tolist():
-            if term in self.dense:
-                score += self.dense[term]
-            else:
-                low, high = self.postings[term]
-                score[self.owner[low:high]] += self.weight[low:high]
-        return score
+        owner = np.repeat(np.arange(self.size, dtype=np.int32), [len(t) for t in self.own])[order]
+        present, first, held = np.unique(term[order], return_index=True, return_counts=True)
+        common = held >= max(DENSE_SHARE * self.size, 64)
+        self.row = {t: i for i, t in enumerate(present[common].tolist())}
+        self.dense = np.zeros((len(self.row), self.size), np.float32)
+        for i, (low, n) in enumerate(zip(first[common].tolist(), held[common].tolist(), strict=True)):
+            self.dense[i, owner[low : low + n]] = weight[low : low + n]
+        self.bound = self.dense.max(axis=1, initial=0)
+        rare = np.repeat(~common, held)
+        self.owner, self.weight = owner[rare].astype(np.int64), weight[rare].astype(np.float64)
+        self.place = {t: i for i, t in enumerate(present[~common].tolist())}
+        self.limits = np.concatenate([[0], np.cumsum(held[~common])])
+
+    def _leave(self) -> None:
+        staying = self.unused[self.inside]
+        if 4 * np.count_nonzero(staying) > 3 * len(staying):
+            return
+        kept = staying[self.owner]
+        self.limits = np.concatenate([[0], np.cumsum(kept)])[self.limits]
+        self.owner = (np.cumsum(staying) - 1)[self.owner[kept]]
+        self.weight, self.dense = self.weight[kept], np.compress(staying, self.dense, axis=1)
+        self.bound = self.dense.max(axis=1, initial=0)
+        self.inside = self.inside[staying]
+
+    def _best(self, seed: int, want: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Places inside and scores of the unused documents that score best, at least ``want`` of them, or of all.
+
+        Common terms come by falling bound. As soon as few documents can reach the ``want``-th score with all that is
+        left of the bounds, only these are scored to the end; so the result is exact.
+        """
+        terms = self.own[seed].tolist()
+        rare = [slice(*self.limits[i : i + 2].tolist()) for i in (self.place[t] for t in terms if t in self.place)]
+        score = np.zeros(len(self.inside), np.float32)
+        if rare:
+            owner, weight = (np.concatenate([of[part] for part in rare]) for of in (self.owner, self.weight))
+            score += np.bincount(owner, weight, len(score))
+        score[~self.unused[self.inside]] = -np.inf
+        rows = np.array([self.row[t] for t in terms if t in self.row], np.int64)
+        rows = rows[np.argsort(-self.bound[rows], kind="stable")]
+        parts = np.array_split(rows, BOUND_STEPS)
+        for k, part in enumerate(parts):
+            for row in part.tolist():
+                score += self.dense[row]
+            left = rows[sum(map(len, parts[: k + 1])) :]
+            if want is None or len(score) <= 4 * want or not len(left):
+                continue
+            head = np.argpartition(score, len(score) - want)[-want:]
+            least = (score[head] + self.dense[np.ix_(left, head)].sum(axis=0)).min()
+            reach = np.flatnonzero(score >= least - self.bound[left].sum() - abs(least) * ROUNDING)
+            if np.isfinite(least) and len(reach) <= max(CANDIDATE_SHARE * len(score), 4 * want):
+                whole = score[reach] + self.dense[np.ix_(left, reach)].sum(axis=0)
+                good = whole >= least
+                return reach[good], whole[good]
+        places = np.flatnonzero(score >= 0)
+        return places, score[places]
 
     def neighbours(self, seed: int) -> Iterator[int]:
         """Unused documents by falling score for all terms of the seed, then the rest in order."""
-        score = self.scores(seed)
-        score[~self.unused] = -1.0
-        while True:
-            best = int(score.argmax())
-            if score[best] < 0:
-                return
-            score[best] = -1.0
-            yield best
+        self._leave()
+        given: set[int] = set()
+        for want in (FIRST_NEIGHBOURS, None):
+            places, score = self._best(seed, want)
+            for place in places[np.argsort(-score, kind="stable")].tolist():
+                if place not in given:
+                    given.add(place)
+                    yield int(self.inside[place])
 
 
 def filled(ids: list[np.ndarray], index: ShardIndex, window: int) -> Iterator[list[tuple[int, int, int]]]:
