@@ -10,8 +10,10 @@ from wardlake.plans import daily
 from wardlake.plans.queries_star import pair_totals
 from wardlake.plans.store import Manifest, VersionedStore
 from wardlake.plans.warehouse import STAR_TABLES, derive_warehouse
+from wardlake.registry import store_queries
 from wardlake.session import fresh_path
 from wardlake.sources.tables import CLINICAL_SCHEMAS, TableSet
+from wardlake.streaming import jobs
 from wardlake.streaming.ledger import BillTotals, EventLedger
 
 AS_OF = dt.date(2003, 1, 1)
@@ -238,3 +240,19 @@ def test_bill_totals_take_late_bills_and_repeated_batches(spark):
     got = {r.encounter_id: (float(r.total_claim_amount), float(r.total_allowed_amount), r.bills, r.last_batch) for r in kept.totals().collect()}
     assert got == {1: (12.5, 3.0, 3, 2), 2: (5.0, 1.0, 1, 0), 3: (1.0, 1.0, 1, 2)}
     assert {r.encounter_id for r in kept.since(1).collect()} == {1, 3}
+
+
+def test_delivery_of_many_files_is_one_batch(spark, monkeypatch):
+    monkeypatch.setattr(store_queries, "FEED_ROWS", 10)
+    # The second delivery has fewer rows than files; the last is empty.
+    deliveries = [spark.range(a, b) for a, b in ((0, 95), (100, 103), (200, 200))]
+    each = store_queries.feed_files(deliveries)
+    assert each == 10
+    folder, progress, batches = fresh_path(spark, "feed"), fresh_path(spark, "progress"), {}
+    for k, rows in enumerate(deliveries):
+        store_queries.deliver(rows, folder, each)
+        if k != 1:
+            stream = jobs.event_stream(spark, folder, rows.schema, files_per_trigger=each)
+            jobs.run_each_batch(stream, progress, lambda b, n: batches.update({n: sorted(r.id for r in b.collect())}))
+    assert batches == {0: list(range(95)), 1: [100, 101, 102], 2: []}
+    assert max(r["count"] for r in spark.read.parquet(folder).groupBy(F.input_file_name()).count().collect()) < 50

@@ -8,6 +8,7 @@ from functools import lru_cache
 from pyspark.sql import functions as F
 
 from wardlake.functions import columns as C
+from wardlake.operators.change import path_exists
 from wardlake.plans import daily
 from wardlake.plans.queries_star import summarised_pairs, top_stored_pairs
 from wardlake.plans.store import VersionedStore
@@ -90,7 +91,25 @@ def _mark_sql(version: int, cutoff: str) -> str:
     )
 
 
-# Streams in three files, with rows of the first file withheld or repeated --------------------------------------------
+# Streams in three deliveries (files below), with rows of the first withheld or repeated --------------------------------
+
+# Rows of a Parquet file of a feed. A delivery of more rows comes as several files that one batch takes together.
+FEED_ROWS = 1_000_000
+
+
+def feed_files(deliveries) -> int:
+    """Parquet files of each delivery: those the largest one needs."""
+    return max(1, -(-max(rows.count() for rows in deliveries) // FEED_ROWS))
+
+
+def deliver(rows, folder: str, files: int) -> None:
+    """Add rows to a feed as exactly this many Parquet files, so that a batch of as many files is this delivery."""
+    listed = lambda: len(rows.sparkSession.read.schema(rows.schema).parquet(folder).inputFiles())
+    before = listed() if path_exists(rows.sparkSession, folder) else 0
+    rows.repartition(files).write.mode("append").parquet(folder)
+    for _ in range(before + files - listed()):  # Partitions without rows leave no file.
+        rows.sparkSession.createDataFrame([], rows.schema).coalesce(1).write.mode("append").parquet(folder)
+
 
 FILE_OF = "CASE WHEN ts < TIMESTAMP_NTZ '2024-01-11' THEN 1 WHEN ts < TIMESTAMP_NTZ '2024-01-21' THEN 2 ELSE 3 END"
 
@@ -112,10 +131,11 @@ def _ledger(app: str, sf_dir: str, spark) -> VersionedStore:
     store = VersionedStore(spark, fresh_path(spark, "ledger"))
     kept = ledger.EventLedger(store)
     schema = events.drop("file").schema
+    each = feed_files(files)
     for k, rows in enumerate(files):
-        rows.drop("file").coalesce(1).write.mode("append").parquet(folder)
+        deliver(rows.drop("file"), folder, each)
         if k != 1:  # the second and third file wait for one start
-            jobs.run_each_batch(jobs.event_stream(spark, folder, schema, files_per_trigger=1), progress, kept.take)
+            jobs.run_each_batch(jobs.event_stream(spark, folder, schema, files_per_trigger=each), progress, kept.take)
     # A batch that is delivered again changes nothing.
     kept.take(files[2].drop("file"), int(store.current().marks["batch"]))
     return store
@@ -144,12 +164,13 @@ def _totals(app: str, sf_dir: str, spark) -> VersionedStore:
     store = VersionedStore(spark, fresh_path(spark, "totals"))
     kept = ledger.BillTotals(store, buckets=8)
     part = F.expr("CASE WHEN claim_date < DATE'1999-01-01' THEN 0 WHEN encounter_id % 3 = 0 THEN 1 ELSE 2 END")
-    for k in range(3):
-        rows = bills.where(part == k)
-        rows.coalesce(1).write.mode("append").parquet(folder)
+    files = [bills.where(part == k) for k in range(3)]
+    each = feed_files(files)
+    for k, rows in enumerate(files):
+        deliver(rows, folder, each)
         if k != 1:
-            jobs.run_each_batch(jobs.event_stream(spark, folder, bills.schema, files_per_trigger=1), progress, kept.take)
-    kept.take(bills.where(part == 2), int(store.current().marks["batch"]))
+            jobs.run_each_batch(jobs.event_stream(spark, folder, bills.schema, files_per_trigger=each), progress, kept.take)
+    kept.take(files[2], int(store.current().marks["batch"]))
     return store
 
 
