@@ -137,9 +137,9 @@ class DailyRun:
         """What this run has written of a table, on top of the base version if one is given."""
         return self.store.table(name, manifest=self.store.changed(base or Manifest(), {name: self.changes[name]}))
 
-    def grown_calendar(self, ids: DataFrame) -> None:
+    def grown_calendar(self, part: TableSet) -> None:
         """The calendar reaches over the wanted days, those it has, and every day the changed rows use."""
-        bounds = [self.calendar or (None, None), dims.calendar_bounds(changed_slice(self.src, ids))]
+        bounds = [self.calendar or (None, None), dims.calendar_bounds(part)]
         if "dim_date" in self.base.tables:
             bounds.append(self.stored("dim_date").agg(F.min("calendar_date"), F.max("calendar_date")).first())
         first = min((b[0] for b in bounds if b[0] is not None), default=None)
@@ -156,9 +156,13 @@ class DailyRun:
             # Providers whose keys have changed, and links whose diagnosis or procedure has become known.
             keys = ["provider_id", "provider_key", "specialty_key", "department_key"]
             moved = self.made["dim_provider"].select(*keys).exceptAll(self.stored("dim_provider").select(*keys))
-            found.append(encounters.join(moved.select("provider_id"), "provider_id", "left_semi").select("encounter_id"))
+            moved = self._staged(moved, "moved")
+            if not moved.isEmpty():
+                found.append(encounters.join(moved.select("provider_id"), "provider_id", "left_semi").select("encounter_id"))
             for links, dim, key in (("encounter_diagnoses", "dim_diagnosis", "diagnosis_id"), ("encounter_procedures", "dim_procedure", "procedure_id")):
                 fresh = self.made[dim].select(key).join(self.stored(dim).select(key), key, "left_anti")
+                if fresh.isEmpty():
+                    continue  # The links of all encounters aren't read for nothing.
                 found.append(self.src[links].join(fresh, key, "left_semi").select("encounter_id"))
             found.append(self.stored(QUARANTINE).select("encounter_id"))
         ids = union_all(found).where(F.col("encounter_id").isNotNull()).distinct()
@@ -175,9 +179,18 @@ class DailyRun:
     def _visit_schema(self):
         return self.rebuilt.select(*VISIT).schema
 
-    def build(self, ids: DataFrame) -> DataFrame:
-        """Rows of the changed encounters, without readmissions."""
+    def slice(self, ids: DataFrame) -> TableSet:
+        """The source cut down to the changed encounters. What several steps read is made once; bills are read once anyway."""
         part = changed_slice(self.src, ids)
+        kept = {
+            "encounters": part["encounters"],
+            "encounter_diagnoses": part["encounter_diagnoses"].select("encounter_id", "diagnosis_id", "diagnosis_sequence"),
+            "encounter_procedures": part["encounter_procedures"],
+        }
+        return part.replacing(**{n: self._staged(rows, f"slice-{n}") for n, rows in kept.items()})
+
+    def build(self, part: TableSet) -> DataFrame:
+        """Rows of the changed encounters, without readmissions."""
         resolved = fact.resolved_encounters(part["encounters"], self.made["dim_patient"], self.made["dim_provider"], self.made["dim_encounter_type"])
         rows = fact.with_measures(resolved, *[part[c] for c in CHILDREN], self.made["dim_diagnosis"])
         blank = {
@@ -224,8 +237,9 @@ class DailyRun:
 
     def fact_and_bridges(self) -> None:
         ids = self.changed_encounters()
-        self.grown_calendar(ids)
-        self.rebuilt = self.build(ids)
+        part = self.part = self.slice(ids)
+        self.grown_calendar(part)
+        self.rebuilt = self.build(part)
         old = self.old_visits(ids)
         renewed = self._staged(self.renewed_visits(ids, old), "renewed")
 
@@ -246,13 +260,13 @@ class DailyRun:
         # Bridge rows lie in the partition of their encounter, so only places of old and rebuilt ones are written.
         places = union_all([by(old), by(self.rebuilt)]).distinct()
         touched = [self._part(r) for r in places.collect()]
-        part = changed_slice(self.src, ids)
         hot = self.src.hot_keys("encounter_procedures", "encounter_id")
-        self._pairs(ids, old, touched, part, hot)
         fresh = {
             BRIDGES[0]: fact.bridge_diagnoses(part["encounter_diagnoses"], self.rebuilt, self.made["dim_diagnosis"]),
             BRIDGES[1]: fact.bridge_procedures(part["encounter_procedures"], self.rebuilt, self.made["dim_procedure"], hot),
         }
+        fresh = {n: self._staged(rows, n) for n, rows in fresh.items()}
+        self._pairs(ids, touched, fresh)
         for name, rows in fresh.items():
             rows = rows.join(self.rebuilt.select("encounter_key", *PARTITION), "encounter_key")
             if self.base.version:
@@ -261,16 +275,12 @@ class DailyRun:
             self.changes[name] = self.store.write(name, rows, PARTITION, replaces=touched if self.base.version else None)
         self._quarantine(ids)
 
-    def _pairs(self, ids: DataFrame, old: DataFrame, touched: list[str], part: TableSet, hot: list) -> None:
+    def _pairs(self, ids: DataFrame, touched: list[str], fresh: Mapping[str, DataFrame]) -> None:
         """Totals of diagnosis and procedure pairs kept by what the changed encounters had and have.
 
         Built anew where a label of a known diagnosis or procedure has changed, as its rows then move between pairs.
         """
-        rows = {
-            "fact_encounters": lambda: self.rebuilt,
-            BRIDGES[0]: lambda: fact.bridge_diagnoses(part["encounter_diagnoses"], self.rebuilt, self.made["dim_diagnosis"]),
-            BRIDGES[1]: lambda: fact.bridge_procedures(part["encounter_procedures"], self.rebuilt, self.made["dim_procedure"], hot),
-        }
+        rows = {"fact_encounters": lambda: self.rebuilt} | {n: (lambda n=n: fresh[n]) for n in BRIDGES}
         dims_now = {n: (lambda n=n: self.made[n]) for n in ("dim_diagnosis", "dim_procedure")}
         come = pair_totals(self._set(rows | dims_now))
         if PAIRS not in self.base.tables:
@@ -297,8 +307,7 @@ class DailyRun:
 
     def _quarantine(self, ids: DataFrame) -> None:
         """Reasons of the encounters of this run that could not be loaded; earlier ones stay from their first run on."""
-        encounters = self.src["encounters"].join(ids, "encounter_id", "left_semi")
-        now = quarantined(self.src.replacing(encounters=encounters), self.made)
+        now = quarantined(self.part, self.made)
         if self.base.version:
             first = self.stored(QUARANTINE).groupBy("encounter_id").agg(F.min("first_run").alias("first_run"))
             now = now.join(first, "encounter_id", "left").withColumn("first_run", F.coalesce("first_run", F.lit(self.run_id)))
