@@ -239,6 +239,20 @@ def test_backfilled_months_measure_readmissions_over_their_borders(spark):
         load.backfill_slices(spark, base, [(dt.date(2000, 1, 15), dt.date(2000, 2, 1))], path, [])
 
 
+def test_backfill_derives_the_visits_once(spark):
+    # The mark differs each time the visits are derived; the same slice, loaded twice, must meet the same marks.
+    base = spark.range(20).selectExpr(
+        "id AS encounter_id", "id % 3 AS patient_key", "make_timestamp_ntz(2000, 1, 1 + CAST(id AS INT), 0, 0, 0) AS encounter_datetime",
+        "make_timestamp_ntz(2000, 1, 2 + CAST(id AS INT), 0, 0, 0) AS discharge_datetime", "2000 AS encounter_year",
+        "java_method('java.lang.Math', 'random') AS mark",
+    )
+    seen = []
+    finish = lambda own: seen.append(sorted(map(tuple, own.select("encounter_id", "mark").collect()))) or own
+    january = (dt.date(2000, 1, 1), dt.date(2000, 2, 1))
+    load.backfill_slices(spark, base, [january, january], fresh_path(spark, "backfill"), [], finish)
+    assert len(seen) == 2 and len(seen[0]) == 20 and seen[0] == seen[1]
+
+
 def test_backfilled_slices_equal_one_measurement(spark):
     """Stays longer than a slice, ends before starts, missing ends and repeated times, cut at every month."""
     rng = random.Random(11)
