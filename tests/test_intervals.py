@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from wardlake.operators.intervals import days_over_returns, returns_within
 from wardlake.operators.keys import with_contiguous_key
 from wardlake.operators.pairs import paired_counts
+from wardlake.operators import skew
 from wardlake.operators.skew import hot_keys, sequence_within
 
 DAY = 86_400_000_000
@@ -84,6 +85,15 @@ def test_hot_keys_lists_large_groups_only(spark):
     assert hot_keys(df, "k", group_rows=5000) == []
 
 
+def test_hot_keys_are_exact_where_keys_share_a_lane(spark, monkeypatch):
+    monkeypatch.setattr(skew, "LANES", 2)
+    df = spark.range(3000).select(F.when(F.col("id") % 3 > 0, F.col("id") % 30).alias("k"))
+    df = df.unionByName(spark.range(150).select(F.lit(7).cast("bigint").alias("k")))
+    assert hot_keys(df, "k", group_rows=200) == [7]
+    assert hot_keys(df, "k", group_rows=99) == [k for k in range(30) if k % 3]
+    assert hot_keys(df, "k", group_rows=3000) == []
+
+
 def test_contiguous_keys(spark):
     rows = [(i * 7 % 101, f"r{i}") for i in range(101)]
     keyed = with_contiguous_key(spark.createDataFrame(rows, "id bigint, t string"), ["id"], "k", partitions=5)

@@ -6,12 +6,13 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from wardlake.plans import daily
+from wardlake.plans import daily, fact
 from wardlake.plans.queries_star import pair_totals
 from wardlake.plans.store import Manifest, VersionedStore
 from wardlake.plans.warehouse import STAR_TABLES, derive_warehouse
 from wardlake.registry import store_queries
 from wardlake.session import fresh_path
+from wardlake.sources import fixture
 from wardlake.sources.tables import CLINICAL_SCHEMAS, TableSet
 from wardlake.streaming import jobs
 from wardlake.streaming.ledger import BillTotals, EventLedger
@@ -270,3 +271,26 @@ def test_delivery_of_many_files_is_one_batch(spark, monkeypatch):
             jobs.run_each_batch(stream, progress, lambda b, n: batches.update({n: sorted(r.id for r in b.collect())}))
     assert batches == {0: list(range(95)), 1: [100, 101, 102], 2: []}
     assert max(r["count"] for r in spark.read.parquet(folder).groupBy(F.input_file_name()).count().collect()) < 50
+
+
+def test_procedures_are_numbered_without_their_own_ids(spark):
+    place = Hospital(spark)
+    src = place.source()
+    wh = derive_warehouse(src, AS_OF, CALENDAR)
+    links = src["encounter_procedures"]
+    links = links.unionByName(links.withColumn("encounter_procedure_id", F.col("encounter_procedure_id") + 10**6))
+    bridge = lambda rows: fact.bridge_procedures(rows, wh["fact_resolved"], wh["dim_procedure"], [])
+    numbered = bridge(links.drop("encounter_procedure_id"))
+    assert numbered.count() > 10
+    last = numbered.groupBy("encounter_key").agg(F.count("*").alias("n"), F.countDistinct("procedure_sequence").alias("d"), F.max("procedure_sequence").alias("m"))
+    assert last.where("n <> d OR n <> m").isEmpty()
+    same(numbered, bridge(links))
+
+
+def test_kept_tables_of_a_source_are_derived_once(spark):
+    src = Hospital(spark).source()
+    src = src.replacing(encounter_diagnoses=src["encounter_diagnoses"].withColumn("mark", F.expr("java_method('java.lang.Math', 'random')")))
+    kept = fixture.kept(src, "encounter_diagnoses")
+    assert kept["encounter_diagnoses"].count() == src["encounter_diagnoses"].count() > 10
+    same(kept["encounter_diagnoses"], kept["encounter_diagnoses"])
+    assert kept["patients"] is not None and kept["encounter_diagnoses"].schema.simpleString() == src["encounter_diagnoses"].schema.simpleString()
