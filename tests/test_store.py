@@ -273,6 +273,22 @@ def test_delivery_of_many_files_is_one_batch(spark, monkeypatch):
     assert max(r["count"] for r in spark.read.parquet(folder).groupBy(F.input_file_name()).count().collect()) < 50
 
 
+def test_readmissions_of_a_run_are_measured_once(spark, monkeypatch):
+    place, plans, staged = Hospital(spark), {}, daily.DailyRun._staged
+
+    def watched(self, df, label):
+        plans[self.run_id, label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return staged(self, df, label)
+
+    monkeypatch.setattr(daily.DailyRun, "_staged", watched)
+    store = VersionedStore(spark, fresh_path(spark, "store"))
+    for step in range(2):
+        daily.run_daily_load(spark, place.source(), store, AS_OF, f"run-{step}", tracking(), CALENDAR)
+        place.change(step)
+    once = plans["run-0", "renewed"].count("Window [")
+    assert once and plans["run-1", "renewed"].count("Window [") == once
+
+
 def test_procedures_are_numbered_without_their_own_ids(spark):
     place = Hospital(spark)
     src = place.source()

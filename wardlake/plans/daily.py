@@ -185,7 +185,7 @@ class DailyRun:
         kept = {
             "encounters": part["encounters"],
             "encounter_diagnoses": part["encounter_diagnoses"].select("encounter_id", "diagnosis_id", "diagnosis_sequence"),
-            "encounter_procedures": part["encounter_procedures"],
+            "encounter_procedures": part["encounter_procedures"].select("encounter_id", "procedure_id", "procedure_date"),
         }
         return part.replacing(**{n: self._staged(rows, f"slice-{n}") for n, rows in kept.items()})
 
@@ -219,21 +219,21 @@ class DailyRun:
             visits = visits.unionByName(around.select(*VISIT))
         hot = self.src.hot_keys("encounters", "patient_id")
         measured = fact.readmission_measures(visits, hot)
-        fresh = measured.join(ids, "encounter_id", "left_semi")
         if not self.base.version:
-            return fresh.select("encounter_id", *READMISSION_COLUMNS, *[F.lit(None).cast("int").alias(c) for c in PARTITION])
+            return measured.select("encounter_id", *READMISSION_COLUMNS, *[F.lit(None).cast("int").alias(c) for c in PARTITION])
         # A change can move the returns of a visit that ends within the horizon before it, and the return flag of one
         # that starts within the horizon after it; beyond that not all of the visit's neighbours are at hand.
+        # The ids around are none of the changed ones, so one pass over the measures serves both kinds of visits.
         new = measured.select("encounter_id", *[F.col(c).alias(f"_{c}") for c in READMISSION_COLUMNS])
         returns = F.coalesce(end.between(F.col("low") - HORIZON, F.col("high")), F.lit(False))
         flag = F.coalesce(start.between(F.col("low"), F.col("high") + HORIZON), F.lit(False))
-        joined = around.join(new, "encounter_id")
-        taken = {c: F.when(flag if c == "is_readmission" else returns, F.col(f"_{c}")).otherwise(F.col(c)) for c in READMISSION_COLUMNS}
-        differs = F.lit(False)
+        joined = new.join(around.withColumn("_around", F.lit(True)), "encounter_id", "left")
+        rebuilt = F.col("_around").isNull()
+        taken = {c: F.when(rebuilt | (flag if c == "is_readmission" else returns), F.col(f"_{c}")).otherwise(F.col(c)) for c in READMISSION_COLUMNS}
+        differs = rebuilt
         for c, value in taken.items():
             differs = differs | ~value.eqNullSafe(F.col(c))
-        moved = joined.where(differs).select("encounter_id", *[v.alias(c) for c, v in taken.items()], *PARTITION)
-        return fresh.select("encounter_id", *READMISSION_COLUMNS, *[F.lit(None).cast("int").alias(c) for c in PARTITION]).unionByName(moved)
+        return joined.where(differs).select("encounter_id", *[v.alias(c) for c, v in taken.items()], *PARTITION)
 
     def fact_and_bridges(self) -> None:
         ids = self.changed_encounters()

@@ -48,7 +48,7 @@ def earlier_source(src):
 @lru_cache(maxsize=4)
 def _runs(app: str, sf_dir: str, spark) -> VersionedStore:
     """A store after three runs: the source at the cutoff, the whole of it, and the whole of it again."""
-    src = source(spark, sf_dir)
+    src = fixture.kept(source(spark, sf_dir), "encounter_diagnoses")
     store = VersionedStore(spark, fresh_path(spark, "store"))
     for name, tables in (("run-1", earlier_source(src)), ("run-2", src), ("run-3", src)):
         daily.run_daily_load(spark, tables, store, AS_OF, name, TRACKING, fixture.CALENDAR)
