@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from wardlake.llm import bit_packing, packing, pair_merges, transducer
 from wardlake.llm.queries import BYTE_VOCABULARY, PIECE_MODEL
-from wardlake.llm.words import library_encoder, split_rows
+from wardlake.llm.words import letter_words_encoder, library_encoder, split_rows
 from wardlake.session import fresh_path
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -243,3 +243,56 @@ def test_texts_cut_at_line_feeds_and_marks_equal_whole_texts(library):
     texts = ["a\nb\nc\n\nd", "One. Two,three!\nFour", "x.\n y", "it's\u00e9?\u00a0\nz", "\n", "e:\x01f g.\x01", "über; <|endoftext|>\nab.c"]
     flat, counts = library_encoder(BYTE_VOCABULARY).encode(pa.array(texts))
     assert [r.tolist() for r in split_rows(flat, counts)] == [library_ids(library, t) for t in texts]
+
+
+@pytest.mark.parametrize("kind", ["<u2", "<u4"])
+def test_terms_of_many_documents_equal_those_of_each(kind, monkeypatch):
+    monkeypatch.setattr(packing, "RUN_IDS", 60)
+    rng = np.random.default_rng(3)
+    ids = [np.append(rng.integers(0, 60_000, n) // 7, 0).astype(kind) for n in (0, 5, 300, 0, 40, 40, 1, 0)]
+    runs = list(packing.runs_of(ids))
+    assert [len(row) for run in runs for row in run] == [len(row) for row in ids] and len(runs) == 4
+    expected = [np.unique(row[:-1], return_counts=True) for row in ids]
+    term, repeats, held = (np.concatenate(x) for x in zip(*map(packing.terms_of, runs), strict=True))
+    assert term.tolist() == np.concatenate([t for t, _ in expected]).tolist()
+    assert repeats.tolist() == np.concatenate([n for _, n in expected]).tolist()
+    assert held.tolist() == [len(t) for t, _ in expected]
+
+
+def test_a_seed_like_the_last_reads_only_the_rows_that_differ():
+    """Rows of common terms that both seeds hold are not added again, and the order stays that of exact scores."""
+    rng = np.random.default_rng(11)
+    ids = [np.append(rng.choice(400, 120, replace=False), 0).astype("<u2") for _ in range(1500)]
+    ids[1] = ids[0].copy()
+    ids[1][:6] = np.setdiff1d(np.arange(400), ids[0][:-1])[:6]
+    idf = rng.uniform(0.5, 2, 400).astype(np.float32)
+    own = [dict(zip(*(x.tolist() for x in packing.bm25(i, idf, 121.0)), strict=True)) for i in ids]
+    index = packing.ShardIndex(ids, idf, 121.0)
+    assert len(index.row) == 400
+    index.unused[0] = False
+    assert next(index.neighbours(0)) == 1
+    index.unused[1] = False
+    index.dense[[t for t in own[1] if t in own[0]]] = 0
+    score = {d: sum(own[d].get(t, 0) for t in own[1]) for d in range(2, 1500)}
+    found = index.neighbours(1)
+    got = [next(found) for _ in range(8)]
+    assert np.allclose([score[d] for d in got], sorted(score.values(), reverse=True)[:8], rtol=1e-9)
+
+
+def test_words_of_letters_equal_the_library(library):
+    words = ["the", " the", " Über", "ÿ", " q" + "x" * 300, " naïve", "a", " Éenmentelle", "straße"]
+    words += [f" {a}{b}onthe" for a in "abcdefgh" for b in "éñxyz"]
+    flat, counts = letter_words_encoder(library)(words)
+    assert [r.tolist() for r in split_rows(flat, counts)] == [library_ids(library, w) for w in words]
+    from tokenizers import Tokenizer, normalizers, pre_tokenizers
+
+    other = Tokenizer(library.model)
+    other.pre_tokenizer = pre_tokenizers.Whitespace()
+    assert letter_words_encoder(other) is None
+    other.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False)
+    assert letter_words_encoder(other) is not None
+    other.add_tokens(["letters"])
+    assert letter_words_encoder(other) is None
+    other = Tokenizer(library.model)
+    other.pre_tokenizer, other.normalizer = pre_tokenizers.ByteLevel(add_prefix_space=False), normalizers.Lowercase()
+    assert letter_words_encoder(other) is None

@@ -23,19 +23,12 @@ import regex
 from pyspark.sql import DataFrame
 
 from wardlake.llm.common import map_batches
-from wardlake.llm.words import Ragged, WordMemory, gathered, split_rows
+from wardlake.llm.words import Ragged, WordMemory, byte_letters, gathered, split_rows
 
 # Fixed values of byte-level vocabularies: the pattern that cuts a text into words.
 WORD_CUTS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-def byte_letters() -> dict[str, int]:
-    """The printable letter that stands for each byte in a byte-level vocabulary."""
-    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    rest = [b for b in range(256) if b not in set(plain)]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class SpeculativeCodec:
     """Encoder and decoder of one byte-level vocabulary file."""
 

@@ -32,8 +32,10 @@ _WHITE = r"\t-\r\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{202
 _ODD_SPACE = rf"  |^ | $|[{_WHITE}] | [{_WHITE}]"
 _LONE_SPACE = re.compile(r"(?<=\S)(?= \S)")
 _LONE_LINE_FEED = rf"([^ {_WHITE}{_CUT}])\n([^ {_WHITE}{_CUT}])"
-_LETTER_AND_MARK = r"([A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}])([.,;:!?])"
 _ONE_WORD = rf"^ ?[^ {_WHITE}]+$"
+_LATIN = r"A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}"
+_LETTER_AND_MARK = rf"([{_LATIN}])([.,;:!?])"
+_LATIN_WORD = rf"^ ?[{_LATIN}]+$"
 
 Ragged = tuple[np.ndarray, np.ndarray]  # values of all rows in one array, and the number of each row's values
 
@@ -138,15 +140,57 @@ def vocabulary_size(vocabulary: str) -> int:
     return max(_library(vocabulary).get_vocab(with_added_tokens=True).values()) + 1
 
 
+def byte_letters() -> dict[str, int]:
+    """The printable letter that stands for each byte in a byte-level vocabulary."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in set(plain)]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
+def letter_words_encoder(tokenizer) -> Callable[[list[str]], Ragged | None] | None:
+    """The library's model alone, for words of Latin letters that a space may lead; None if the vocabulary cuts otherwise.
+
+    The pattern of a byte-level vocabulary keeps such a word whole and no special token lies in it, so only its merges are
+    left to do. Words are given in the letters of their bytes, many in one text, and cut by their bytes again. The answer
+    is None if an id crosses the end of a word or a byte has none.
+    """
+    from tokenizers import Tokenizer, pre_tokenizers
+
+    cuts, specials = tokenizer.pre_tokenizer, tokenizer.get_added_tokens_decoder().values()
+    if not isinstance(cuts, pre_tokenizers.ByteLevel) or cuts.add_prefix_space or not cuts.use_regex:
+        return None
+    if tokenizer.normalizer or any(re.fullmatch("[^\\W\\d_]*", special.content.strip()) for special in specials):
+        return None
+    model = Tokenizer(tokenizer.model)
+    model.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    letters = {byte: letter for letter, byte in byte_letters().items()} | {ord("\n"): "\n"}
+    entries = model.get_vocab()
+    size = np.zeros(max(entries.values()) + 1, np.int64)
+    size[list(entries.values())] = list(map(len, entries))
+
+    def encode(words: list[str]) -> Ragged | None:
+        text = "\n".join(words).encode().decode("latin-1").translate(letters)
+        flat = np.array(model.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.int64)
+        ends, stops = np.cumsum(size[flat]), np.cumsum(list(map(len, text.split("\n"))))
+        at = np.searchsorted(ends, stops)
+        if not len(ends) or ends[-1] != stops[-1] or (ends[at] != stops).any():
+            return None
+        return flat, np.diff(at, prepend=-1)
+
+    return encode
+
+
 @lru_cache(maxsize=2)
 def library_encoder(vocabulary: str) -> WordMemory:
     """The tokenizers library, over distinct words; ids are 16 bits wide where the vocabulary allows, else 32.
 
-    New words without white space, but for a space that leads them, are encoded many in one text with a line feed
-    between two, which is an id of its own and where the ids are cut; other words are encoded one by one.
+    New words of Latin letters go to the library's model at once, many in one text. Other new words without white space,
+    but for a space that leads them, are encoded many in one text with a line feed between two, which is an id of its own
+    and where the ids are cut; the rest is encoded one by one.
     """
     tokenizer, dtype = _library(vocabulary), id_type(vocabulary_size(vocabulary))
     between = tokenizer.encode("\n", add_special_tokens=False).ids
+    letter_words = letter_words_encoder(tokenizer)
 
     def one_by_one(words: list[str]) -> Ragged:
         ids = [e.ids for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -160,12 +204,20 @@ def library_encoder(vocabulary: str) -> WordMemory:
             return one_by_one(words)
         return np.delete(flat, at), np.diff(at, prepend=-1, append=len(flat)) - 1
 
+    def merged(words: list[str]) -> Ragged:
+        return (letter_words and letter_words(words)) or together(words)
+
     def encode_new(words: list[str]) -> Ragged:
-        plain = pc.match_substring_regex(pa.array(words, pa.string()), _ONE_WORD).to_numpy(zero_copy_only=False)
-        alike, others = ([words[i] for i in np.flatnonzero(which).tolist()] for which in (plain, ~plain))
-        parts = [together(alike[k : k + JOINED]) for k in range(0, len(alike), JOINED)] + [one_by_one(others)]
+        column = pa.array(words, pa.string())
+        plain, latin = (
+            pc.match_substring_regex(column, pattern).to_numpy(zero_copy_only=False) for pattern in (_ONE_WORD, _LATIN_WORD)
+        )
+        kind = np.where(latin, 0, np.where(plain, 1, 2))
+        alike, others, odd = ([words[i] for i in np.flatnonzero(kind == k).tolist()] for k in range(3))
+        parts = [merged(alike[k : k + JOINED]) for k in range(0, len(alike), JOINED)]
+        parts += [together(others[k : k + JOINED]) for k in range(0, len(others), JOINED)] + [one_by_one(odd)]
         flat, counts = (np.concatenate(arrays) for arrays in zip(*parts, strict=True))
-        back = np.argsort(np.argsort(~plain, kind="stable"))
+        back = np.argsort(np.argsort(kind, kind="stable"))
         return gathered(flat, (np.cumsum(counts) - counts)[back], counts[back]), counts[back]
 
     return WordMemory(encode_new, dtype)
