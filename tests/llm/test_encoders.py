@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from wardlake.llm import bit_packing, packing, pair_merges, transducer
 from wardlake.llm.queries import BYTE_VOCABULARY, PIECE_MODEL
-from wardlake.llm.words import letter_words_encoder, library_encoder, split_rows
+from wardlake.llm.words import letter_words_encoder, library_encoder, parts_of, split_rows
 from wardlake.session import fresh_path
 
 os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -296,3 +296,11 @@ def test_words_of_letters_equal_the_library(library):
     other = Tokenizer(library.model)
     other.pre_tokenizer, other.normalizer = pre_tokenizers.ByteLevel(add_prefix_space=False), normalizers.Lowercase()
     assert letter_words_encoder(other) is None
+
+
+def test_texts_cut_between_letters_and_symbols_equal_whole_texts(library):
+    texts = ["trash### it%%%, a$b&&c", "é*** #x #", "a|b <|endoftext|># x&'s", "R&D's 5%%%\nq$\n$"]
+    assert parts_of(pa.array(texts[:1])).to_pylist() == [["trash", "###", " it", "%%%,", " a", "$b", "&&c"]]
+    for encoder in (library_encoder(BYTE_VOCABULARY), pair_merges.codec(BYTE_VOCABULARY).memory):
+        flat, counts = encoder.encode(pa.array(texts))
+        assert [r.tolist() for r in split_rows(flat, counts)] == [library_ids(library, t) for t in texts]

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardlake.llm.common import crc32_of_ids, staged
-from wardlake.llm.words import gathered, id_type, library_encoder, split_rows, vocabulary_size
+from wardlake.llm.words import id_type, library_encoder, split_rows, vocabulary_size
 
 # A shard is closed at this many postings (a term of a document) or ids: what one worker holds in memory.
 SHARD_POSTINGS, SHARD_IDS = 4_000_000, 16_000_000
@@ -38,7 +38,7 @@ SIGNATURES = 4
 # Ids whose terms are counted at a time.
 RUN_IDS = 1 << 20
 # A term that at least this share of a shard's documents hold has a weight for each document instead of postings.
-DENSE_SHARE = 0.0625
+DENSE_SHARE = 0.04
 # The units of all terms of a document; what is rounded down stays within 16 bits.
 MOST_UNITS = 65_000
 # A seed asks for so many neighbours, then for more, at last for all; the highest score of each block of places is taken.
@@ -222,9 +222,10 @@ class ShardIndex:
         """Exact scores of documents from their own weights."""
         asked = np.zeros(len(self.at), bool)
         asked[self._terms(seed)] = True
-        first, held = self.first[docs], self.held[docs]
-        weight = gathered(self.weight, first, held) * asked[gathered(self.term, first, held)]
-        return np.bincount(np.repeat(np.arange(len(docs)), held), weight, len(docs))
+        held = self.held[docs]
+        stop = np.cumsum(held)
+        at = np.arange(stop[-1] if len(stop) else 0) + np.repeat(self.first[docs] - (stop - held), held)
+        return np.bincount(np.repeat(np.arange(len(docs)), held), self.weight[at] * asked[self.term[at]], len(docs))
 
     def _common(self, rows: np.ndarray) -> np.ndarray:
         """Scores in units for common terms, from those of the last seed where the two differ by fewer terms."""
